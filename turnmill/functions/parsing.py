@@ -97,7 +97,7 @@ def clean_variants(raw: Column, n: int) -> Column:
 
     A marker is any leading run of digits, dots, closing brackets and dashes.
     """
-    lines = F.split(raw, r"\r\n|[\n\x0b\f\r\x1c\x1d\x1e\x85  ]")
+    lines = F.split(raw, r"\r\n|[\r\n\x0b\f\r\x1c\x1d\x1e\x85\u2028\u2029]")
     stripped = F.transform(lines, strip)
     bare = F.transform(
         stripped, lambda ln: F.regexp_replace(ln, r"(?U)^(?:[\p{Nd}.)\-][\s\x1c-\x1f]*)+", "")
