@@ -9,6 +9,9 @@ from concurrent.futures import ThreadPoolExecutor
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from turnmill.functions.text import blank
+from turnmill.workspace import Workspace
+
 # In-flight calls per task and retries after a failed call.
 CONCURRENCY = 4
 RETRIES = 2
@@ -70,32 +73,32 @@ def apply_model(
 
 
 def redact_with_model(
-    df: DataFrame, fn: Callable, roles=("user", "assistant"), key: str = "id", **options
+    df: DataFrame, fn: Callable, ws: Workspace, roles=("user", "assistant"), key: str = "id", **options
 ) -> tuple[DataFrame, DataFrame]:
-    """Redact messages through a model: ``(redacted rows, quarantined ids)``.
+    """Redact messages through a model: ``(redacted rows, quarantined keys)``.
 
     Fails closed: a row with any failed message is quarantined, never passed on
-    with its original text. Blank messages are not sent.
+    with its original text. Blank messages are not sent. Answers are written once, so
+    both results come from the same calls.
     """
     turns = df.select(key, F.posexplode("messages").alias("pos", "m")).select(
         F.concat_ws("|", key, "pos").alias("turn_id"), key, "pos", "m.role", "m.content"
     )
-    wanted = F.col("role").isin(*roles) & F.col("content").rlike(r"(?U)\S")
+    wanted = F.col("role").isin(*roles) & ~blank(F.col("content"))
     answers = apply_model(turns.filter(wanted), fn, "content", key="turn_id", **options)
-    joined = turns.join(answers, "turn_id", "left")
+    joined = turns.join(ws.table(answers, "redactions"), "turn_id", "left")
     bad = joined.filter(F.col("error").isNotNull()).select(key).distinct()
-    folded = (
-        joined.groupBy(key)
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct("pos", "role", F.coalesce("response", "content").alias("content"))
-                )
-            ).alias("t")
-        )
-        .select(key, F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages"))
+    turn = F.struct("pos", "role", F.coalesce("response", "content").alias("content"))
+    folded = joined.groupBy(key).agg(F.array_sort(F.collect_list(turn)).alias("_turns"))
+    redacted = F.transform(
+        "_turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))
+    )
+    out = (
+        df.join(folded, key, "left")
+        .withColumn("messages", F.coalesce(redacted, F.col("messages")))
+        .drop("_turns")
+        .join(bad, key, "left_anti")
     )
-    rest = df.drop("messages")
-    if "text" in rest.columns:
-        rest = rest.withColumn("text", F.lit(None).cast("string"))
-    return rest.join(folded, key).join(bad, key, "left_anti"), bad
+    if "text" in df.columns:
+        out = out.withColumn("text", F.lit(None).cast("string"))
+    return out, bad

@@ -77,9 +77,8 @@ def latency_percentiles(
     # The null value stands for everything below the range and sorts first.
     upto = Window.partitionBy(*group, "q").orderBy(F.col("_v").asc_nulls_first())
     ranked = near.withColumn("_upto", F.sum("_c").over(upto))
-    hit = ranked.filter(F.col("_upto") > F.col("idx")).groupBy(*group, "q", "n").agg(
-        F.min(F.struct("_upto", "_v")).alias("first")
-    )
+    reached = F.when(F.col("_upto") > F.col("idx"), F.struct("_upto", "_v"))
+    hit = ranked.groupBy(*group, "q", "n").agg(F.min(reached).alias("first"))
     answer = F.col("first._v")
     return hit.select(
         *group, "q", "n",
@@ -145,13 +144,6 @@ def batch_throughput(log: DataFrame, group: Sequence[str] = ("batch",)) -> DataF
     )
 
 
-def price_table(spark, prices: Sequence[tuple[str, float, float]] = PRICES) -> DataFrame:
-    rows = [(i, *p) for i, p in enumerate(prices)]
-    return spark.createDataFrame(
-        rows, "provider_ord int, provider string, input_per_1m double, output_per_1m double"
-    )
-
-
 def self_hosted_cost(tok_per_s: Column, hourly: float = HOURLY_COST) -> Column:
     """Dollars per million tokens; throughput must be positive."""
     positive = F.when(tok_per_s > 0, tok_per_s).otherwise(
@@ -161,24 +153,24 @@ def self_hosted_cost(tok_per_s: Column, hourly: float = HOURLY_COST) -> Column:
 
 
 def cost_comparison(
-    throughput: DataFrame, prices: DataFrame, tok_per_s: str = "tok_per_s", hourly: float = HOURLY_COST
+    throughput: DataFrame,
+    prices: Sequence[tuple[str, float, float]] = PRICES,
+    tok_per_s: str = "tok_per_s",
+    hourly: float = HOURLY_COST,
 ) -> DataFrame:
     """Every measurement against every provider's output price, dearest first.
 
-    The price list is attached to each measurement as one array value and exploded.
+    The price list travels as one literal array per measurement and is exploded.
     """
-    listed = prices.agg(
-        F.array_sort(F.collect_list(F.struct("provider_ord", "provider", "input_per_1m", "output_per_1m"))).alias("p")
-    ).first()["p"]
     price_list = F.array(
         *[
             F.struct(
-                F.lit(p["provider_ord"]).alias("provider_ord"),
-                F.lit(p["provider"]).alias("provider"),
-                F.lit(p["input_per_1m"]).alias("input_per_1m"),
-                F.lit(p["output_per_1m"]).alias("output_per_1m"),
+                F.lit(i).alias("provider_ord"),
+                F.lit(provider).alias("provider"),
+                F.lit(per_input).alias("input_per_1m"),
+                F.lit(per_output).alias("output_per_1m"),
             )
-            for p in listed
+            for i, (provider, per_input, per_output) in enumerate(prices)
         ]
     )
     own = throughput.withColumn("_own", self_hosted_cost(F.col(tok_per_s), hourly))
