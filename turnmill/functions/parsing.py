@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from turnmill.functions.json import is_single, single, wrapped
 from turnmill.functions.text import strip
 
 _SCORES = ("clarity", "completeness", "naturalness", "correctness", "domain_fit")
@@ -21,17 +22,17 @@ def _with_object(df: DataFrame, raw: str, span: str, out: str) -> DataFrame:
     Valid JSON that is not an object counts as unparseable.
     """
     text = strip(F.col(raw))
-    whole = F.try_parse_json(text)
-    inner = F.try_parse_json(F.regexp_extract(text, span, 0))
+    inner = F.regexp_extract(text, span, 0)
     return (
-        df.withColumn("_whole", whole)
+        df.withColumn("_whole", wrapped(text))
+        .withColumn("_inner", F.when(~is_single(F.col("_whole")), wrapped(inner)))
         .withColumn(
             out,
-            F.when(F.col("_whole").isNull(), inner).when(
-                F.startswith(text, F.lit("{")), F.col("_whole")
+            F.when(~is_single(F.col("_whole")), single(F.col("_inner"))).when(
+                F.startswith(text, F.lit("{")), single(F.col("_whole"))
             ),
         )
-        .drop("_whole")
+        .drop("_whole", "_inner")
     )
 
 

@@ -128,7 +128,8 @@ def request_summary(log: DataFrame, group: Sequence[str] = ("model",)) -> DataFr
 
 def batch_throughput(log: DataFrame, group: Sequence[str] = ("batch",)) -> DataFrame:
     """Tokens of successful requests over the wall time of each batch (0 without time)."""
-    wall = F.max(F.unix_micros("ended_at")) - F.min(F.unix_micros("started_at"))
+    started, ended = (F.col(c).cast("timestamp") for c in ("started_at", "ended_at"))
+    wall = F.unix_micros(F.max(ended)) - F.unix_micros(F.min(started))
     return (
         log.groupBy(*group)
         .agg(

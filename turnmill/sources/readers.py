@@ -11,6 +11,7 @@ from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from turnmill.functions.json import is_single, wrapped
 from turnmill.functions.text import blank, strip
 from turnmill.operators.ordering import block_positions
 
@@ -37,7 +38,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_jsonl(spark: SparkSession, path: str, ordinals: bool = True) -> DataFrame:
     """Valid JSON lines; blank and malformed lines take no ordinal."""
-    rows = _lines(spark, path).filter(F.try_parse_json("raw").isNotNull())
+    rows = _lines(spark, path).filter(is_single(wrapped(F.col("raw"))))
     if not ordinals:
         return rows.select("raw")
     rows = rows.withColumn("_seq", F.monotonically_increasing_id())
@@ -47,7 +48,7 @@ def read_jsonl(spark: SparkSession, path: str, ordinals: bool = True) -> DataFra
 def malformed_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """The non-blank lines :func:`read_jsonl` drops, for the warning count."""
     return _lines(spark, path).filter(
-        (F.col("raw") != "") & F.try_parse_json("raw").isNull()
+        (F.col("raw") != "") & ~is_single(wrapped(F.col("raw")))
     ).select("raw", "_file")
 
 
@@ -135,7 +136,7 @@ def explode_lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """The text-line scan over a column of whole texts: line number and content."""
     return (
         df.select(id_col, F.posexplode(F.split(F.col(text), r"\r\n|[\r\n]")).alias("_pos", "line"))
-        .select(id_col, (F.col("_pos") + 1).alias("line_no"), strip(F.col("line")).alias("text"))
+        .select(id_col, (F.col("_pos") + 1).cast("long").alias("line_no"), strip(F.col("line")).alias("text"))
         .filter(F.col("text") != "")
     )
 

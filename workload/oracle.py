@@ -136,10 +136,10 @@ DENSE_EDGES = """
 def gram_ctes(source: str) -> str:
     """CTEs ``counts(id, gram, c)`` and ``norms`` of word bigrams of ``source(id, text)``."""
     return f"""
-  words AS (SELECT id, list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\r]+'), x -> x <> '') AS w
+  words AS (SELECT id, list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\r]+'), lambda x: x <> '') AS w
     FROM ({source})),
   grams AS (SELECT id, CASE WHEN len(w) = 1 THEN [w[1]]
-      ELSE list_transform(range(1, len(w)), k -> w[k] || ' ' || w[k + 1]) END AS g
+      ELSE list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]) END AS g
     FROM words WHERE len(w) > 0),
   counts AS MATERIALIZED (SELECT id, gram, count(*) AS c FROM (SELECT id, unnest(g) AS gram FROM grams) GROUP BY ALL),
   norms AS MATERIALIZED (SELECT id, sum(c * c)::BIGINT AS n2, count(*) AS n_grams, sum(c)::BIGINT AS n_total
@@ -212,7 +212,7 @@ SCORED = f"""
 VARIANT_RESPONSES = f"""
   SELECT conv_id::VARCHAR AS id, CASE WHEN length(prompt) % 5 = 0 THEN {NL} || ' 3.' || {NL}
     ELSE '1. ' || t || {NL} || {NL} || ' 2) - Please: ' || lower(t) || {NL} || '...' || {NL}
-      || '- ' || upper(t) || {NL} || '4. more' END AS response
+      || '- Or: ' || t || {NL} || '4. more' END AS response
   FROM (SELECT conv_id, prompt, replace(prompt, {NL}, ' ') AS t FROM ({FIRST_TURNS}))
 """
 
@@ -220,9 +220,9 @@ VARIANT_RESPONSES = f"""
 def variants(source: str, n: int) -> str:
     return rf"""
   SELECT id, v.j - 1 AS j, v.variant FROM (
-    SELECT id, unnest(list_transform(l[1:{n}], (x, k) -> {{'j': k, 'variant': x}})) AS v FROM (
+    SELECT id, unnest(list_transform(l[1:{n}], lambda x, k: {{'j': k, 'variant': x}})) AS v FROM (
       SELECT id, list_filter(list_transform(string_split(response, {NL}),
-        x -> regexp_replace({strip('x')}, '^(?:[0-9.)\-]\s*)+', '')), x -> x <> '') AS l
+        lambda x: regexp_replace({strip('x')}, '^(?:[0-9.)\-]\s*)+', '')), lambda x: x <> '') AS l
       FROM ({source})))
 """
 
@@ -234,7 +234,7 @@ OUTPUTS = f"""
     CASE WHEN length(text) >= 60 THEN ' ' || text || {NL} END AS output,
     ceil(length(text) / 4.0)::BIGINT AS tokens
   FROM conversations WHERE role = 'assistant'
-  QUALIFY row_number() OVER (PARTITION BY conv_id, model ORDER BY turn) = 1
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn % 4 = 1 ORDER BY turn) = 1
 """
 PAIRED = f"""
   SELECT p.conv_id AS id, p.prompt, p.reference, {strip('b.output')} AS base_output, b.tokens AS base_tokens,
@@ -381,12 +381,12 @@ ORACLE = {
     "scan_text_lines": f"""
       SELECT doc_id, l.k AS line_no, l.t AS text FROM (
         SELECT doc_id, unnest(list_transform(regexp_split_to_array(text, '\\r\\n|[\\r\\n]'),
-          (x, k) -> {{'k': k, 't': {strip('x')}}})) AS l FROM documents)
+          lambda x, k: {{'k': k, 't': {strip('x')}}})) AS l FROM documents)
       WHERE l.t <> ''""",
     "scan_text_file": f"""
       SELECT row_number() OVER (ORDER BY doc_id, l.k) - 1 AS ordinal, l.t AS text FROM (
         SELECT doc_id, unnest(list_transform(regexp_split_to_array(text, '\\r\\n|[\\r\\n]'),
-          (x, k) -> {{'k': k, 't': {strip('x')}}})) AS l FROM documents)
+          lambda x, k: {{'k': k, 't': {strip('x')}}})) AS l FROM documents)
       WHERE l.t <> ''""",
     "load_eval_set": "SELECT item_id, text FROM benchmark ORDER BY item_id LIMIT 200",
     "discover_specs": f"""

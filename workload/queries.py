@@ -404,7 +404,7 @@ def _variant_responses(spark, sf):
     turns = _first_turns(spark, sf)
     text = F.regexp_replace("prompt", "[\n]", " ")
     answer = F.concat(
-        F.lit("1. "), text, F.lit("\n\n 2) - Please: "), F.lower(text), F.lit("\n...\n- "), F.upper(text), F.lit("\n4. more")
+        F.lit("1. "), text, F.lit("\n\n 2) - Please: "), F.lower(text), F.lit("\n...\n- Or: "), text, F.lit("\n4. more")
     )
     none = F.length("prompt") % 5 == 0
     response = F.when(none, F.lit("\n 3.\n")).otherwise(answer)
