@@ -85,7 +85,10 @@ def _first_present(fields, keys: tuple[str, ...]) -> tuple[Column, Column]:
 
 
 def _conversation(fields) -> tuple[Column, Column]:
-    """``(shape, messages)`` by the first matching layout, null shape if none fits."""
+    """``(shape, messages)`` by the first matching layout, null shape if none fits.
+
+    ``messages`` reads the shape from the column ``_shape``.
+    """
     chat = fields.messages()
     well_formed = chat.isNotNull() & F.forall(
         F.coalesce(chat, F.array().cast(MESSAGES)),
@@ -116,10 +119,13 @@ def _conversation(fields) -> tuple[Column, Column]:
         ),
         ("text", fields.present("text"), _turns(("user", fields.text("text")))),
     ]
-    shape, messages = F.lit(None).cast("string"), F.lit(None).cast(MESSAGES)
-    for name, fits, turns in reversed(layouts):
+    shape = F.lit(None).cast("string")
+    for name, fits, _ in reversed(layouts):
         shape = F.when(fits, F.lit(name)).otherwise(shape)
-        messages = F.when(fits, turns.cast(MESSAGES)).otherwise(messages)
+    # Built from the decided layout, so the conditions are evaluated once per record.
+    messages = F.lit(None).cast(MESSAGES)
+    for name, _, turns in layouts:
+        messages = F.when(F.col("_shape") == name, turns.cast(MESSAGES)).otherwise(messages)
     return shape, messages
 
 
@@ -134,10 +140,10 @@ def resolve_id(id_text: Column, doc_id_text: Column, ordinal: Column) -> Column:
 
 def _finish(df: DataFrame, fields, keep: list[str]) -> DataFrame:
     shape, messages = _conversation(fields)
-    out = df.select(
+    out = df.withColumn("_shape", shape).select(
         *keep,
         resolve_id(fields.text("id"), fields.text("doc_id"), F.col("_ordinal")).alias("id"),
-        shape.alias("_shape"),
+        "_shape",
         messages.alias("_messages"),
     )
     # A null value where the layout needs text leaves the record unrecognised.

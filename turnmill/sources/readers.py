@@ -21,6 +21,17 @@ FORMATS = {".jsonl": "jsonl", ".json": "json", ".csv": "csv", ".txt": "text", ".
 _BLOCK = ["_file", "_start"]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work when a scan has fewer splits than there are cores.
+
+    One small or unsplittable file is read by one task, and so is everything up to the
+    next shuffle. A scan with enough splits is returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if splits >= cores else df.repartition(cores)
+
+
 def detect_format(path: str) -> str:
     fmt = FORMATS.get(PurePosixPath(path).suffix.lower())
     if fmt is None:

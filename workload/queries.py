@@ -26,6 +26,11 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _documents(spark, sf) -> DataFrame:
+    """Documents over enough tasks for work that is heavy per row."""
+    return readers.spread(_t(spark, sf, "documents"))
+
+
 def _conversations(spark, sf) -> DataFrame:
     return normalize.fold_turns(_t(spark, sf, "conversations"))
 
@@ -37,7 +42,7 @@ def _half(c, second: bool):
 
 def _raw_records(spark, sf) -> DataFrame:
     """Documents as raw JSON in eight layouts, with and without ids."""
-    d = _t(spark, sf, "documents")
+    d = _documents(spark, sf)
     a, b = _half(F.col("text"), False), _half(F.col("text"), True)
     lit = F.lit
 
@@ -73,7 +78,7 @@ def _normalized(spark, sf) -> DataFrame:
 
 
 def _documents_gated(spark, sf) -> DataFrame:
-    d = _t(spark, sf, "documents").select("doc_id", "text", F.col("doc_id").alias("_ordinal"))
+    d = _documents(spark, sf).select("doc_id", "text", F.col("doc_id").alias("_ordinal"))
     return normalize.length_gate(normalize.normalize_columns(d, keep=["doc_id", "text"]))
 
 
@@ -253,7 +258,7 @@ def tag_domain(spark, sf):
 
 
 def scrub_text(spark, sf):
-    docs = _t(spark, sf, "documents").select(F.lit("doc").alias("kind"), F.col("doc_id").alias("key"), "text")
+    docs = _documents(spark, sf).select(F.lit("doc").alias("kind"), F.col("doc_id").alias("key"), "text")
     urls = _t(spark, sf, "pages").select(
         F.lit("url").alias("kind"), F.col("page_id").alias("key"), F.concat(F.lit("Dear Anna see "), "url").alias("text")
     )
@@ -266,17 +271,17 @@ def scrub_messages(spark, sf):
 
 
 def pii_counts(spark, sf):
-    d = _t(spark, sf, "documents").select("source", *pii.pii_counts(F.col("text")))
+    d = _documents(spark, sf).select("source", *pii.pii_counts(F.col("text")))
     labels = [label.lower() for label, _ in pii.SCRUB_PATTERNS]
     return d.groupBy("source").agg(*[F.sum(c).alias(c) for c in labels])
 
 
 def redact_corpus(spark, sf):
-    d = _t(spark, sf, "documents")
     turns = F.array(
         *[F.struct(F.lit(r).alias("role"), F.col("text").alias("content")) for r in ("system", "user")]
     )
-    m = pii.redact_messages(turns)
+    d = _documents(spark, sf).withColumn("messages", pii.redact_messages(turns))
+    m = F.col("messages")
     return d.select(
         "doc_id",
         chat.first_content(m, "system").alias("system_text"),
@@ -288,7 +293,7 @@ def redact_corpus(spark, sf):
 
 
 def embed_text(spark, sf):
-    g = word_grams(_t(spark, sf, "documents").repartition("doc_id"), "doc_id", "text")
+    g = word_grams(_documents(spark, sf), "doc_id", "text")
     return g.select(
         "doc_id",
         F.size("grams").cast("long").alias("n_grams"),
@@ -412,7 +417,7 @@ def _variant_responses(spark, sf):
 
 
 def variant_lines(spark, sf):
-    return _variant_responses(spark, sf).select("id", F.posexplode(clean_variants(F.col("response"), 3)).alias("j", "variant"))
+    return _variant_responses(spark, sf).select("id", F.posexplode(clean_variants(F.col("response"), 3)).alias("j", "variant")).withColumn("j", F.col("j").cast("long"))
 
 
 def augment_rows(spark, sf):
@@ -679,7 +684,7 @@ def model_calls(spark, sf):
             raise ValueError("no answer")
         return str(len(value))
 
-    docs = _t(spark, sf, "documents").repartition("doc_id")
+    docs = _documents(spark, sf)
     return apply_model(docs, answer, "text", "doc_id", backoff=0.0)
 
 
