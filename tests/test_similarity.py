@@ -72,9 +72,10 @@ def test_gram_pairs_are_exact(spark, ws, t, known):
     docs = texts()
     df = spark.createDataFrame(list(enumerate(docs)), "ord long, text string")
     vectors = ws.table(word_grams(df.repartition(3), "ord", "text"), "v").filter("norm2 > 0")
-    index = GramIndex.build(vectors, t, len(docs), keep=known) if known else GramIndex(t, [])
+    index = GramIndex.build(vectors, t, len(docs), keep=known) if known else GramIndex(t, [], vectors)
     index.rows_per_salt = 7
-    got = {(r["ord"], r["rep"]) for r in index.earlier_pairs(vectors, vectors, ws).collect()}
+    rows = ws.table(index.rows(), "rows")
+    got = {(r["ord"], r["rep"]) for r in index.earlier_pairs(rows, rows, ws).collect()}
     assert got == expected_pairs([grams(d) for d in docs], t)
 
 
@@ -82,8 +83,10 @@ def test_until_bounds_candidates(spark, ws):
     docs = ["a b c", "x y", "a b c", "a b c"]
     df = spark.createDataFrame(list(enumerate(docs)), "ord long, text string")
     vectors = ws.table(word_grams(df, "ord", "text"), "v")
-    rows = vectors.filter("ord = 0").withColumn("until", F.lit(3).cast("long"))
-    pairs = GramIndex(0.9, []).earlier_pairs(rows, vectors, ws).collect()
+    index = GramIndex(0.9, [], vectors)
+    reps = ws.table(index.rows(), "rows")
+    rows = reps.filter("ord = 0").withColumn("until", F.lit(3).cast("long"))
+    pairs = index.earlier_pairs(rows, reps, ws).collect()
     assert {(r["ord"], r["rep"]) for r in pairs} == {(0, 2)}
 
 
@@ -108,12 +111,11 @@ def test_dense_pairs_are_exact(spark, ws, t):
     [
         {},
         {"finish_below": 0},
-        {"finish_below": 0, "min_edge_budget": 50, "edges_per_row": 0},
-        {"min_edge_budget": 300, "edges_per_row": 0},
+        {"finish_below": 0, "min_work": 50, "work_per_row": 0},
+        {"min_work": 300, "work_per_row": 0},
     ],
 )
-def test_leaders_match_a_sequential_scan(spark, ws, options, monkeypatch):
-    monkeypatch.setattr("turnmill.operators.leaders.SAMPLE_ROWS", 30)
+def test_leaders_match_a_sequential_scan(spark, ws, options):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(160, 6))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -146,10 +148,9 @@ def test_chain_and_tie(spark, ws):
 def test_semantic_dedup_matches_a_scan(spark, ws, hot, tight, monkeypatch):
     if tight:
         plain = leader_clusters
-        monkeypatch.setattr("turnmill.operators.leaders.SAMPLE_ROWS", 20)
         monkeypatch.setattr(
             "turnmill.operators.semantic.leader_clusters",
-            lambda v, i, w: plain(v, i, w, edges_per_row=0, min_edge_budget=40, finish_below=0),
+            lambda v, i, w: plain(v, i, w, work_per_row=0, min_work=2000, finish_below=0),
         )
     docs = texts(120, seed=9, hot=hot) + ["", "  ", ""]
     vecs = [grams(d) for d in docs]
