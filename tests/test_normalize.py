@@ -57,7 +57,10 @@ def test_oversized_conversation_is_counted_not_folded(spark):
     rows = [(1, t, "user", "y" * 50) for t in range(20)] + [(2, 1, "user", "b"), (2, 0, "system", "a")]
     rows += [(3, t, "user", "") for t in range(20)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    rows = [(None, t, "user", "z" * 60) for t in range(12)]
+    df = df.unionByName(spark.createDataFrame(rows, df.schema))
     got = {r["conv_id"]: r for r in length_gate(fold_turns(df, max_chars=500, max_turns=10), 1, 500).collect()}
     assert got[1]["messages"] is None and got[1]["n_chars"] == 1000 and got[1]["route"] == "long"
+    assert got[None]["messages"] is None and got[None]["n_chars"] == 720
     assert [m["content"] for m in got[2]["messages"]] == ["a", "b"] and got[2]["route"] == "kept"
     assert len(got[3]["messages"]) == 20 and got[3]["route"] == "short"

@@ -233,45 +233,42 @@ def fold_turns(
 
     A conversation of more than ``max_turns`` turns that is also over ``max_chars`` can
     only be dropped by the length gate, so it is summed up (``n_turns``, ``n_chars``)
-    instead of being collected into one group; its ``messages`` are null. There are
-    at most rows / ``max_turns`` of those, which bounds the broadcast.
+    instead of being collected into one group; its ``messages`` are null. One pass over
+    the id column finds them first: there are at most rows / ``max_turns``, which
+    bounds the broadcast, and usually none.
     """
     many = (
-        turns.groupBy(conv).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_turns).select(conv)
+        turns.groupBy(F.col(conv).alias("_many"))
+        .agg(F.count("*").alias("_n"))
+        .filter(F.col("_n") > max_turns)
+        .select("_many")
     )
+    totals = [F.count("*").alias("n_turns"), F.sum(F.length(text).cast("long")).alias("n_chars")]
+    if many.isEmpty():
+        return _folded(turns, conv, turn, role, text, totals)
+    # Null-safe: turns without an id form a conversation too, and it may be large.
     oversized = (
-        turns.join(F.broadcast(many), conv, "left_semi")
+        turns.join(F.broadcast(many), F.col(conv).eqNullSafe(F.col("_many")), "left_semi")
         .groupBy(conv)
-        .agg(F.count("*").alias("n_turns"), F.sum(F.length(text).cast("long")).alias("n_chars"))
+        .agg(*totals)
         .filter(F.col("n_chars") > max_chars)
     )
-    folded = (
-        turns.join(F.broadcast(oversized.select(conv)), conv, "left_anti")
-        .groupBy(conv)
-        .agg(
-            F.count("*").alias("n_turns"),
-            F.sum(F.length(text).cast("long")).alias("n_chars"),
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        F.col(turn).alias("turn"),
-                        F.col(role).alias("role"),
-                        F.col(text).alias("content"),
-                    )
-                )
-            ).alias("_turns"),
-        )
-        .withColumn(
-            "messages",
-            F.transform(
-                "_turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))
-            ),
-        )
-        .drop("_turns")
+    out_of_reach = F.broadcast(oversized.select(F.col(conv).alias("_many")))
+    rest = turns.join(out_of_reach, F.col(conv).eqNullSafe(F.col("_many")), "left_anti")
+    whole = oversized.select(
+        F.col(conv).cast("string").alias("id"), conv,
+        F.lit(None).cast(MESSAGES).alias("messages"), "n_turns", "n_chars",
+    )
+    return _folded(rest, conv, turn, role, text, totals).unionByName(whole)
+
+
+def _folded(turns: DataFrame, conv: str, turn: str, role: str, text: str, totals: list[Column]) -> DataFrame:
+    one = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content"))
+    messages = F.transform(
+        "_turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))
     )
-    whole = oversized.withColumn("messages", F.lit(None).cast(MESSAGES))
     return (
-        folded.unionByName(whole)
-        .withColumn("id", F.col(conv).cast("string"))
-        .select("id", conv, "messages", "n_turns", "n_chars")
+        turns.groupBy(conv)
+        .agg(*totals, F.array_sort(F.collect_list(one)).alias("_turns"))
+        .select(F.col(conv).cast("string").alias("id"), conv, messages.alias("messages"), "n_turns", "n_chars")
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from turnmill.functions.text import round_half_even
+from turnmill.workspace import Workspace
 
 # Prices in $ per million tokens, and the hourly cost of own hardware.
 PRICES = [
@@ -24,6 +25,8 @@ HEADLINE_PROVIDER = "openai_gpt-4o"
 
 QUANTILES = (0.5, 0.95, 0.99)
 
+BROADCAST_GROUPS = 100_000
+
 
 def latency_percentiles(
     df: DataFrame, group: Sequence[str], value: str, quantiles: Sequence[float] = QUANTILES
@@ -60,9 +63,12 @@ def latency_percentiles(
             for q in quantiles
         ]
     )
-    targets = sketch.select(*group, "n", wanted.alias("_wanted"))
-    # One row per group comes back; groups are models or request kinds. Spark decides
-    # from the real size whether this side is broadcast.
+    # One row per group. Groups are models or request kinds, so this side is nearly
+    # always small; it is broadcast only when its written size says so, because a
+    # shuffle on the group would put a third of the log into one task.
+    targets = Workspace(df.sparkSession).table(sketch.select(*group, "n", wanted.alias("_wanted")), "targets")
+    if targets.count() <= BROADCAST_GROUPS:
+        targets = F.broadcast(targets)
     near = (
         rows.join(targets, group)
         .select(*group, "n", "_v", F.explode("_wanted").alias("w"))

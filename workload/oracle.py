@@ -43,7 +43,21 @@ def half(e: str, second: bool = False) -> str:
 
 
 def rnd(e: str, digits: int) -> str:
-    return f"round({e}, {digits})"
+    """Round the binary value, ties to even: ``x * 10^d`` and its exact rounding error."""
+    k = float(10**digits)
+    split = "134217729::DOUBLE"
+    k_hi = k * 134217729.0 - (k * 134217729.0 - k)
+    product = f"(x * {k}::DOUBLE)"
+    x_hi = f"(x * {split} - (x * {split} - x))"
+    x_lo = f"(x - {x_hi})"
+    err = (
+        f"((({x_hi} * {k_hi}::DOUBLE - {product}) + {x_hi} * {k - k_hi}::DOUBLE "
+        f"+ {x_lo} * {k_hi}::DOUBLE) + {x_lo} * {k - k_hi}::DOUBLE)"
+    )
+    over = f"({product} - floor({product}) - 0.5::DOUBLE)"
+    up = f"({over} > 0 OR ({over} = 0 AND ({err} > 0 OR ({err} = 0 AND floor({product}) % 2 = 1))))"
+    body = f"(floor({product}) + {up}::INT) / {k}::DOUBLE"
+    return f"list_transform([({e})::DOUBLE], lambda x: {body})[1]"
 
 
 A, B = half("text"), half("text", True)
