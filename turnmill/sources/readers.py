@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from turnmill.functions.json import is_single, wrapped
 from turnmill.functions.text import blank, strip
@@ -79,20 +79,13 @@ def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     )
     rows = files.select("_file", F.posexplode(checked).alias("_pos", "raw"))
     # Positions are per file; earlier files come first.
-    sizes = rows.groupBy("_file").agg(F.max("_pos").alias("_last"))
-    return _after_earlier_files(rows, sizes).select("raw", "_ordinal")
-
-
-def _after_earlier_files(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_file", F.coalesce(F.sum(F.col("_last") + 1).over(before), F.lit(0)).alias("_off")
-    )
-    return rows.join(F.broadcast(offsets), "_file").withColumn(
-        "_ordinal", F.col("_pos") + F.col("_off")
+    length = F.coalesce(F.json_array_length("value"), F.lit(0))
+    offsets = files.select("_file", length.alias("_n")).select(
+        "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
     )
+    placed = rows.join(F.broadcast(offsets), "_file")
+    return placed.select("raw", (F.col("_pos") + F.col("_off")).alias("_ordinal"))
 
 
 def read_csv(spark: SparkSession, path: str, quoted_newlines: bool = True) -> DataFrame:
@@ -118,14 +111,12 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     rows = _lines(spark, path).withColumn("_line_seq", F.monotonically_increasing_id())
     # Blank lines are numbered but take no ordinal, so two sequences are kept.
     kept = rows.filter(~blank(F.col("raw"))).withColumn("_seq", F.monotonically_increasing_id())
-    numbered = block_positions_from(rows, kept)
+    numbered = _number_lines(rows, kept)
     return numbered.select(F.col("raw").alias("text"), "_line", "_ordinal")
 
 
-def block_positions_from(all_rows: DataFrame, kept: DataFrame) -> DataFrame:
+def _number_lines(all_rows: DataFrame, kept: DataFrame) -> DataFrame:
     """Number kept rows among themselves, and among all rows they came from."""
-    from pyspark.sql import Window
-
     blocks = all_rows.groupBy(*_BLOCK).agg(
         F.count("*").alias("_n"), F.min("_line_seq").alias("_min")
     )
