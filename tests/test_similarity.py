@@ -72,7 +72,7 @@ def test_gram_pairs_are_exact(spark, ws, t, known):
     docs = texts()
     df = spark.createDataFrame(list(enumerate(docs)), "ord long, text string")
     vectors = ws.table(word_grams(df.repartition(3), "ord", "text"), "v").filter("norm2 > 0")
-    index = GramIndex.build(vectors, t, len(docs), keep=known) if known else GramIndex(t, [], vectors)
+    index = GramIndex.build(vectors, t, len(docs), keep=known) if known else GramIndex(t, vectors)
     index.rows_per_salt = 7
     rows = ws.table(index.rows(), "rows")
     got = {(r["ord"], r["rep"]) for r in index.earlier_pairs(rows, rows, ws).collect()}
@@ -83,7 +83,7 @@ def test_until_bounds_candidates(spark, ws):
     docs = ["a b c", "x y", "a b c", "a b c"]
     df = spark.createDataFrame(list(enumerate(docs)), "ord long, text string")
     vectors = ws.table(word_grams(df, "ord", "text"), "v")
-    index = GramIndex(0.9, [], vectors)
+    index = GramIndex(0.9, vectors)
     reps = ws.table(index.rows(), "rows")
     rows = reps.filter("ord = 0").withColumn("until", F.lit(3).cast("long"))
     pairs = index.earlier_pairs(rows, reps, ws).collect()

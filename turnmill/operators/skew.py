@@ -12,9 +12,11 @@ def skew_join(
 
     Keys with more than ``limit`` rows are split over several salts, and their
     ``small`` rows are repeated once per salt. At most rows / ``limit`` keys can be
-    that frequent, which bounds the broadcast table. ``big`` is read twice, so pass a
-    written table.
+    that frequent, which bounds the broadcast table. ``big`` is read more than once, so
+    pass a written table.
     """
+    if big.count() <= limit:
+        return big.join(small, key)
     hot = (
         big.groupBy(key)
         .agg(F.count("*").alias("_n"))
