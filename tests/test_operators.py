@@ -99,7 +99,7 @@ def test_cost_example(spark):
     assert rows[0]["provider"] == "anthropic_sonnet_4.6" and rows[0]["self_hosted_per_1m"] == 0.1634
     assert [r["provider"] for r in rows][-2:] == ["together_llama_8b", "fireworks_llama_8b"]
     zero = spark.createDataFrame([("m", 0.0)], "model string, tok_per_s double")
-    with pytest.raises(Exception, match="no throughput data"):
+    with pytest.raises(Exception, match="throughput must be positive"):
         perf.cost_comparison(zero).collect()
 
 

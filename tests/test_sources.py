@@ -52,7 +52,7 @@ def test_json_array(spark, tmp_path):
     rows = normalize_json(readers.read_records(spark, str(tmp_path / "*.json"))).orderBy("_ordinal").collect()
     assert [(r["id"], r["shape"]) for r in rows] == [("0", "text"), ("1", "prompt"), ("2", "text")]
     (tmp_path / "bad.json").write_text('{"text": "x"}')
-    with pytest.raises(Exception, match="is not a JSON array"):
+    with pytest.raises(Exception, match="expected a JSON array"):
         readers.read_records(spark, str(tmp_path / "bad.json")).collect()
 
 
@@ -70,7 +70,7 @@ def test_eval_sets_and_errors(spark, tmp_path):
     for bad in ("x.parquet", "hub:name"):
         with pytest.raises(ValueError):
             readers.load_eval_set(spark, bad)
-    with pytest.raises(ValueError, match="Unknown file format"):
+    with pytest.raises(ValueError, match="no reader for"):
         readers.read_records(spark, "x.xml")
 
 

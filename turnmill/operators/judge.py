@@ -55,6 +55,7 @@ def unpaired_rows(
 
 
 def judge_prompt(prompt: Column, a: Column, b: Column) -> Column:
+    """The blind comparison shown to the judge; the section headings are fixed values."""
     return F.concat(
         F.lit("USER PROMPT:\n"), prompt, F.lit("\n\nRESPONSE A:\n"), a, F.lit("\n\nRESPONSE B:\n"), b
     )

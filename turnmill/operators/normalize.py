@@ -214,7 +214,7 @@ def funnel_counts(routed: DataFrame, strict: bool = False) -> DataFrame:
         out = out.withColumn(
             "kept",
             F.when(F.col("kept") > 0, F.col("kept")).otherwise(
-                F.raise_error(F.lit("No valid rows found. Check schema.")).cast("long")
+                F.raise_error(F.lit("the length gate kept no rows")).cast("long")
             ),
         )
     return out

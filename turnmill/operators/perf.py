@@ -154,7 +154,7 @@ def batch_throughput(log: DataFrame, group: Sequence[str] = ("batch",)) -> DataF
 def self_hosted_cost(tok_per_s: Column, hourly: float = HOURLY_COST) -> Column:
     """Dollars per million tokens; throughput must be positive."""
     positive = F.when(tok_per_s > 0, tok_per_s).otherwise(
-        F.raise_error(F.lit("no throughput data")).cast("double")
+        F.raise_error(F.lit("throughput must be positive")).cast("double")
     )
     return F.lit(hourly) / (F.lit(3600.0) * positive) * F.lit(1_000_000.0)
 

@@ -35,7 +35,7 @@ def spread(df: DataFrame) -> DataFrame:
 def detect_format(path: str) -> str:
     fmt = FORMATS.get(PurePosixPath(path).suffix.lower())
     if fmt is None:
-        raise ValueError(f"Unknown file format: {path}")
+        raise ValueError(f"no reader for {path}")
     return fmt
 
 
@@ -75,7 +75,7 @@ def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     is_array = F.startswith(strip(F.col("value")), F.lit("["))
     items = F.from_json("value", "array<string>")
     checked = F.when(is_array & items.isNotNull(), items).otherwise(
-        F.raise_error(F.concat("_file", F.lit(" is not a JSON array"))).cast("array<string>")
+        F.raise_error(F.concat("_file", F.lit(": expected a JSON array at the top"))).cast("array<string>")
     )
     rows = files.select("_file", F.posexplode(checked).alias("_pos", "raw"))
     # Positions are per file; earlier files come first.
@@ -169,7 +169,7 @@ def load_eval_set(spark: SparkSession, dataset: str | list[dict], limit: int = 2
     elif dataset.endswith(".json"):
         data = read_json_array(spark, dataset)
     else:
-        raise ValueError(f"Unknown dataset source: {dataset}")
+        raise ValueError(f"no reader for dataset {dataset}")
     return data.orderBy("_ordinal").limit(limit)
 
 
