@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from turnmill.llm.labelled import fold
 from turnmill.llm.mixing import mix_plan
+from turnmill.llm.quality import classify_quality
 from turnmill.llm.repetition import repetition_rules
 from turnmill.llm.secrets import find_secrets
 
@@ -28,6 +30,12 @@ def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(documents(spark, sf_dir))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each document; the fifth of the keys with crc32 divisible by 5 is left out of the fit."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return classify_quality(documents(spark, sf_dir), labels, fold(F.col("doc_id"), 5) == 0)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of the fixed forms and random strings in each document."""
     return find_secrets(documents(spark, sf_dir), BYTE_VOCABULARY)
@@ -36,5 +44,6 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mix_sources": op5_mix_sources,
     "op6_repetition_rules": op6_repetition_rules,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_secret_scan": op10_secret_scan,
 }
