@@ -12,6 +12,7 @@ from turnmill.llm.mixing import mix_plan
 from turnmill.llm.quality import classify_quality
 from turnmill.llm.repetition import repetition_rules
 from turnmill.llm.secrets import find_secrets
+from turnmill.llm.toxicity import classify_toxicity
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -20,6 +21,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document; the third of the keys with crc32 remainder 1 is left out of the fit."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return classify_toxicity(documents(spark, sf_dir), labels, fold(F.col("doc_id"), 3) == 1)
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents: 150 % of all words, weights 3, 1, 2, at most twice a source."""
     return mix_plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -42,6 +49,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
     "op5_mix_sources": op5_mix_sources,
     "op6_repetition_rules": op6_repetition_rules,
     "op8_quality_classifier": op8_quality_classifier,
