@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from turnmill.llm.labelled import fold
+from turnmill.llm.langid import identify_languages
 from turnmill.llm.mixing import mix_plan
 from turnmill.llm.quality import classify_quality
 from turnmill.llm.repetition import repetition_rules
@@ -15,6 +16,7 @@ from turnmill.llm.secrets import find_secrets
 from turnmill.llm.toxicity import classify_toxicity
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +29,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(documents(spark, sf_dir), labels, fold(F.col("doc_id"), 3) == 1)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document; the quarter of the keys with crc32 remainder 2 is left out of the fit."""
+    return identify_languages(documents(spark, sf_dir), PIECE_VOCABULARY, fold(F.col("doc_id"), 4) == 2)
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents: 150 % of all words, weights 3, 1, 2, at most twice a source."""
     return mix_plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -50,6 +57,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
+    "op4_language_id": op4_language_id,
     "op5_mix_sources": op5_mix_sources,
     "op6_repetition_rules": op6_repetition_rules,
     "op8_quality_classifier": op8_quality_classifier,
