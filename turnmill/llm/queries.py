@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from turnmill.llm.decontaminate import contaminated
 from turnmill.llm.labelled import fold
 from turnmill.llm.langid import identify_languages
 from turnmill.llm.mixing import mix_plan
@@ -50,6 +51,11 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(documents(spark, sf_dir), labels, fold(F.col("doc_id"), 5) == 0)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of the benchmark, with up to 8 % of a passage edited."""
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of the fixed forms and random strings in each document."""
     return find_secrets(documents(spark, sf_dir), BYTE_VOCABULARY)
@@ -61,5 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mix_sources": op5_mix_sources,
     "op6_repetition_rules": op6_repetition_rules,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_decontaminate": op9_decontaminate,
     "op10_secret_scan": op10_secret_scan,
 }
