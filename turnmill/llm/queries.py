@@ -11,6 +11,7 @@ from turnmill.llm.decontaminate import contaminated
 from turnmill.llm.labelled import fold
 from turnmill.llm.langid import identify_languages
 from turnmill.llm.mixing import mix_plan
+from turnmill.llm.packing import pack_documents
 from turnmill.llm.quality import classify_quality
 from turnmill.llm.repetition import repetition_rules
 from turnmill.llm.secrets import find_secrets
@@ -45,6 +46,11 @@ def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(documents(spark, sf_dir))
 
 
+def op7_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids, packed best-fit-decreasing into rows of 2,048."""
+    return pack_documents(documents(spark, sf_dir), BYTE_VOCABULARY)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of each document; the fifth of the keys with crc32 divisible by 5 is left out of the fit."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_mix_sources": op5_mix_sources,
     "op6_repetition_rules": op6_repetition_rules,
+    "op7_pack_tokens": op7_pack_tokens,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_decontaminate": op9_decontaminate,
     "op10_secret_scan": op10_secret_scan,
