@@ -11,6 +11,7 @@ from turnmill.llm.decontaminate import contaminated
 from turnmill.llm.labelled import fold
 from turnmill.llm.langid import identify_languages
 from turnmill.llm.mixing import mix_plan
+from turnmill.llm.ngram_join import jaccard_components
 from turnmill.llm.packing import pack_documents
 from turnmill.llm.quality import classify_quality
 from turnmill.llm.repetition import repetition_rules
@@ -25,6 +26,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of documents whose four-word shingles have a Jaccard similarity of 0.85, and their components."""
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of each document; the third of the keys with crc32 remainder 1 is left out of the fit."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -68,6 +74,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
     "op5_mix_sources": op5_mix_sources,
