@@ -16,6 +16,7 @@ from turnmill.llm.packing import pack_documents
 from turnmill.llm.quality import classify_quality
 from turnmill.llm.repetition import repetition_rules
 from turnmill.llm.secrets import find_secrets
+from turnmill.llm.substrings import remove_repeats
 from turnmill.llm.toxicity import classify_toxicity
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -31,6 +32,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of 50-word windows that an earlier document has."""
+    return remove_repeats(documents(spark, sf_dir))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of each document; the third of the keys with crc32 remainder 1 is left out of the fit."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -75,6 +81,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
     "op5_mix_sources": op5_mix_sources,

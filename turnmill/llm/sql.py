@@ -34,4 +34,57 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies FROM counted
 """
 
-ORACLE: dict[str, str] = {"op5_mix_sources": MIX}
+JACCARD = r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(w) < 4 THEN w ELSE w[i:i + 3] END, ' ') AS s
+  FROM cut, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS t(i) WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * o >= 85 * (a.n + b.n - o)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), least AS (
+  SELECT x, min(y) AS component_id FROM reach GROUP BY x
+), degrees AS (
+  SELECT x, count(*) AS n_links FROM links GROUP BY x
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM documents d JOIN least l ON l.x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN degrees g ON g.x = d.doc_id
+"""
+
+REPEATS = r"""
+WITH cut AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), wins AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM cut, unnest(range(1, len(w) - 48)) AS t(i) WHERE len(w) >= 50
+), least AS (
+  SELECT s, min(doc_id) AS lo FROM wins GROUP BY s
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS at
+  FROM (SELECT doc_id, i FROM wins JOIN least USING (s) WHERE doc_id > lo), unnest(range(0, 50)) AS t(k)
+), kept AS (
+  SELECT c.doc_id, string_agg(c.word, ' ' ORDER BY c.at) AS body, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM cut) c
+  LEFT JOIN gone g ON g.doc_id = c.doc_id AND g.at = c.at WHERE g.at IS NULL GROUP BY c.doc_id
+)
+SELECT cut.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM cut LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard": JACCARD,
+    "op2_substring_dedup": REPEATS,
+    "op5_mix_sources": MIX,
+}
