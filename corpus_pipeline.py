@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from turnmill.llm.decontaminate import drop_contaminated
 from turnmill.llm.mixing import mix_documents
+from turnmill.llm.ngram_join import one_of_each
+from turnmill.llm.packing import pack_documents
 from turnmill.llm.repetition import drop_repetitive
 from turnmill.workspace import Workspace
 
@@ -14,22 +18,43 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return drop_repetitive(docs)
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones."""
+    return one_of_each(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
     return mix_documents(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("mix_sources", mix_sources)]
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows of 2,048 token ids, packed best-fit-decreasing."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("mixing", mixing),
+    ("token_output", token_output),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
     space = Workspace(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    for name, stage in STAGES:
         docs = space.table(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return docs
 
 
-#: The stages' own arithmetic cannot be written in SQL.
+#: SQL has no byte-pair encoding and no suffix order; the stages are tested against brute force.
 ORACLE_SQL = None

@@ -24,11 +24,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import AtomicType
 
 from turnmill.llm.graph import components
-from turnmill.llm.text import mix, pieces, windows, words, rolled
+from turnmill.llm.text import mix, pieces, rolled, windows, words
 from turnmill.workspace import Workspace
 
+#: Any character of a word.
+WORD = r"[^\x20\x09-\x0D]"
 SIGNATURE = "doc_id long, n long, node long, check long, prefix array<int>"
 
 
@@ -78,8 +81,11 @@ class Threshold:
         return F.ceil(n * self.percent / 100)
 
 
-def signed(values: np.ndarray) -> np.ndarray:
-    return values.view(np.int64)
+def set_names(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits that name each set; 0 for empty ones."""
+    node = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
+    check = np.array([(s * mix(s ^ np.uint64(0x5BF0))).sum(dtype=np.uint64) for s in sets], np.uint64)
+    return node.view(np.int64), check.view(np.int64)
 
 
 def signatures(docs: DataFrame, key: str, text: str, k: int, at: Threshold) -> DataFrame:
@@ -89,11 +95,10 @@ def signatures(docs: DataFrame, key: str, text: str, k: int, at: Threshold) -> D
         for batch in batches:
             for piece in pieces(batch):
                 sets = shingle_sets(piece.column(1), k)
-                node = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
-                check = np.array([(s * mix(s ^ np.uint64(0x5BF0))).sum(dtype=np.uint64) for s in sets], np.uint64)
+                node, check = set_names(sets)
                 prefix = [(s[: at.posted(len(s))] >> np.uint64(32)).astype(np.uint32).view(np.int32) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(signed(node)), pa.array(signed(check)), pa.array(prefix, pa.list_(pa.int32()))],
+                    [piece.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(node), pa.array(check), pa.array(prefix, pa.list_(pa.int32()))],
                     ["doc_id", "n", "node", "check", "prefix"],
                 )
 
@@ -108,11 +113,10 @@ def whole_sets(texts: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch):
                 sets = shingle_sets(piece.column(piece.schema.get_field_index("text")), k)
-                node = piece.column(piece.schema.get_field_index("node")).to_pylist()
-                name = signed(np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)).tolist()
-                sets = [s if a == b else s[:0] for s, a, b in zip(sets, node, name, strict=True)]
+                same = set_names(sets)[0] == piece.column(piece.schema.get_field_index("node")).to_numpy()
+                sets = [s if x else s[:0] for s, x in zip(sets, same.tolist(), strict=True)]
                 rep = np.repeat(piece.column(0).to_numpy(), [len(s) for s in sets])
-                shingle = signed(np.concatenate(sets)) if len(rep) else np.zeros(0, np.int64)
+                shingle = np.concatenate(sets).view(np.int64) if len(rep) else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(rep, pa.int64()), pa.array(shingle)], ["rep", "shingle"])
 
     return texts.select("rep", "node", "text").mapInArrow(run, "rep long, shingle long").distinct()
@@ -211,8 +215,9 @@ def block_links(
 
 
 def jaccard_components(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85, chunk: int = 1_000_000, space: Workspace | None = None
-) -> DataFrame:
+    docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85, chunk: int = 1_000_000,
+    space: Workspace | None = None, with_names: bool = False,
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id and n_links.
 
     Two rows link when their sets of ``k``-word shingles have a Jaccard similarity of ``percent`` / 100
@@ -220,10 +225,9 @@ def jaccard_components(
     rows that it links to. Null and empty texts have no shingles and no links. Rows of equal sets are
     linked, also if they repeat a key; a null key is reached by others but never names a component,
     unless no key does. Blocks of over ``chunk`` posted hashes are searched in pairs of chunks.
-    Empty input gives no rows.
+    ``with_names`` adds the 128-bit name of each set, node and check. Empty input gives no rows.
     """
-    spark = docs.sparkSession
-    space = space or Workspace(spark)
+    space = space or Workspace(docs.sparkSession)
     at = Threshold(percent)
     sets = space.table(signatures(docs, key, text, k, at), "signatures")
     full = sets.filter("n > 0")
@@ -236,14 +240,44 @@ def jaccard_components(
     classes = classes.drop("n").join(named, "rep", "left").join(degrees, "rep", "left")
     out = sets.drop("prefix").join(classes, ["node", "check"], "left")
     alone = F.col("n") == 0
+    named = ["node", "check"] if with_names else []
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "rep", "doc_id")).alias("component_id"),
         F.when(alone, F.lit(0)).otherwise(F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).cast("long").alias("n_links"),
+        *named,
     )
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85, space: Workspace | None = None) -> DataFrame:
+    """The rows of ``docs`` that are left when one row of each component stays, unchanged.
+
+    The row of the component's least key stays; of several rows with that key and an equal set the one
+    least by text and the other columns that can be ordered, of several sets the one least by name.
+    Rows without words are no copies of anything and stay. Columns of any name and type pass through.
+    """
+    worded = F.coalesce(docs[text].rlike(WORD), F.lit(False))
+    rows = docs.filter(worded)
+    groups = jaccard_components(rows, key, text, k, percent, space=space, with_names=True)
+    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id")
+    kept = first.agg(F.min(F.struct("node", "check")).alias("name")).select(F.col("component_id").alias("own_key"), "name.*")
+    held = rows.select(rows[key].cast("long").alias("doc_id"), rows[text].alias("text"), F.struct(*[rows[c] for c in docs.columns]).alias("row"))
+    mine = held.join(kept, F.col("doc_id").eqNullSafe(F.col("own_key"))).select("doc_id", "text", "node", "check", "row")
+
+    def same_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                node, check = set_names(shingle_sets(piece.column(1), k))
+                same = (node == piece.column(2).to_numpy()) & (check == piece.column(3).to_numpy())
+                yield piece.filter(pa.array(same))
+
+    plain = [x.name for x in docs.schema.fields if isinstance(x.dataType, AtomicType)]
+    order = F.struct("text", *[F.col("row")[c] for c in plain])
+    one = mine.mapInArrow(same_set, mine.schema).groupBy("doc_id").agg(F.min_by("row", order).alias("row"))
+    return one.select("row.*").union(docs.filter(~worded))
+
+
 def _class_links(
     docs: DataFrame, sets: DataFrame, classes: DataFrame, key: str, text: str, k: int, at: Threshold, chunk: int, space: Workspace
 ) -> DataFrame:
