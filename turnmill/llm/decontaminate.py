@@ -224,7 +224,8 @@ def contaminated(
 
     ``start`` and ``end`` span the passages in code points, ``n_passages`` counts them, ``edits`` is the
     fewest that one needs. Passages are ``window`` bytes every ``step``, or the whole of a shorter item;
-    up to ``rate`` of their bytes may be edited. Items under ``least`` bytes, null items and null or
+    up to ``rate`` of their bytes may be edited,
+    fewer in short ones, where a quarter of the q-grams must be left in common. Items under ``least`` bytes, null items and null or
     empty texts match nothing. Rows that repeat a key give their hits each.
     """
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))

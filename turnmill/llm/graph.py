@@ -49,15 +49,15 @@ def components(edges: DataFrame, space: Workspace, small: int = 200_000) -> Data
     while left.count() > small:
         both = left.union(left.select("b", "a"))
         up = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("up"))
-        jumped = up.join(up.withColumnsRenamed({"a": "up", "up": "top"}), "up", "left")
+        jumped = up.join(up.select(F.col("a").alias("up"), F.col("up").alias("top")), "up", "left")
         step = space.table(jumped.select(F.col("a").alias("vertex"), F.coalesce("top", "up").alias("component")), "step")
         named = step if named is None else space.table(
-            named.join(step.withColumnsRenamed({"vertex": "component", "component": "top"}), "component", "left")
+            named.join(step.select(F.col("vertex").alias("component"), F.col("component").alias("top")), "component", "left")
             .select("vertex", F.coalesce("top", "component").alias("component")),
             "named",
         )
-        ends = step.withColumnsRenamed({"vertex": "a", "component": "x"})
-        moved = left.join(ends, "a").drop("a").join(ends.withColumnsRenamed({"a": "b", "x": "y"}), "b")
+        heads, tails = (step.select(F.col("vertex").alias(v), F.col("component").alias(c)) for v, c in (("a", "x"), ("b", "y")))
+        moved = left.join(heads, "a").join(tails, "b")
         moved = moved.filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
         left = space.table(moved.mapInArrow(_contract, EDGE).distinct(), "edges")
 
@@ -70,7 +70,7 @@ def components(edges: DataFrame, space: Workspace, small: int = 200_000) -> Data
     last = left.coalesce(1).mapInArrow(finish, "vertex long, component long")
     if named is None:
         return space.table(last, "components")
-    ends = last.withColumnsRenamed({"vertex": "component", "component": "top"})
+    ends = last.select(F.col("vertex").alias("component"), F.col("component").alias("top"))
     return space.table(
         named.join(ends, "component", "left").select("vertex", F.coalesce("top", "component").alias("component")), "components"
     )

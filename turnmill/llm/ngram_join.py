@@ -107,19 +107,20 @@ def signatures(docs: DataFrame, key: str, text: str, k: int, at: Threshold) -> D
 
 
 def whole_sets(texts: DataFrame, k: int) -> DataFrame:
-    """Rows (rep, shingle) of texts (rep, node, check, text); texts of another set than named are left out."""
+    """Rows (id, shingle) of texts (id, node, check, text); texts of another set than named are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
                 sets = shingle_sets(piece.column(piece.schema.get_field_index("text")), k)
-                same = set_names(sets)[0] == piece.column(piece.schema.get_field_index("node")).to_numpy()
+                node, check = set_names(sets)
+                same = (node == piece.column(1).to_numpy()) & (check == piece.column(2).to_numpy())
                 sets = [s if x else s[:0] for s, x in zip(sets, same.tolist(), strict=True)]
-                rep = np.repeat(piece.column(0).to_numpy(), [len(s) for s in sets])
-                shingle = np.concatenate(sets).view(np.int64) if len(rep) else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(rep, pa.int64()), pa.array(shingle)], ["rep", "shingle"])
+                own = np.repeat(piece.column(0).to_numpy(), [len(s) for s in sets])
+                shingle = np.concatenate(sets).view(np.int64) if len(own) else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(shingle)], ["id", "shingle"])
 
-    return texts.select("rep", "node", "text").mapInArrow(run, "rep long, shingle long").distinct()
+    return texts.select("id", "node", "check", "text").mapInArrow(run, "id long, shingle long")
 
 
 class Lists:
@@ -223,33 +224,43 @@ def jaccard_components(
     Two rows link when their sets of ``k``-word shingles have a Jaccard similarity of ``percent`` / 100
     or more. ``component_id`` is the least key reachable, its own included; ``n_links`` the number of
     rows that it links to. Null and empty texts have no shingles and no links. Rows of equal sets are
-    linked, also if they repeat a key; a null key is reached by others but never names a component,
-    unless no key does. Blocks of over ``chunk`` posted hashes are searched in pairs of chunks.
+    linked, also if they repeat a key; a null key links like others but names no component, so that of
+    rows without any key is null. Blocks of over ``chunk`` posted hashes are searched in pairs of chunks.
     ``with_names`` adds the 128-bit name of each set, node and check. Empty input gives no rows.
     """
     space = space or Workspace(docs.sparkSession)
     at = Threshold(percent)
     sets = space.table(signatures(docs, key, text, k, at), "signatures")
-    full = sets.filter("n > 0")
-    classes = space.table(
-        full.groupBy("node", "check").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n")), "classes"
-    )
+    classes = space.table(_classes(sets.filter("n > 0")), "classes")
     links = _class_links(docs, sets, classes, key, text, k, at, chunk, space)
-    named = components(links.filter("b IS NOT NULL").select("a", "b"), space).withColumnRenamed("vertex", "rep")
-    degrees = links.filter("degree IS NOT NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("degree").alias("degree"))
-    classes = classes.drop("n").join(named, "rep", "left").join(degrees, "rep", "left")
+    linked = components(links.filter("b IS NOT NULL").select("a", "b"), space).withColumnRenamed("vertex", "id")
+    degrees = links.filter("degree IS NOT NULL").groupBy(F.col("a").alias("id")).agg(F.sum("degree").alias("degree"))
+    classes = classes.drop("n").join(linked, "id", "left").join(degrees, "id", "left")
+    least = classes.filter("component IS NOT NULL").groupBy("component").agg(F.min("rep").alias("component_id"))
+    classes = classes.join(least, "component", "left")
     out = sets.drop("prefix").join(classes, ["node", "check"], "left")
     alone = F.col("n") == 0
     named = ["node", "check"] if with_names else []
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "rep", "doc_id")).alias("component_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component_id", "rep")).alias("component_id"),
         F.when(alone, F.lit(0)).otherwise(F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).cast("long").alias("n_links"),
         *named,
     )
 
 
+def _classes(sets: DataFrame) -> DataFrame:
+    """One row for each different set: its least key, its number of rows, and an id of its own.
+
+    The id is the least key, unless that is null or names another class too; then it is the node.
+    """
+    classes = sets.groupBy("node", "check").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"))
+    same_rep = Window.partitionBy("rep", F.when(F.col("rep").isNull(), F.col("node"))).orderBy("node", "check")
+    leads = F.col("rep").isNotNull() & (F.row_number().over(same_rep) == 1)
+    return classes.withColumn("id", F.when(leads, F.col("rep")).otherwise(F.col("node")))
+
+
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85, space: Workspace | None = None) -> DataFrame:
     """The rows of ``docs`` that are left when one row of each component stays, unchanged.
 
@@ -281,52 +292,53 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
 def _class_links(
     docs: DataFrame, sets: DataFrame, classes: DataFrame, key: str, text: str, k: int, at: Threshold, chunk: int, space: Workspace
 ) -> DataFrame:
-    """Rows (a, b, degree): links between the first rows of classes, and the copies that each links to."""
+    """Rows (a, b, degree): links between the ids of classes, and the copies that each links to."""
     # Sets too small for any difference have no partners but their copies.
-    able = classes.filter((F.col("rep").isNotNull()) & (at.needed_whole(F.col("n")) < F.col("n")))
-    reps = able.select("rep", "node", "check", "n")
-    posted = (
-        sets.select(F.col("doc_id").alias("rep"), "node", "check", "prefix")
-        .join(reps, ["rep", "node", "check"])
-        .select("rep", "n", F.explode("prefix").alias("hash"))
-    )
-    shared = posted.withColumn("owners", F.count("*").over(Window.partitionBy("hash"))).filter("owners > 1")
-    likely = shared.groupBy("rep").agg(F.count("*").alias("hits"), F.first("n").alias("n")).filter(F.col("hits") >= at.needed(F.col("n")))
-    likely = space.table(likely.select("rep"), "likely")
-    texts = docs.select(docs[key].cast("long").alias("rep"), docs[text].alias("text")).join(reps.join(likely, "rep"), "rep")
-    owned = whole_sets(texts, k).withColumn("owners", F.count("*").over(Window.partitionBy("shingle"))).filter("owners > 1")
-    listed = owned.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("owners", "shingle"))).alias("rarest"))
-    found = listed.join(classes.filter("rep IS NOT NULL").select("rep", "n", "copies"), "rep")
+    reps = classes.filter(at.needed_whole(F.col("n")) < F.col("n")).select("id", "rep", "node", "check", "n")
+    same = F.col("doc_id").eqNullSafe(F.col("rep"))
+    posted = sets.select("doc_id", "node", "check", "prefix").join(reps, ["node", "check"]).filter(same)
+    posted = posted.select("id", "n", F.explode("prefix").alias("hash"))
+    owned_hash = Window.partitionBy("hash")
+    shared = posted.withColumn("lo", F.min("id").over(owned_hash)).withColumn("hi", F.max("id").over(owned_hash)).filter("lo < hi")
+    likely = shared.groupBy("id").agg(F.count("*").alias("hits"), F.first("n").alias("n")).filter(F.col("hits") >= at.needed(F.col("n")))
+    likely = space.table(likely.select("id"), "likely")
+    rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
+    texts = rows.join(reps.join(likely, "id"), same)
+    shingle = Window.partitionBy("shingle")
+    owned = whole_sets(texts, k).select("*", F.count("*").over(shingle).alias("owners"), F.min("id").over(shingle).alias("lo"), F.max("id").over(shingle).alias("hi"))
+    # Rows that repeat key and text post twice; sets keep each hash once.
+    listed = owned.filter("lo < hi").groupBy("id").agg(F.array_sort(F.collect_set(F.struct("owners", "shingle"))).alias("rarest"))
+    found = listed.join(classes.select("id", "n", "copies"), "id")
     least = at.needed_whole(F.col("n"))
     found = space.table(
-        found.filter(F.size("rarest") >= least).select("rep", "n", "copies", F.col("rarest.shingle").alias("shingles")), "sets"
+        found.filter(F.size("rarest") >= least).select("id", "n", "copies", F.col("rarest.shingle").alias("shingles")), "sets"
     )
     # Hashes without a second owner come first, so this many of the others can differ, and one more.
-    route = found.select("rep", F.explode(F.slice("shingles", F.lit(1), (F.size("shingles") - least + 1).cast("int"))).alias("hash"))
-    least_rep = route.groupBy("hash").agg(F.min("rep").alias("to"))
-    edges = route.join(least_rep, "hash").filter("rep <> to").select(F.col("rep").alias("a"), F.col("to").alias("b")).distinct()
-    blocks = components(edges, space).withColumnsRenamed({"vertex": "rep", "component": "block"})
-    held = found.join(blocks, "rep")
+    route = found.select("id", F.explode(F.slice("shingles", F.lit(1), (F.size("shingles") - least + 1).cast("int"))).alias("hash"))
+    least_id = route.groupBy("hash").agg(F.min("id").alias("to"))
+    edges = route.join(least_id, "hash").filter("id <> to").select(F.col("id").alias("a"), F.col("to").alias("b")).distinct()
+    blocks = components(edges, space).withColumnsRenamed({"vertex": "id", "component": "block"})
+    held = found.join(blocks, "id")
     chunks = held.groupBy("block").agg(F.ceil(F.sum(F.size("shingles")) / chunk).cast("int").alias("chunks"))
-    held = held.join(chunks, "block").withColumn("side", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
+    held = held.join(chunks, "block").withColumn("side", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
     # A set goes to every pair of chunks that has its own.
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     held = held.withColumn("other", other).select(
-        "block", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "rep", "n", "copies", "side", "shingles"
+        "block", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "id", "n", "copies", "side", "shingles"
     )
 
     def search(table: pa.Table) -> pa.Table:
-        rep, n, copies, side = (table[c].to_numpy() for c in ("rep", "n", "copies", "side"))
-        order = np.argsort(rep)
+        own_id, n, copies, side = (table[c].to_numpy() for c in ("id", "n", "copies", "side"))
+        order = np.argsort(own_id)
         own = table["shingles"].combine_chunks()
         ends, values = own.offsets.to_numpy(), own.values.to_numpy()
         body = [np.sort(values[ends[i] : ends[i + 1]]) for i in order]
-        rep, n, copies, side = rep[order], n[order], copies[order], side[order]
+        own_id, n, copies, side = own_id[order], n[order], copies[order], side[order]
         cross = table["low"][0].as_py() != table["high"][0].as_py()
         degree, links = block_links(body, n, copies, side if cross else None, at)
         some = np.flatnonzero(degree)
-        a = np.concatenate((rep[[x for x, _ in links]], rep[some]))
-        b = [*rep[[y for _, y in links]].tolist(), *[None] * len(some)]
+        a = np.concatenate((own_id[[x for x, _ in links]], own_id[some]))
+        b = [*own_id[[y for _, y in links]].tolist(), *[None] * len(some)]
         d = [*[None] * len(links), *degree[some].tolist()]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "degree": pa.array(d, pa.int64())})
 

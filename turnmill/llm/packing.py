@@ -133,7 +133,8 @@ def pack_documents(
     Reruns agree. Empty input gives no rows. ``write_packed`` keeps the result as files.
     """
     total = docs.agg(F.sum(F.octet_length(docs[text]))).first()[0] or 0
-    parts = encode_parts(docs, vocabulary, max(1, -(-total // shard_bytes)), length, end_id, key, text)
+    shards = max(1, -(-total // shard_bytes))
+    parts = encode_parts(docs, vocabulary, shards, length, end_id, key, text)
 
     def run(shard: pa.Table) -> pa.Table:
         width = encoder(vocabulary).type().itemsize
@@ -145,7 +146,9 @@ def pack_documents(
         ("shard", pa.int64()), ("row", pa.int32()), ("n_tokens", pa.int32()), ("ids", pa.binary()), ("cu_seqlens", ints),
         ("position_resets", ints), ("doc_ids", pa.list_(pa.int64())), ("parts", ints),
     ])
-    return parts.groupBy("shard").applyInArrow(run, ROWS)
+    # Tasks hold 64 shards at most, or fewer if the session deals out more partitions.
+    spread = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-shards // 64))
+    return parts.repartition(spread, "shard").groupBy("shard").applyInArrow(run, ROWS)
 
 
 def write_packed(packed: DataFrame, path: str) -> None:
