@@ -101,6 +101,6 @@ def clean_variants(raw: Column, n: int) -> Column:
     lines = F.split(raw, r"\r\n|[\r\n\x0b\f\r\x1c\x1d\x1e\x85\u2028\u2029]")
     stripped = F.transform(lines, strip)
     bare = F.transform(
-        stripped, lambda ln: F.regexp_replace(ln, r"(?U)^(?:[\p{Nd}.)\-][\s\x1c-\x1f]*)+", "")
+        stripped, lambda ln: F.regexp_replace(ln, r"(?U)^[\p{Nd}.)\-][\p{Nd}.)\-\s\x1c-\x1f]*", "")
     )
     return F.slice(F.filter(bare, lambda ln: ln != ""), 1, n)

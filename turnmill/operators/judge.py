@@ -13,14 +13,14 @@ IMPROVED = 0.6
 COMPARABLE = 0.45
 
 
-def assert_unique(df: DataFrame, key: str) -> DataFrame:
-    """Fail the query if a key occurs twice; joins on it would multiply rows.
+def assert_unique(df: DataFrame, *keys: str) -> DataFrame:
+    """Fail the query if keys occur twice together; joins on them would multiply rows.
 
     The check is a count per key, combined before the shuffle.
     """
-    repeated = df.groupBy(key).count().filter(F.col("count") > 1).limit(1).collect()
+    repeated = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
     if repeated:
-        raise ValueError(f"{key} is not unique: {repeated[0][0]!r}")
+        raise ValueError(f"{', '.join(keys)} not unique: {tuple(repeated[0])[:-1]!r}")
     return df
 
 
@@ -37,8 +37,10 @@ def pair_outputs(
 ) -> DataFrame:
     """Prompts with both models' outputs; a prompt missing either one is left out.
 
-    Ids must be unique per model (see :func:`assert_unique`).
+    Ids must be unique, and unique per model among the outputs; else the query fails.
     """
+    assert_unique(prompts, key)
+    outputs = assert_unique(outputs.filter(F.col("model").isin(base, finetune)), key, "model")
     b = _one_model(outputs, base, "base", key).filter(F.col("base_output").isNotNull())
     f = _one_model(outputs, finetune, "finetune", key).filter(F.col("finetune_output").isNotNull())
     return prompts.join(b, key).join(f, key)

@@ -172,24 +172,39 @@ def normalize_columns(df: DataFrame, keep: list[str] | None = None) -> DataFrame
     return _finish(df, _ColumnFields(df), keep or ["_ordinal"])
 
 
+def _route(n_chars: Column, min_chars: int, max_chars: int) -> Column:
+    return (
+        F.when(n_chars.isNull(), F.lit("schema"))
+        .when(n_chars < min_chars, F.lit("short"))
+        .when(n_chars > max_chars, F.lit("long"))
+        .otherwise(F.lit("kept"))
+    )
+
+
 def length_gate(
     df: DataFrame, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS
 ) -> DataFrame:
-    """Add ``n_chars`` and ``route``: kept, schema, short or long (bounds are kept).
+    """Add ``n_chars`` and ``route``: kept, schema, short or long (bounds are kept)."""
+    gated = df.withColumn("n_chars", total_chars(F.col("messages")))
+    return gated.withColumn("route", _route(F.col("n_chars"), min_chars, max_chars))
+
+
+def gate_turns(
+    turns: DataFrame,
+    conv: str = "conv_id",
+    text: str = "text",
+    min_chars: int = MIN_CHARS,
+    max_chars: int = MAX_CHARS,
+) -> DataFrame:
+    """The length gate over a turn table: one row per conversation, without its turns.
 
-    A folded conversation too large to hold as one row arrives without messages but
-    with its ``n_chars``; it is long, not unrecognised.
+    Sums are combined before the shuffle, so a conversation of any length costs a few rows.
     """
-    n = total_chars(F.col("messages"))
-    if "n_chars" in df.columns:
-        n = F.coalesce(n, F.col("n_chars"))
-    return df.withColumn("n_chars", n).withColumn(
-        "route",
-        F.when(F.col("n_chars").isNull(), F.lit("schema"))
-        .when(F.col("n_chars") < min_chars, F.lit("short"))
-        .when(F.col("n_chars") > max_chars, F.lit("long"))
-        .otherwise(F.lit("kept")),
+    totals = turns.groupBy(conv).agg(
+        F.count("*").alias("n_turns"),
+        F.coalesce(F.sum(F.length(text).cast("long")), F.lit(0)).alias("n_chars"),
     )
+    return totals.withColumn("route", _route(F.col("n_chars"), min_chars, max_chars))
 
 
 def funnel_counts(routed: DataFrame, strict: bool = False) -> DataFrame:
@@ -226,49 +241,64 @@ def fold_turns(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    max_chars: int = MAX_CHARS,
-    max_turns: int = 100_000,
 ) -> DataFrame:
-    """A turn table to one conversation per row, turns in order.
+    """A turn table to one conversation per row, turns in order, whatever their number.
 
-    A conversation of more than ``max_turns`` turns that is also over ``max_chars`` can
-    only be dropped by the length gate, so it is summed up (``n_turns``, ``n_chars``)
-    instead of being collected into one group; its ``messages`` are null. One pass over
-    the id column finds them first: there are at most rows / ``max_turns``, which
-    bounds the broadcast, and usually none.
+    Where only conversations that pass the length gate are wanted, use ``fold_gated``:
+    it never collects the others.
     """
-    many = (
-        turns.groupBy(F.col(conv).alias("_many"))
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > max_turns)
-        .select("_many")
-    )
-    totals = [F.count("*").alias("n_turns"), F.sum(F.length(text).cast("long")).alias("n_chars")]
-    if many.isEmpty():
-        return _folded(turns, conv, turn, role, text, totals)
-    # Null-safe: turns without an id form a conversation too, and it may be large.
-    oversized = (
-        turns.join(F.broadcast(many), F.col(conv).eqNullSafe(F.col("_many")), "left_semi")
-        .groupBy(conv)
-        .agg(*totals)
-        .filter(F.col("n_chars") > max_chars)
-    )
-    out_of_reach = F.broadcast(oversized.select(F.col(conv).alias("_many")))
-    rest = turns.join(out_of_reach, F.col(conv).eqNullSafe(F.col("_many")), "left_anti")
-    whole = oversized.select(
-        F.col(conv).cast("string").alias("id"), conv,
-        F.lit(None).cast(MESSAGES).alias("messages"), "n_turns", "n_chars",
-    )
-    return _folded(rest, conv, turn, role, text, totals).unionByName(whole)
-
-
-def _folded(turns: DataFrame, conv: str, turn: str, role: str, text: str, totals: list[Column]) -> DataFrame:
     one = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content"))
     messages = F.transform(
         "_turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))
     )
+    totals = [F.count("*").alias("n_turns"), F.sum(F.length(text).cast("long")).alias("n_chars")]
     return (
         turns.groupBy(conv)
         .agg(*totals, F.array_sort(F.collect_list(one)).alias("_turns"))
         .select(F.col(conv).cast("string").alias("id"), conv, messages.alias("messages"), "n_turns", "n_chars")
     )
+
+
+def fold_gated(
+    turns: DataFrame,
+    conv: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    min_chars: int = MIN_CHARS,
+    max_chars: int = MAX_CHARS,
+) -> DataFrame:
+    """Every conversation with its ``route``; only kept ones are folded and have messages.
+
+    Turns without a conversation id form one conversation too, as in ``fold_turns``.
+    """
+    gate = gate_turns(turns, conv, text, min_chars, max_chars)
+    kept = gate.filter("route = 'kept'").select(F.col(conv).alias("_kept"))
+    short_enough = turns.join(kept, F.col(conv).eqNullSafe(F.col("_kept")), "left_semi")
+    folded = fold_turns(short_enough, conv, turn, role, text).withColumn("route", F.lit("kept"))
+    rest = gate.filter("route <> 'kept'").select(
+        F.col(conv).cast("string").alias("id"), conv, F.lit(None).cast(MESSAGES).alias("messages"),
+        "n_turns", "n_chars", "route",
+    )
+    return folded.unionByName(rest)
+
+
+def first_by_role(
+    turns: DataFrame,
+    roles: dict[str, str],
+    conv: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+) -> DataFrame:
+    """Per conversation the content of the first turn of each role, as the column named for it.
+
+    One combining aggregate: conversations are not folded.
+    """
+    said = F.struct(F.col(role).alias("role"), F.col(text).alias("content"))
+    order = F.struct(F.col(turn), said)
+    firsts = [
+        F.min(F.when(F.col(role) == r, order)).getField("col2").getField("content").alias(name)
+        for r, name in roles.items()
+    ]
+    return turns.groupBy(conv).agg(*firsts)

@@ -70,7 +70,7 @@ def block_positions(df: DataFrame, block: list[str], seqs: dict[str, str]) -> Da
     ``block`` columns name a contiguous piece of input that one task reads whole and
     sort in input order; ``seqs`` maps a ``monotonically_increasing_id`` column, null on
     rows it does not count, to the position column to add. Only one count per block
-    is shuffled, and the broadcast side has one row per block.
+    is shuffled; its side of the join has one row per block.
     """
     aggs = []
     for seq in seqs:
@@ -85,7 +85,7 @@ def block_positions(df: DataFrame, block: list[str], seqs: dict[str, str]) -> Da
             for s in seqs
         ],
     )
-    out = df.withColumn("_block_key", F.xxhash64(*block)).join(F.broadcast(offsets), "_block_key")
+    out = df.withColumn("_block_key", F.xxhash64(*block)).join(offsets, "_block_key")
     for seq, pos in seqs.items():
         out = out.withColumn(pos, F.col(seq) + F.col(f"off_{seq}"))
     return out.drop("_block_key", *[f"off_{s}" for s in seqs])

@@ -10,7 +10,8 @@ from turnmill.operators.ordering import seeded_key
 # Fixed value: tokens per packed sequence.
 MAX_TOKENS = 2048
 
-ROWS_PER_SHARD = 1_000_000
+# Shards of a corpus, whatever its size: results do not change with the number of rows.
+SHARDS = 64
 
 
 def pack_sequences(
@@ -18,22 +19,20 @@ def pack_sequences(
     key: str = "id",
     text: str = "text",
     max_tokens: int = MAX_TOKENS,
-    shards: int | None = None,
+    shards: int = SHARDS,
     seed: int = 42,
 ) -> DataFrame:
     """Fragments ``shard, pack, key, from_token, n_tokens``; no pack exceeds the maximum.
 
     Rows are laid end to end per shard and cut at pack borders, so a row may span
-    packs. Shards are even by construction (hash of the unique key) and number one per
-    million rows unless given; the window moves ids and lengths only, never texts.
+    packs. Shards are even by construction (hash of the unique key); ask for more of them
+    for corpora of over some 10^8 rows. The window moves ids and lengths only, never texts.
     """
     lengths = df.select(
         key,
         approx_tokens(F.length(text)).alias("n"),
         seeded_key(seed, F.col(key)).alias("_order"),
     ).filter(F.col("n") > 0)
-    if shards is None:
-        shards = max(1, -(-df.count() // ROWS_PER_SHARD))
     placed = lengths.withColumn("shard", F.pmod("_order", F.lit(shards)).cast("int"))
     line = (
         Window.partitionBy("shard")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -28,69 +28,118 @@ QUANTILES = (0.5, 0.95, 0.99)
 BROADCAST_GROUPS = 100_000
 
 
-def latency_percentiles(
-    df: DataFrame, group: Sequence[str], value: str, quantiles: Sequence[float] = QUANTILES
-) -> DataFrame:
-    """Exact order statistics per group: the value at index ``min(int(q*n), n-1)``.
+def order_statistics(
+    df: DataFrame, group: Sequence[str], wanted: Mapping[str, Sequence[float]], sums: Mapping[str, Column] | None = None,
+    ws: Workspace | None = None, most: int = 1_000_000,
+) -> tuple[DataFrame, DataFrame]:
+    """Exact order statistics of several columns per group, in two scans; and plain aggregates.
 
-    Long form ``group..., q, n, value``. A window over a group would sort it in one
-    task, so the rank is first narrowed: a quantile sketch with a guaranteed rank
-    error gives a value range that must hold the answer; values below it are only
-    counted, and only the distinct values inside it are ranked. The result is exact, and
-    the query fails rather than answer if the guarantee were ever broken.
+    Returns the long form ``group..., name, q, n, value``, the value at index
+    ``min(int(q*n), n-1)`` of each column's non-null values, and the table of groups with
+    ``sums``. A window over a group would sort it in one task, so ranks are narrowed
+    first: one aggregate holds a quantile sketch of every column with a guaranteed rank
+    error, which gives a value range that must hold each answer; the second scan counts
+    what lies below it and the distinct values inside. Where those are still over ``most``,
+    the range is cut into equal parts and only the part with the answer is ranked.
+    The query fails rather than answer if the guarantee were ever broken.
     """
-    group = list(group)
-    accuracy, slack = 10_000, 5e-4
-    rows = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_v"))
-    marks = sorted({min(1.0, max(0.0, q + d)) for q in quantiles for d in (-slack, slack)})
-    at = {m: i for i, m in enumerate(marks)}
-    sketch = rows.groupBy(*group).agg(
-        F.count("*").alias("n"),
-        F.percentile_approx("_v", marks, accuracy).alias("_marks"),
-        F.min("_v").alias("_lo"),
-        F.max("_v").alias("_hi"),
-    )
-    wanted = F.array(
-        *[
+    group, accuracy, slack = list(group), 10_000, 5e-4
+    ws = ws or Workspace(df.sparkSession)
+    aggs, targets = [], []
+    for name, quantiles in wanted.items():
+        v = F.col(name).cast("double")
+        marks = sorted({min(1.0, max(0.0, q + d)) for q in quantiles for d in (-slack, slack)})
+        at = {m: i for i, m in enumerate(marks)}
+        n, sketch, lo, hi = (F.col(f"_{name}_{x}") for x in ("n", "marks", "lo", "hi"))
+        aggs += [
+            F.count(v).alias(f"_{name}_n"), F.percentile_approx(v, marks, accuracy).alias(f"_{name}_marks"),
+            F.min(v).alias(f"_{name}_lo"), F.max(v).alias(f"_{name}_hi"),
+        ]
+        targets += [
             F.struct(
-                F.lit(float(q)).alias("q"),
-                F.least(F.floor(F.col("n") * F.lit(float(q))), F.col("n") - 1).alias("idx"),
-                F.when(F.col("n") * F.lit(max(0.0, q - slack)) < 2, F.col("_lo"))
-                .otherwise(F.col("_marks")[at[max(0.0, q - slack)]]).alias("lo"),
-                F.when(F.col("n") * F.lit(1 - min(1.0, q + slack)) < 2, F.col("_hi"))
-                .otherwise(F.col("_marks")[at[min(1.0, q + slack)]]).alias("hi"),
+                F.lit(name).alias("name"), F.lit(float(q)).alias("q"), n.alias("n"),
+                F.least(F.floor(n * F.lit(float(q))), n - 1).alias("idx"),
+                F.when(n * F.lit(max(0.0, q - slack)) < 2, lo).otherwise(sketch[at[max(0.0, q - slack)]]).alias("lo"),
+                F.when(n * F.lit(1 - min(1.0, q + slack)) < 2, hi).otherwise(sketch[at[min(1.0, q + slack)]]).alias("hi"),
             )
             for q in quantiles
         ]
-    )
-    # One row per group. Groups are models or request kinds, so this side is nearly
-    # always small; it is broadcast only when its written size says so, because a
-    # shuffle on the group would put a third of the log into one task.
-    targets = Workspace(df.sparkSession).table(sketch.select(*group, "n", wanted.alias("_wanted")), "targets")
-    if targets.count() <= BROADCAST_GROUPS:
-        targets = F.broadcast(targets)
+    plain = [c.alias(name) for name, c in (sums or {}).items()]
+    summed = df.groupBy(*group).agg(*aggs, *plain).withColumn("_wanted", F.array(*targets))
+    # One row per group. Groups are models or request kinds, so this side is nearly always
+    # small; it is broadcast only when its written size says so, because a shuffle on
+    # the group would put a third of the log into one task.
+    summed = ws.table(summed.select(*group, *[c for c in sums or {}], "_wanted"), "groups")
+    asked = summed.select(*group, F.filter("_wanted", lambda w: w["n"] > 0).alias("_wanted"))
+    if asked.count() <= BROADCAST_GROUPS:
+        asked = F.broadcast(asked)
+    values = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in wanted])
+    one = F.explode(F.filter(values, lambda x: x["v"].isNotNull())).alias("x")
     near = (
-        rows.join(targets, group)
-        .select(*group, "n", "_v", F.explode("_wanted").alias("w"))
-        .filter(F.col("_v") <= F.col("w.hi"))
-        .select(
-            *group, "n", F.col("w.q").alias("q"), F.col("w.idx").alias("idx"),
-            F.when(F.col("_v") >= F.col("w.lo"), F.col("_v")).alias("_v"),
-        )
-        .groupBy(*group, "n", "q", "idx", "_v")
+        df.select(*group, one)
+        .join(asked, group)
+        .select(*group, "x.v", F.explode(F.filter("_wanted", lambda w: (w["name"] == F.col("x.name")) & (F.col("x.v") <= w["hi"]))).alias("w"))
+        # The null value stands for everything below the range and sorts first.
+        .select(*group, "w.*", F.when(F.col("v") >= F.col("w.lo"), F.col("v")).alias("_v"))
+        .groupBy(*group, "name", "q", "n", "idx", "lo", "hi", "_v")
         .agg(F.count("*").alias("_c"))
     )
-    # The null value stands for everything below the range and sorts first.
-    upto = Window.partitionBy(*group, "q").orderBy(F.col("_v").asc_nulls_first())
+    key = [*group, "name", "q"]
+    near = ws.table(near, "near")
+    if near.count() > most:
+        near = _answer_part(near, key)
+    upto = Window.partitionBy(*key).orderBy(F.col("_v").asc_nulls_first())
     ranked = near.withColumn("_upto", F.sum("_c").over(upto))
     reached = F.when(F.col("_upto") > F.col("idx"), F.struct("_upto", "_v"))
-    hit = ranked.groupBy(*group, "q", "n").agg(F.min(reached).alias("first"))
+    hit = ranked.groupBy(*key, "n").agg(F.min(reached).alias("first"))
     answer = F.col("first._v")
     return hit.select(
-        *group, "q", "n",
+        *key, "n",
         F.when(answer.isNotNull(), answer)
         .otherwise(F.raise_error(F.lit("quantile sketch out of bounds")).cast("double"))
         .alias("value"),
+    ), summed.drop("_wanted")
+
+
+def _answer_part(near: DataFrame, key: list[str], parts: int = 4096) -> DataFrame:
+    """Of each target's counted values only the part of its range that holds the answer.
+
+    The rows before that part are summed up in the null value.
+    """
+    share = (F.col("_v") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
+    part = F.coalesce(F.least(F.floor(share * parts), F.lit(parts - 1)), F.when(F.col("_v").isNull(), F.lit(-1)).otherwise(F.lit(0)))
+    cut = near.withColumn("part", part)
+    upto = Window.partitionBy(*key).orderBy("part")
+    counts = cut.groupBy(*key, "idx", "part").agg(F.sum("_c").alias("_c")).withColumn("_upto", F.sum("_c").over(upto))
+    holds = counts.filter("_upto > idx").groupBy(*key).agg(F.min("part").alias("holds"))
+    return (
+        cut.join(holds, key)
+        .filter(F.col("part") <= F.col("holds"))
+        .withColumn("_v", F.when(F.col("part") == F.col("holds"), F.col("_v")))
+        .groupBy(*key, "n", "idx", "_v")
+        .agg(F.sum("_c").alias("_c"))
+    )
+
+
+def latency_percentiles(
+    df: DataFrame, group: Sequence[str], value: str, quantiles: Sequence[float] = QUANTILES
+) -> DataFrame:
+    """Exact order statistics of one column per group: long form ``group..., q, n, value``."""
+    return order_statistics(df, group, {value: quantiles})[0].drop("name")
+
+
+def _per_second() -> Column:
+    return F.when(
+        (F.col("output_tokens") > 0) & (F.col("total_ms") > 0),
+        F.col("output_tokens") / (F.col("total_ms") / F.lit(1000.0)),
+    )
+
+
+def throughput_summary(log: DataFrame, group: Sequence[str] = ("model",)) -> DataFrame:
+    """Mean and best tokens per second of successful requests per group, in one scan."""
+    return log.filter(F.col("error").isNull()).groupBy(*group).agg(
+        round_half_even(F.avg(_per_second()), 1).alias("throughput_mean"),
+        round_half_even(F.max(_per_second()), 1).alias("throughput_max"),
     )
 
 
@@ -101,35 +150,26 @@ def request_summary(log: DataFrame, group: Sequence[str] = ("model",)) -> DataFr
     first-token times are excluded; throughput needs at least one token.
     """
     group = list(group)
-    ok = log.filter(F.col("error").isNull())
-    per_s = F.when(
-        (F.col("output_tokens") > 0) & (F.col("total_ms") > 0),
-        F.col("output_tokens") / (F.col("total_ms") / F.lit(1000.0)),
-    )
-    sums = ok.groupBy(*group).agg(
-        F.count("total_ms").alias("requests"),
-        F.count("ttft_ms").alias("ttft_samples"),
-        round_half_even(F.avg("total_ms"), 1).alias("latency_mean"),
-        round_half_even(F.avg("ttft_ms"), 1).alias("ttft_mean"),
-        round_half_even(F.avg(per_s), 1).alias("throughput_mean"),
-        round_half_even(F.max(per_s), 1).alias("throughput_max"),
+    wanted = {"total_ms": QUANTILES, "ttft_ms": QUANTILES[:2]}
+    long, sums = order_statistics(
+        log.filter(F.col("error").isNull()), group, wanted,
+        {
+            "requests": F.count("total_ms"),
+            "ttft_samples": F.count("ttft_ms"),
+            "latency_mean": round_half_even(F.avg("total_ms"), 1),
+            "ttft_mean": round_half_even(F.avg("ttft_ms"), 1),
+            "throughput_mean": round_half_even(F.avg(_per_second()), 1),
+            "throughput_max": round_half_even(F.max(_per_second()), 1),
+        },
     )
-
-    def wide(value: str, name: str, quantiles: Sequence[float]) -> DataFrame:
-        long = latency_percentiles(ok, group, value, quantiles)
-        return long.groupBy(*group).agg(
-            *[
-                round_half_even(F.max(F.when(F.col("q") == q, F.col("value"))), 1).alias(
-                    f"{name}_p{round(q * 100)}"
-                )
-                for q in quantiles
-            ]
+    wide = [
+        round_half_even(F.max(F.when((F.col("name") == name) & (F.col("q") == q), F.col("value"))), 1).alias(
+            f"{title}_p{round(q * 100)}"
         )
-
-    return (
-        sums.join(wide("total_ms", "latency", QUANTILES), group, "left")
-        .join(wide("ttft_ms", "ttft", QUANTILES[:2]), group, "left")
-    )
+        for name, title in (("total_ms", "latency"), ("ttft_ms", "ttft"))
+        for q in wanted[name]
+    ]
+    return sums.join(long.groupBy(*group).agg(*wide), group, "left")
 
 
 def batch_throughput(log: DataFrame, group: Sequence[str] = ("batch",)) -> DataFrame:

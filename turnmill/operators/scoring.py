@@ -93,6 +93,6 @@ def pick_metric(results: DataFrame, known: DataFrame, task: str = "task") -> Dat
     picked = F.coalesce(
         F.try_element_at(normed, F.lit(1))["value"], F.try_element_at(usable, F.lit(1))["value"]
     )
-    return results.join(F.broadcast(known), task).select(
+    return results.join(known, task).select(
         task, *[c for c in known.columns if c != task], round_half_even(picked, 4).alias("score")
     )

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from turnmill.functions.chat import CHATML, ChatTemplate, render_chat, row_text
-from turnmill.functions.pii import redact_messages
-from turnmill.operators.augment import augment_rows
+from turnmill.functions.chat import CHATML, ChatTemplate, first_content, render_chat, review_text, row_text
+from turnmill.functions.pii import REDACT_RULES, redact_messages
+from turnmill.functions.vectors import embed_with_model
+from turnmill.operators.augment import augment_rows, augment_stats
+from turnmill.operators.judge import assert_unique
+from turnmill.operators.model_apply import apply_model, redact_with_model
 from turnmill.operators.normalize import funnel_counts, length_gate
-from turnmill.operators.quality import attach_scores, quality_filter, score_histogram
+from turnmill.operators.quality import attach_scores, quality_filter, rubric_prompt, score_histogram
 from turnmill.operators.sampling import EVAL_RATIO, train_eval_split
-from turnmill.operators.semantic import DEFAULT_THRESHOLD, dedup_stats, semantic_dedup
+from turnmill.operators.semantic import DEFAULT_THRESHOLD, dedup_stats, embedding_dedup, semantic_dedup
 from turnmill.plans.stages import StageStore
+from turnmill.schema import MAX_CHARS, MIN_CHARS
 from turnmill.workspace import Workspace
 
 
@@ -31,12 +36,38 @@ class EnrichConfig:
     eval_ratio: float = EVAL_RATIO
 
 
+@dataclass(frozen=True)
+class EnrichModels:
+    """User models that take the place of rules and prepared tables; all are optional.
+
+    ``embed`` makes a batch embedding function (see ``embed_with_model``) and replaces word
+    bigrams in dedup; ``review`` answers a rubric prompt and replaces ``scores``; ``redact``
+    rewrites one message and replaces the rules; ``paraphrase`` answers with one variant
+    per line and replaces ``variants``. ``rubric`` and ``domain`` shape the review.
+    """
+
+    embed: Callable | None = None
+    review: Callable[[str], str] | None = None
+    redact: Callable[[str], str] | None = None
+    paraphrase: Callable[[str], str] | None = None
+    rubric: str = "Rate this conversation from 1 to 5. Answer with JSON: overall, reason."
+    domain: str | None = None
+    version: str = ""
+
+
 @dataclass
 class EnrichResult:
-    """Final rows plus the tables each step reported on."""
+    """Final rows, the reports, and what the steps left out.
+
+    ``duplicates`` carry the row that covers them, ``rejects`` their score;
+    ``quarantined`` holds the ids of rows that the redaction model failed on.
+    """
 
     rows: DataFrame
     report: DataFrame
+    duplicates: DataFrame | None = None
+    rejects: DataFrame | None = None
+    quarantined: DataFrame | None = None
 
 
 def long_report(stage: str, one_row: DataFrame) -> DataFrame:
@@ -52,24 +83,34 @@ def long_report(stage: str, one_row: DataFrame) -> DataFrame:
 
 def enrich(
     conversations: DataFrame,
-    scores: DataFrame,
+    scores: DataFrame | None,
     ws: Workspace,
     config: EnrichConfig = EnrichConfig(),
     variants: DataFrame | None = None,
     template: ChatTemplate = CHATML,
     stages: StageStore | None = None,
-    source: str = "",
+    sources: Mapping[str, str] | None = None,
+    models: EnrichModels = EnrichModels(),
 ) -> EnrichResult:
-    """Run the configured steps over ``id, ord, messages`` (``ord`` long, unique).
+    """Run the configured steps over ``id, ord, messages`` (``ord`` long; both unique).
 
     Every step is written once and read by its report and the next step. With
     ``stages`` the tables are kept under their fingerprint, so a repeated run only
-    redoes steps whose input or parameters changed. The split comes after
-    redaction, so evaluation rows are deduplicated and redacted too, and the text is
-    rendered last, from the final messages.
+    redoes steps whose input or parameters changed; ``sources`` then names the
+    fingerprint of each input table (``conversations``, ``scores``, ``variants``). The
+    split comes after redaction, so evaluation rows are deduplicated and redacted too,
+    and the text is rendered last, from the final messages. A repeated id fails the run.
     """
     reports = []
-    mark = source
+    if config.quality_filter and scores is None and models.review is None:
+        raise ValueError("the quality filter needs scores or a review model")
+    needed = {"conversations"}
+    needed |= {"scores"} if config.quality_filter and models.review is None else set()
+    needed |= {"variants"} if config.augment and variants is not None else set()
+    if stages is not None and needed - set(sources or {}):
+        raise ValueError(f"stages need a fingerprint of {sorted(needed - set(sources or {}))}")
+    marks = dict(sources or {})
+    mark = marks.get("conversations", "")
 
     def step(name: str, params: dict, build) -> DataFrame:
         nonlocal mark
@@ -78,29 +119,35 @@ def enrich(
         table, mark = stages.run(name, mark, params, build)
         return table
 
-    gated = step("gate", {}, lambda: length_gate(conversations))
+    gate = {"min_chars": MIN_CHARS, "max_chars": MAX_CHARS}
+    gated = step("gate", gate, lambda: length_gate(assert_unique(conversations, "id")))
     reports.append(long_report("gate", funnel_counts(gated)))
     rows = gated.filter("route = 'kept'").select("id", "ord", "messages")
+    duplicates = rejects = None
 
     if config.dedup:
         before = rows
         clusters = step(
             "dedup",
-            {"threshold": config.dedup_threshold},
-            lambda: semantic_dedup(
-                before.select("ord", row_text(F.col("messages")).alias("text")),
-                ws, "ord", "text", config.dedup_threshold, cluster_ids=False,
-            ),
+            {"threshold": config.dedup_threshold, "embed": models.version if models.embed else None},
+            lambda: _deduplicated(before, ws, config.dedup_threshold, models),
         )
         reports.append(long_report("dedup", dedup_stats(clusters, config.dedup_threshold)))
+        duplicates = before.join(clusters.filter("state <> 'kept'"), "ord")
         rows = rows.join(clusters.filter("state = 'kept'").select("ord"), "ord", "left_semi")
 
     if config.quality_filter:
         unscored = rows
         scored = step(
             "quality",
-            {"min_overall": config.quality_min_overall},
-            lambda: quality_filter(attach_scores(unscored, scores), config.quality_min_overall),
+            {
+                "min_overall": config.quality_min_overall, "scores": marks.get("scores"),
+                "review": [models.version, models.rubric, models.domain] if models.review else None,
+            },
+            lambda: quality_filter(
+                attach_scores(unscored, _reviewed(unscored, ws, models) if models.review else scores),
+                config.quality_min_overall,
+            ),
         )
         reports.append(
             long_report(
@@ -120,29 +167,44 @@ def enrich(
                 F.col("rows").cast("double").alias("value"),
             )
         )
+        rejects = scored.filter("route = 'rejected'").drop("route")
         rows = scored.filter("route = 'kept'").drop("route")
 
-    if config.redact:
+    quarantined = None
+    if config.redact and models.redact:
+        rows, quarantined = redact_with_model(rows, models.redact, ws)
+    elif config.redact:
         rows = rows.withColumn("messages", redact_messages(F.col("messages")))
 
     unsplit = rows
     rows = step(
         "split",
-        {"ratio": config.eval_ratio, "redact": config.redact},
+        {
+            "ratio": config.eval_ratio, "redact": REDACT_RULES if config.redact else None,
+            "model": models.version if config.redact and models.redact else None,
+        },
         lambda: train_eval_split(unsplit, config.eval_ratio),
     )
-    if config.augment and variants is not None:
-        train, held_out = rows.filter("split = 'train'"), rows.filter("split = 'eval'")
-        more = augment_rows(train, variants, config.augment_variants_per_row)
-        rows = more.unionByName(held_out.withColumn("_aug_source", F.lit(None).cast("string")))
+    if config.augment and (variants is not None or models.paraphrase):
+        unaugmented = rows
+
+        def augmented() -> DataFrame:
+            train, held_out = (unaugmented.filter(F.col("split") == s) for s in ("train", "eval"))
+            made = _paraphrased(train, ws, models.paraphrase) if models.paraphrase else variants
+            new = augment_rows(train, made, config.augment_variants_per_row)
+            return new.unionByName(held_out.withColumn("_aug_source", F.lit(None).cast("string")))
+
+        rows = step(
+            "augment",
+            {
+                "per_row": config.augment_variants_per_row, "variants": marks.get("variants"),
+                "model": models.version if models.paraphrase else None,
+            },
+            augmented,
+        )
+        more = rows.filter("split = 'train'")
         reports.append(
-            long_report(
-                "augment",
-                more.agg(
-                    F.count_if(F.col("_aug_source").isNull()).alias("input_rows"),
-                    F.count("*").alias("output_rows"),
-                ),
-            )
+            long_report("augment", augment_stats(more, config.augment_variants_per_row).drop("variants_per_row"))
         )
     rows = rows.withColumn("text", render_chat(F.col("messages"), template))
     reports.append(long_report("final", rows.agg(F.count("*").alias("rows"))))
@@ -155,4 +217,22 @@ def enrich(
     )
     for part in reports:
         report = report.unionByName(part)
-    return EnrichResult(rows, report)
+    return EnrichResult(rows, report, duplicates, rejects, quarantined)
+
+
+def _deduplicated(rows: DataFrame, ws: Workspace, threshold: float, models: EnrichModels) -> DataFrame:
+    texts = rows.select("ord", row_text(F.col("messages")).alias("text"))
+    if models.embed is None:
+        return semantic_dedup(texts, ws, "ord", "text", threshold, cluster_ids=False)
+    vectors = ws.table(texts.select("ord", embed_with_model(F.col("text"), models.embed).alias("embedding")), "embedded")
+    return embedding_dedup(vectors, ws, "ord", "embedding", threshold).drop("cluster_id")
+
+
+def _reviewed(rows: DataFrame, ws: Workspace, models: EnrichModels) -> DataFrame:
+    asked = F.concat(F.lit(rubric_prompt(models.rubric, models.domain) + "\n\n"), review_text(F.col("messages")))
+    return ws.table(apply_model(rows.select("id", asked.alias("asked")), models.review, "asked"), "reviews")
+
+
+def _paraphrased(rows: DataFrame, ws: Workspace, paraphrase: Callable[[str], str]) -> DataFrame:
+    asked = rows.select("id", first_content(F.col("messages"), "user").alias("asked")).filter("asked IS NOT NULL")
+    return ws.table(apply_model(asked, paraphrase, "asked").select("id", "response"), "paraphrases")

@@ -84,7 +84,7 @@ def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     offsets = files.select("_file", length.alias("_n")).select(
         "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
     )
-    placed = rows.join(F.broadcast(offsets), "_file")
+    placed = rows.join(offsets, "_file")
     return placed.select("raw", (F.col("_pos") + F.col("_off")).alias("_ordinal"))
 
 
@@ -129,7 +129,7 @@ def _number_lines(all_rows: DataFrame, kept: DataFrame) -> DataFrame:
     return (
         block_positions(kept, _BLOCK, {"_seq": "_ordinal"})
         .withColumn("_line_block", F.xxhash64(*_BLOCK))
-        .join(F.broadcast(starts), "_line_block")
+        .join(starts, "_line_block")
         .withColumn("_line", F.col("_line_seq") + F.col("_line_off"))
     )
 
@@ -154,8 +154,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return reader(spark, path)
 
 
-def load_eval_set(spark: SparkSession, dataset: str | list[dict], limit: int = 200) -> DataFrame:
-    """The first ``limit`` rows of an evaluation set, as raw JSON with ordinals.
+def load_eval_set(spark: SparkSession, dataset: str | list[dict]) -> DataFrame:
+    """All rows of an evaluation set, as raw JSON with ordinals; ``head_rows`` takes some.
 
     ``dataset`` is an inline list, or the path of a ``.json`` or ``.jsonl`` file.
     """
@@ -170,7 +170,7 @@ def load_eval_set(spark: SparkSession, dataset: str | list[dict], limit: int = 2
         data = read_json_array(spark, dataset)
     else:
         raise ValueError(f"no reader for dataset {dataset}")
-    return data.orderBy("_ordinal").limit(limit)
+    return data
 
 
 def discover_specs(

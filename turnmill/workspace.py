@@ -6,33 +6,36 @@ by ``spark.checkpoint.dir``, so a lost executor only replays the current step.
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder.
+    """The shared scratch folder: ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Only a local session (tests, laptops) may fall back to a temporary folder: on
-    a cluster a machine-local path would lose data with its executor.
+    Both are shared by all executors; a machine-local folder is never chosen here.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="turnmill-")
-    raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/turnmill-scratch").rstrip("/")
+
+
+_OPEN: "weakref.WeakSet[Workspace]" = weakref.WeakSet()
 
 
 class Workspace:
-    """A private subfolder of the checkpoint folder holding step tables."""
+    """A private subfolder of the checkpoint folder holding step tables.
+
+    Lazy results read these tables, so they stay until ``drop`` or the end of the program.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = f"{root or checkpoint_root(spark)}/turnmill-{uuid.uuid4().hex}"
         self._n = 0
+        _OPEN.add(self)
 
     def path(self, name: str) -> str:
         self._n += 1
@@ -46,7 +49,16 @@ class Workspace:
 
     def drop(self) -> None:
         """Delete every table written here; call when no result reads them any more."""
+        _OPEN.discard(self)
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         fs.delete(path, True)
+
+
+@atexit.register
+def _drop_open() -> None:
+    """Remove what this program left, while its session still runs."""
+    for space in list(_OPEN):
+        if space.spark.sparkContext._jsc is not None:
+            space.drop()

@@ -264,7 +264,7 @@ VERDICT_RESPONSES = """
     WHEN 2 THEN '{"winner": "TIE", "reason": null}'
     WHEN 3 THEN '{"winner": null}'
     WHEN 4 THEN 'So {"winner": "A", "why": {"x": 1}} done'
-    WHEN 5 THEN 'unclear ' || left(text, 400)
+    WHEN 5 THEN 'unclear ' || text
     WHEN 6 THEN ' {"winner": "B", "why": {"x": 1}} '
     WHEN 7 THEN '[{"winner": "A"}]'
     ELSE '{"reason": "none"}' END AS response
@@ -303,7 +303,7 @@ WIN_RATES = f"""
 
 ANSWERS = f"""
   SELECT doc_id, source AS name, text AS generated,
-    CASE lang WHEN 'en' THEN chr(9) || lower(text) || {NL} || ' ' WHEN 'de' THEN substr(text, 5, 30)
+    CASE lang WHEN 'en' THEN chr(9) || lower(text) || {NL} || ' ' WHEN 'de' THEN substr(text, 5)
       WHEN 'es' THEN 'zzz' END AS expected,
     ['exact_match', 'substring', 'llm_judge', 'other'][substr(source, 4)::INT % 4 + 1] AS metric_type,
     CASE WHEN doc_id % 3 = 0 THEN ' 1 yes' ELSE '0' END AS grade
@@ -402,7 +402,7 @@ ORACLE = {
         SELECT doc_id, unnest(list_transform(regexp_split_to_array(text, '\\r\\n|[\\r\\n]'),
           lambda x, k: {{'k': k, 't': {strip('x')}}})) AS l FROM documents)
       WHERE l.t <> ''""",
-    "load_eval_set": "SELECT item_id, text FROM benchmark ORDER BY item_id LIMIT 200",
+    "load_eval_set": "SELECT item_id, text FROM benchmark",
     "discover_specs": f"""
       SELECT path, min(priority) AS priority FROM (
         SELECT {_PATH} AS path, CASE WHEN page_id % 6 IN (0, 4) THEN 1 ELSE 2 END AS priority
@@ -525,8 +525,8 @@ ORACLE = {
     "pack_sequences": f"""
       WITH d AS (SELECT doc_id, ceil(length(text) / 4.0)::BIGINT AS n, {sort_key(42, 'doc_id')} AS h
         FROM documents WHERE length(text) BETWEEN 40 AND 32768),
-      s AS (SELECT doc_id, (h % 4)::INT AS shard, n,
-        (sum(n) OVER (PARTITION BY h % 4 ORDER BY h, doc_id ROWS UNBOUNDED PRECEDING))::BIGINT AS stop FROM d),
+      s AS (SELECT doc_id, (h % 64)::INT AS shard, n,
+        (sum(n) OVER (PARTITION BY h % 64 ORDER BY h, doc_id ROWS UNBOUNDED PRECEDING))::BIGINT AS stop FROM d),
       f AS (SELECT *, stop - n AS start, unnest(range((stop - n) // 2048, (stop - 1) // 2048 + 1)) AS pack FROM s)
       SELECT shard, pack, doc_id, greatest(start, pack * 2048) - start AS from_token,
         least(stop, (pack + 1) * 2048) - greatest(start, pack * 2048) AS n_tokens FROM f""",
@@ -593,6 +593,23 @@ ORACLE = {
         CASE WHEN length(text) % 13 = 0 THEN 'no answer' END AS error,
         CASE WHEN length(text) % 13 = 0 THEN 3 ELSE 1 END::INT AS attempts FROM documents""",
     "incremental_refresh": f"""
-      {semantic(f"SELECT doc_id AS id, {scrub('text')} AS text FROM documents WHERE length(text) BETWEEN 40 AND 32768")}
-      SELECT id AS doc_id FROM words WHERE id NOT IN (SELECT id FROM nearest)""",
+      {semantic(GATED)}
+      SELECT id AS doc_id, {_USER} || {redact('text')} || {_END} AS text,
+        CASE id % 3 WHEN 0 THEN 'd' WHEN 1 THEN '' ELSE '-' END || id AS id
+      FROM ({GATED}) WHERE id NOT IN (SELECT id FROM nearest)""",
+    "enrich_duplicates": f"""
+      {semantic(GATED)}, clusters AS ({CLUSTERS})
+      SELECT id::VARCHAR AS id, rep::VARCHAR AS covered_by, round(sim, 6) AS similarity FROM clusters WHERE state <> 'kept'""",
+    "enrich_rejects": f"{ENRICHED} SELECT id::VARCHAR AS id, overall FROM scored WHERE overall < 3",
+    "redact_model": """
+      SELECT doc_id::VARCHAR AS id, CASE WHEN length(text) % 17 <> 0 THEN replace(text, 'e', '*') END AS text
+      FROM documents WHERE length(text) BETWEEN 40 AND 32768""",
+    "embedding_dedup": f"""
+      WITH RECURSIVE {greedy(DENSE_EDGES.replace('0.3', '0.92'))},
+      assigned AS (SELECT e.vec_id, coalesce(m.rep, e.vec_id) AS rep_id, coalesce(m.sim, 1.0) AS sim, m.rep IS NULL AS kept
+        FROM embeddings e LEFT JOIN nearest m ON m.id = e.vec_id),
+      ids AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS cluster_id FROM assigned WHERE kept)
+      SELECT a.vec_id, a.rep_id AS rep_vec_id, round(a.sim, 6) AS similarity,
+        CASE WHEN a.kept THEN 'kept' ELSE 'dup' END AS state, ids.cluster_id
+      FROM assigned a JOIN ids ON ids.vec_id = a.rep_id""",
 }

@@ -11,7 +11,7 @@ from turnmill.operators import (
     augment, dedup, judge, normalize, packing, perf, quality, sampling, scoring, semantic,
 )
 from turnmill.operators.leaders import leader_clusters, with_cluster_ids
-from turnmill.operators.model_apply import apply_model
+from turnmill.operators.model_apply import apply_model, redact_with_model
 from turnmill.operators.similarity import DenseIndex, cosine_pairs as dense_pairs
 from turnmill.plans.enrich import EnrichConfig, enrich
 from turnmill.plans.stages import StageStore, source_fingerprint
@@ -231,12 +231,8 @@ def render_prompt(spark, sf):
 
 
 def _first_turns(spark, sf):
-    m = F.col("messages")
-    return _conversations(spark, sf).select(
-        "conv_id",
-        chat.first_content(m, "user").alias("prompt"),
-        chat.first_content(m, "assistant").alias("reference"),
-    ).filter(F.col("prompt").isNotNull())
+    roles = {"user": "prompt", "assistant": "reference"}
+    return normalize.first_by_role(_t(spark, sf, "conversations"), roles).filter(F.col("prompt").isNotNull())
 
 
 def first_turns(spark, sf):
@@ -336,6 +332,14 @@ def leader_cluster_ids(spark, sf):
     )
 
 
+def embedding_dedup(spark, sf):
+    """Duplicates by the embeddings of a model, at the threshold for texts."""
+    e = _t(spark, sf, "embeddings").select("vec_id", "embedding")
+    return semantic.embedding_dedup(e, Workspace(spark), "vec_id").select(
+        "vec_id", "rep_vec_id", F.round("similarity", 6).alias("similarity"), "state", "cluster_id"
+    )
+
+
 def exact_dedup(spark, sf):
     docs = _t(spark, sf, "documents").select("doc_id", "text")
     return dedup.exact_dedup(docs, "text", "doc_id").select("doc_id", "n_copies", "text")
@@ -452,7 +456,7 @@ def head_rows(spark, sf):
 
 def pack_sequences(spark, sf):
     kept = _documents_gated(spark, sf).filter("route = 'kept'")
-    return packing.pack_sequences(kept, "doc_id", "text", shards=4)
+    return packing.pack_sequences(kept, "doc_id", "text")
 
 
 # --- judging ----------------------------------------------------------------------
@@ -501,7 +505,7 @@ def _verdict_responses(spark, sf):
         .when(kind == 2, lit('{"winner": "TIE", "reason": null}'))
         .when(kind == 3, lit('{"winner": null}'))
         .when(kind == 4, lit('So {"winner": "A", "why": {"x": 1}} done'))
-        .when(kind == 5, F.concat(lit("unclear "), F.left("text", F.lit(400))))
+        .when(kind == 5, F.concat(lit("unclear "), "text"))
         .when(kind == 6, lit(' {"winner": "B", "why": {"x": 1}} '))
         .when(kind == 7, lit('[{"winner": "A"}]'))
         .otherwise(lit('{"reason": "none"}'))
@@ -538,7 +542,7 @@ def _answers(spark, sf):
     lang = F.col("lang")
     expected = (
         F.when(lang == "en", F.concat(F.lit("\t"), F.lower("text"), F.lit("\n ")))
-        .when(lang == "de", F.substring("text", 5, 30))
+        .when(lang == "de", F.expr("substring(text, 5)"))
         .when(lang == "es", F.lit("zzz"))
     )
     metric = F.element_at(
@@ -622,8 +626,8 @@ def batch_throughput(spark, sf):
 
 
 def _costs(spark, sf):
-    speed = request_summary(spark, sf).select("model", F.col("throughput_mean").alias("tok_per_s"))
-    return perf.cost_comparison(speed)
+    speed = perf.throughput_summary(_request_log(spark, sf))
+    return perf.cost_comparison(speed.select("model", F.col("throughput_mean").alias("tok_per_s")))
 
 
 def cost_comparison(spark, sf):
@@ -655,6 +659,32 @@ def enrich_corpus(spark, sf):
     return rows.select("id", "split", F.col("_aug_source").alias("aug_source"), "text")
 
 
+def enrich_duplicates(spark, sf):
+    """Gated documents that an earlier one covers, and which."""
+    found = _enrich(spark, sf).duplicates
+    return found.select("id", F.col("rep_ord").cast("string").alias("covered_by"), F.round("similarity", 6).alias("similarity"))
+
+
+def enrich_rejects(spark, sf):
+    """Deduplicated documents below the quality threshold."""
+    return _enrich(spark, sf).rejects.select("id", F.col("_quality.overall").alias("overall"))
+
+
+def redact_model(spark, sf):
+    """Documents redacted by a stand-in for a model that fails on some; both results."""
+
+    def hide(text: str) -> str:
+        if len(text) % 17 == 0:
+            raise ValueError("no answer")
+        return text.replace("e", "*")
+
+    docs = _documents_gated(spark, sf).filter("route = 'kept'").select("id", "messages")
+    ws = Workspace(spark)
+    done, failed = redact_with_model(docs, hide, ws, backoff=0.0)
+    text = chat.first_content(F.col("messages"), "user")
+    return done.select("id", text.alias("text")).unionByName(failed.select("id", F.lit(None).cast("string").alias("text")))
+
+
 def enrich_report(spark, sf):
     return _enrich(spark, sf).report
 
@@ -689,20 +719,23 @@ def model_calls(spark, sf):
 
 
 def incremental_refresh(spark, sf):
-    """Documents arriving in three files; the rows each refresh adds to the corpus."""
+    """Documents arriving in three runs, a third without id, a third with text ids; what stays."""
     ws = Workspace(spark)
     inbox, out = ws.path("inbox"), ws.path("corpus")
-    docs = _t(spark, sf, "documents").select("doc_id", "text")
-    n = docs.count()
-    for part in range(3):
-        third = docs.filter(F.floor(F.col("doc_id") * 3 / n) == part)
-        third.coalesce(1).write.mode("append").parquet(inbox)
-    stream = (
-        spark.readStream.schema("doc_id long, text string").option("maxFilesPerTrigger", 1).parquet(inbox)
-    )
-    start_refresh(stream, ws.path("store"), out, ws.path("progress")).awaitTermination()
+    kind = F.col("doc_id") % 3
+    name = F.when(kind == 0, F.concat(F.lit("d"), "doc_id")).when(kind == 1, F.col("doc_id").cast("string"))
+    docs = _t(spark, sf, "documents").select(name.alias("id"), "text", F.col("doc_id").alias("position"))
+    cuts = docs.approxQuantile("position", [1 / 3, 2 / 3], 0.01)
+    part = sum(((F.col("position") > c).cast("int") for c in cuts), F.lit(0))
+    for run in range(3):
+        docs.filter(part == run).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema("id string, text string, position long").parquet(inbox)
+        start_refresh(
+            stream, f"{ws.root}/store", out, f"{ws.root}/progress", order="position", keep=["position"]
+        ).awaitTermination()
     kept = spark.read.option("basePath", out).parquet(out)
-    return kept.select(F.col("id").cast("long").alias("doc_id"))
+    unnamed = F.regexp_replace("id", "^[0-9]+-", "-")
+    return kept.select(F.col("position").alias("doc_id"), unnamed.alias("id"), "text")
 
 
 QUERIES = {
@@ -735,6 +768,7 @@ QUERIES = {
     "l2_normalize": l2_norm,
     "cosine_pairs": cosine_pairs,
     "leader_clusters": leader_cluster_ids,
+    "embedding_dedup": embedding_dedup,
     "exact_dedup": exact_dedup,
     "semantic_dedup": semantic_dedup,
     "dedup_stats": dedup_stats,
@@ -764,7 +798,10 @@ QUERIES = {
     "cost_comparison": cost_comparison,
     "headline_metrics": headline_metrics,
     "enrich_corpus": enrich_corpus,
+    "enrich_duplicates": enrich_duplicates,
+    "enrich_rejects": enrich_rejects,
     "enrich_report": enrich_report,
+    "redact_model": redact_model,
     "stage_resume": stage_resume,
     "apply_model": model_calls,
     "incremental_refresh": incremental_refresh,
