@@ -119,7 +119,7 @@ def plain_removal(rows, k=50):
     return out
 
 
-@pytest.mark.parametrize("group", [2000, 3])
+@pytest.mark.parametrize("group", [50_000, 150, 0])
 def test_substring_removal_matches_brute_force(frame, group):
     rng = random.Random(3)
     passages = [prose(rng, rng.choice([49, 50, 51, 70, 120])).split() for _ in range(6)]
@@ -150,9 +150,9 @@ def test_equal_windows_have_equal_anchors():
     rng = random.Random(9)
     shared = prose(rng, 80)
     w = words(pa.array([prose(rng, 200) + " " + shared + " " + prose(rng, 60), shared, prose(rng, 30)]))
-    starts, place, chosen = anchors(w.fingerprints(), w.first, 50)
-    mine = {int(s - 200): (int(p - s), int(c)) for s, p, c in zip(starts, place, chosen) if 200 <= s <= 230}
-    other = {int(s - w.first[1]): (int(p - s), int(c)) for s, p, c in zip(starts, place, chosen) if w.first[1] <= s < w.first[2]}
+    starts, chosen = anchors(w.fingerprints(), w.first, 50)
+    mine = {int(s - 200): int(c) for s, c in zip(starts, chosen) if 200 <= s <= 230}
+    other = {int(s - w.first[1]): int(c) for s, c in zip(starts, chosen) if w.first[1] <= s < w.first[2]}
     assert mine == other and len(other) == 31
 
 

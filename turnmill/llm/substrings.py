@@ -11,7 +11,7 @@ Only suffixes that can repeat take part:
    words with a common anchor. A group's tree is built down to the depth of a window, at 8, 16, 32
    and all words: two suffixes share a node of depth 2 d if they share one of depth d, and so do the
    suffixes d words later. The least document of each deep node keeps its copy.
-3. Where more documents share an anchor than a group may hold, the prefix is lengthened to the whole
+3. Where more windows have an anchor than a group may hold, the prefix is lengthened to the whole
    window: each suffix is then a group member by itself, and groups are pre-aggregated to their least
    document before they are shuffled.
 
@@ -41,13 +41,13 @@ RUNS = "anchor long, doc_id long, name long, start long, words binary"
 SPANS = "doc_id long, name long, start long, end long"
 
 
-def anchors(word: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Window starts, and for each the place and the hash of its anchor."""
+def anchors(word: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Window starts, and for each the hash of its anchor."""
     _, starts = windows(word, first, window)
-    place, chosen = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.uint64)
+    place = np.zeros(len(starts), np.int64)
     grams = len(word) - GRAM + 1
     if not len(starts):
-        return starts, place, chosen
+        return starts, np.zeros(0, np.uint64)
     gram = rolled(word, np.arange(grams), np.arange(grams) + GRAM, 0xC2B2AE3D27D4EB4F)
     reach = window - GRAM + 1
     for low in range(0, len(word), BLOCK):
@@ -64,7 +64,7 @@ def anchors(word: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarra
             least = np.minimum(least[: len(part) - reach + 1], least[reach - width :])
         at = (least & np.uint64((1 << 24) - 1)).astype(np.int64) + low
         place[mine] = at[starts[mine] - low]
-    return starts, place, gram[place]
+    return starts, gram[place]
 
 
 def text_names(word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,24 +75,25 @@ def text_names(word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def signatures(docs: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    """Each text's number of words, name and distinct anchors."""
+    """Each text's number of words, name and distinct anchors with their numbers of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
                 w = words(piece.column(1))
                 word = w.fingerprints()
-                starts, place, chosen = anchors(word, w.first, window)
+                starts, chosen = anchors(word, w.first, window)
                 name, check = text_names(word, w.first)
                 at = np.searchsorted(starts, w.first)
-                own = [np.unique(chosen[a:b]).view(np.int64) for a, b in zip(at[:-1], at[1:], strict=True)]
+                own = [np.unique(chosen[a:b], return_counts=True) for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(w.counts), pa.array(name), pa.array(check), pa.array(own, pa.list_(pa.int64()))],
-                    ["doc_id", "n_words", "name", "check", "anchors"],
-                )
+                    [piece.column(0), pa.array(w.counts), pa.array(name), pa.array(check),
+                     pa.array([x.view(np.int64) for x, _ in own], pa.list_(pa.int64())), pa.array([n for _, n in own], pa.list_(pa.int64()))],
+                    ["doc_id", "n_words", "name", "check", "anchor", "windows"],
+                )
 
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_words long, name long, check long, anchors array<long>")
+    return rows.mapInArrow(run, "doc_id long, n_words long, name long, check long, anchor array<long>, windows array<long>")
 
 
 def runs(texts: DataFrame, window: int) -> DataFrame:
@@ -104,7 +105,7 @@ def runs(texts: DataFrame, window: int) -> DataFrame:
                 names = piece.schema.names
                 w = words(piece.column(names.index("text")))
                 word = w.fingerprints()
-                starts, place, chosen = anchors(word, w.first, window)
+                starts, chosen = anchors(word, w.first, window)
                 name, _ = text_names(word, w.first)
                 live = piece.column(names.index("live"))
                 row = np.searchsorted(w.first, starts, "right") - 1
@@ -114,8 +115,8 @@ def runs(texts: DataFrame, window: int) -> DataFrame:
                 wanted = live.values.to_numpy()[live.offsets[0].as_py() : live.offsets[-1].as_py()].view(np.uint64)
                 wanted = mix(wanted + np.repeat(np.arange(len(size), dtype=np.uint64), size) * np.uint64(0x9E3779B97F4A7C15))
                 mine &= np.isin(mix(chosen + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), wanted)
-                starts, place, row, chosen = starts[mine], place[mine], row[mine], chosen[mine]
-                fresh = np.append(True, (np.diff(place) != 0) | (np.diff(row) != 0) | (np.diff(starts) != 1))[: len(starts)]
+                starts, row, chosen = starts[mine], row[mine], chosen[mine]
+                fresh = np.append(True, (chosen[1:] != chosen[:-1]) | (np.diff(row) != 0) | (np.diff(starts) != 1))[: len(starts)]
                 a = np.flatnonzero(fresh)
                 b = np.append(a[1:], len(starts)) - 1 if len(a) else a
                 bytes_of = np.ascontiguousarray(word.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEPT])
@@ -264,9 +265,9 @@ def repeated_spans(docs: DataFrame, key: str, text: str, window: int, group: int
     firsts = signed.groupBy("name", "check").agg(F.min("doc_id").alias("rep"))
     same = signed.join(firsts, ["name", "check"])
     copies = same.filter("doc_id > rep").select("doc_id", "name", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"))
-    posted = same.filter("doc_id = rep").select("doc_id", "name", F.explode("anchors").alias("anchor"))
-    shared = posted.groupBy("anchor").agg(F.count("*").alias("owners"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    shared = shared.filter("lo < hi").select("anchor", (F.col("owners") > group).alias("long"))
+    posted = same.filter("doc_id = rep").select("doc_id", "name", F.inline(F.arrays_zip("anchor", "windows")))
+    shared = posted.groupBy("anchor").agg(F.sum("windows").alias("windows"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    shared = shared.filter("lo < hi").select("anchor", (F.col("windows") > group).alias("long"))
     marked = space.table(
         posted.join(shared, "anchor").groupBy("doc_id", "name", "long").agg(F.collect_list("anchor").alias("live")), "marked"
     )
@@ -281,14 +282,14 @@ def repeated_spans(docs: DataFrame, key: str, text: str, window: int, group: int
 
 
 def remove_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 50, group: int = 2000, space: Workspace | None = None
+    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 50, group: int = 50_000, space: Workspace | None = None
 ) -> DataFrame:
     """One row per row of ``docs``: n_words, n_removed and the digest of the kept words, joined by spaces.
 
     A word is removed if a window of ``window`` consecutive words that covers it begins in a row of a
     smaller key too. Texts of fewer words, null and empty texts lose nothing, nor do rows with a null
     key, which do not count as earlier either. Rows that repeat a key are judged each. Up to ``group``
-    documents share a group of the tree; anchors of more are split by longer prefixes.
+    windows share a group of the tree; anchors of more are split by longer prefixes.
     """
     space = space or Workspace(docs.sparkSession)
     spans = repeated_spans(docs, key, text, window, group, space)
