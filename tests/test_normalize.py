@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from turnmill.operators.normalize import (
-    fold_turns, funnel_counts, length_gate, normalize_columns, normalize_json,
+    first_by_role, fold_gated, fold_turns, funnel_counts, length_gate, normalize_columns, normalize_json,
 )
 
 CASES = [
@@ -53,14 +53,15 @@ def test_gate_bounds_and_alarm(spark):
     assert (row["total"], row["dropped_schema"], row["high_schema_drop"]) == (4, 4, True)
 
 
-def test_oversized_conversation_is_counted_not_folded(spark):
-    rows = [(1, t, "user", "y" * 50) for t in range(20)] + [(2, 1, "user", "b"), (2, 0, "system", "a")]
-    rows += [(3, t, "user", "") for t in range(20)]
+def test_large_conversations_keep_their_turns(spark):
+    rows = [(1, t, "user", "y" * 200) for t in range(300)] + [(2, 1, "user", "b"), (2, 0, "system", "a")]
+    rows += [(None, t, "user", "z" * 60) for t in range(12)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
-    rows = [(None, t, "user", "z" * 60) for t in range(12)]
-    df = df.unionByName(spark.createDataFrame(rows, df.schema))
-    got = {r["conv_id"]: r for r in length_gate(fold_turns(df, max_chars=500, max_turns=10), 1, 500).collect()}
-    assert got[1]["messages"] is None and got[1]["n_chars"] == 1000 and got[1]["route"] == "long"
-    assert got[None]["messages"] is None and got[None]["n_chars"] == 720
-    assert [m["content"] for m in got[2]["messages"]] == ["a", "b"] and got[2]["route"] == "kept"
-    assert len(got[3]["messages"]) == 20 and got[3]["route"] == "short"
+    got = {r["conv_id"]: r for r in fold_turns(df).collect()}
+    assert len(got[1]["messages"]) == 300 and got[1]["n_chars"] == 60_000
+    assert [m["content"] for m in got[2]["messages"]] == ["a", "b"] and len(got[None]["messages"]) == 12
+    gated = {r["conv_id"]: r for r in fold_gated(df, min_chars=2, max_chars=719).collect()}
+    assert {k: (r["route"], r["n_turns"]) for k, r in gated.items()} == {1: ("long", 300), 2: ("kept", 2), None: ("long", 12)}
+    assert gated[1]["messages"] is None and len(gated[2]["messages"]) == 2
+    firsts = {r["conv_id"]: (r["u"], r["s"]) for r in first_by_role(df, {"user": "u", "system": "s"}).collect()}
+    assert firsts == {1: ("y" * 200, None), 2: ("b", "a"), None: ("z" * 60, None)}

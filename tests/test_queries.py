@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -28,12 +30,12 @@ def plain(value):
     return value if value is None or isinstance(value, (bool, int)) else str(value)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(name, spark, duck):
-    df = contract.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
     got = sorted((tuple(plain(r[c]) for c in columns) for r in df.collect()), key=repr)
-    relation = duck.sql(contract.oracle_sql()[name])
+    relation = duck.sql(ORACLE[name])
     assert sorted(relation.columns) == columns
     at = [relation.columns.index(c) for c in columns]
     want = sorted((tuple(plain(row[i]) for i in at) for row in relation.fetchall()), key=repr)
@@ -41,7 +43,8 @@ def test_matches_sql(name, spark, duck):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

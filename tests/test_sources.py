@@ -5,11 +5,10 @@ from pyspark.sql import functions as F
 
 from turnmill.functions.vectors import embed_with_model
 from turnmill.operators.normalize import normalize_columns, normalize_json
-from turnmill.plans.enrich import EnrichConfig, enrich
+from turnmill.plans.enrich import EnrichConfig, EnrichModels, enrich
 from turnmill.plans.stages import StageStore, source_fingerprint
 from turnmill.sources import readers, sinks
 from turnmill.streaming.refresh import incremental_refresh
-from turnmill.operators.semantic import semantic_dedup
 from tests.test_similarity import texts
 
 
@@ -39,7 +38,7 @@ def test_jsonl_ordinals_over_many_blocks(spark, tmp_path):
 def test_text_lines(spark, tmp_path):
     (tmp_path / "a.txt").write_text("one\n\n  two \n \nthree")
     (tmp_path / "b.md").write_text("\nfour\n")
-    rows = readers.read_records(spark, str(tmp_path / "a.txt")).collect()
+    rows = readers.read_records(spark, str(tmp_path / "a.txt")).orderBy("_ordinal").collect()
     assert [(r["_ordinal"], r["_line"], r["text"]) for r in rows] == [(0, 1, "one"), (1, 3, "two"), (2, 5, "three")]
     both = readers.read_text_lines(spark, str(tmp_path / "*")).orderBy("_ordinal").collect()
     assert [(r["_ordinal"], r["_line"]) for r in both] == [(0, 1), (1, 3), (2, 5), (3, 2)]
@@ -65,8 +64,8 @@ def test_csv(spark, tmp_path):
 
 
 def test_eval_sets_and_errors(spark, tmp_path):
-    inline = readers.load_eval_set(spark, [{"q": 1}, {"q": 2}, {"q": 3}], limit=2)
-    assert [json.loads(r["raw"])["q"] for r in inline.collect()] == [1, 2]
+    inline = readers.load_eval_set(spark, [{"q": i} for i in range(201)])
+    assert [json.loads(r["raw"])["q"] for r in inline.orderBy("_ordinal").collect()] == list(range(201))
     for bad in ("x.parquet", "hub:name"):
         with pytest.raises(ValueError):
             readers.load_eval_set(spark, bad)
@@ -107,11 +106,36 @@ def test_enrich_reuses_stages(spark, ws, tmp_path):
     df = spark.createDataFrame(rows, "id string, ord long, messages array<struct<role:string,content:string>>")
     answers = spark.createDataFrame([("0", '{"overall": 1}')], "id string, response string")
     store = StageStore(spark, str(tmp_path / "s"))
-    one = enrich(df, answers, ws, stages=store, source="v1").rows.select("id", "split").collect()
+    marks = {"conversations": "c1", "scores": "s1"}
+    first = enrich(df, answers, ws, stages=store, sources=marks)
+    one = first.rows.select("id", "split").collect()
     again = StageStore(spark, str(tmp_path / "s"))
-    two = enrich(df, answers, ws, stages=again, source="v1").rows.select("id", "split").collect()
+    two = enrich(df, answers, ws, stages=again, sources=marks).rows.select("id", "split").collect()
     assert store.ran == ["gate", "dedup", "quality", "split"] and again.ran == [] and sorted(one) == sorted(two)
-    assert "0" not in {r["id"] for r in one}
+    assert "0" not in {r["id"] for r in one} and [r["id"] for r in first.rejects.collect()] == ["0"]
+    n_kept, n_gone = len(one), first.duplicates.count()
+    assert n_kept + n_gone + 1 == 40 and {r["ord"] for r in first.duplicates.collect()}.isdisjoint(int(r["id"]) for r in one)
+
+    # Each input changing alone reruns what reads it, and only that.
+    def ran(**changes):
+        fresh = StageStore(spark, str(tmp_path / "s"))
+        given = {"scores": answers, "variants": None, "config": EnrichConfig()} | changes
+        out = enrich(df, given["scores"], ws, given["config"], given["variants"], stages=fresh, sources=marks | changes.get("sources", {}))
+        return fresh.ran, out.rows.count()
+
+    worse = spark.createDataFrame([(str(i), '{"overall": 1}') for i in range(40)], "id string, response string")
+    assert ran(scores=worse, sources={"scores": "s2"}) == (["quality", "split"], 0)
+    assert ran(sources={"conversations": "c2"})[0] == ["gate", "dedup", "quality", "split"]
+    said = spark.createDataFrame([("1", "another"), ("2", "other")], "id string, response string")
+    augmented = EnrichConfig(augment=True)
+    more = ran(config=augmented, variants=said, sources={"variants": "v1"})
+    assert more[0] == ["augment"] and ran(config=augmented, variants=said, sources={"variants": "v1"})[0] == []
+    assert ran(config=augmented, variants=said, sources={"variants": "v2"})[0] == ["augment"]
+    assert ran(config=EnrichConfig(redact=False))[0] == ["split"]
+    with pytest.raises(ValueError, match="fingerprint"):
+        enrich(df, answers, ws, stages=again, sources={"conversations": "c1"})
+    with pytest.raises(ValueError, match="not unique"):
+        enrich(df.unionByName(df), answers, ws)
     off = enrich(df, answers, ws, EnrichConfig(dedup=False, quality_filter=False, redact=False))
     assert off.rows.count() == 40
 
@@ -120,22 +144,62 @@ def test_refresh_keeps_what_one_run_keeps(spark, ws, tmp_path):
     docs = [f"{t} padded to a sensible length for the gate" for t in texts(90, seed=4)]
     inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
 
+    # A third without id, a third with text ids, a third with one and the same id.
+    names = [(None, f"d{i}", "7")[i % 3] for i in range(90)]
+
     def drop(lo, hi):
-        part = spark.createDataFrame([(i, docs[i]) for i in range(lo, hi)], "doc_id long, text string")
-        part.coalesce(1).write.mode("append").parquet(inbox)
+        part = spark.createDataFrame([(names[i], docs[i], i) for i in range(lo, hi)], "id string, text string, at long")
+        part.write.mode("append").parquet(inbox)
 
     def refresh():
-        stream = spark.readStream.schema("doc_id long, text string").option("maxFilesPerTrigger", 1).parquet(inbox)
-        incremental_refresh(stream, str(tmp_path / "store"), out, str(tmp_path / "progress")).awaitTermination()
-        return {int(r["id"]) for r in spark.read.parquet(out).collect()}
+        stream = spark.readStream.schema("id string, text string, at long").parquet(inbox)
+        incremental_refresh(
+            stream, str(tmp_path / "store"), out, str(tmp_path / "progress"), order="at", keep=["at"]
+        ).awaitTermination()
+        return {r["at"]: (r["id"], r["text"]) for r in spark.read.parquet(out).collect()}
 
     drop(0, 30)
+    refresh()
     drop(30, 60)
     refresh()
     drop(60, 90)
     got = refresh()
-    df = spark.createDataFrame(list(enumerate(docs)), "id long, text string")
-    assert got == {r["id"] for r in semantic_dedup(df, ws).filter("state = 'kept'").collect()}
+    turn = "array<struct<role:string,content:string>>"
+    df = spark.createDataFrame([(str(i), i, [("user", d)]) for i, d in enumerate(docs)], f"id string, ord long, messages {turn}")
+    whole = enrich(df, None, ws, EnrichConfig(quality_filter=False)).rows.collect()
+    assert {at: text for at, (_, text) in got.items()} == {r["ord"]: r["text"] for r in whole}
+    assert all(name == (f"{min(at // 30, 2)}-{at}", f"d{at}", "7")[at % 3] for at, (name, _) in got.items())
+
+
+def test_whole_run_with_models(spark, ws):
+    rows = [(str(i), i, [("user", f"{t} padded to a sensible length for the gate")]) for i, t in enumerate(texts(30, seed=6))]
+    df = spark.createDataFrame(rows, "id string, ord long, messages array<struct<role:string,content:string>>")
+
+    def embed():
+        import zlib
+
+        import numpy as np
+
+        return lambda inputs: np.stack([np.random.default_rng(zlib.crc32(x.split()[-1].encode()[:1])).normal(size=8) + len(x) % 2 for x in inputs])
+
+    def review(asked):
+        return '{"overall": 1}' if "on law" not in asked else '{"overall": 4}'
+
+    def hide(text):
+        if "gate" not in text:
+            raise ValueError("no answer")
+        return text.replace("gate", "[GATE]")
+
+    models = EnrichModels(embed=embed, review=review, redact=hide, paraphrase=lambda t: f"1. {t}\n- other", domain="law")
+    out = enrich(df, None, ws, EnrichConfig(augment=True, dedup_threshold=0.999), models=models)
+    kept = out.rows.collect()
+    assert out.rejects.count() == 0 and out.quarantined.count() == 0
+    originals = [r for r in kept if r["_aug_source"] is None]
+    assert len(originals) + out.duplicates.count() == 30
+    assert len(kept) == len(originals) + 2 * sum(r["split"] == "train" for r in originals)
+    assert all("[GATE]" in r["text"] for r in originals)
+    with pytest.raises(ValueError, match="scores or a review"):
+        enrich(df, None, ws)
 
 
 def test_user_model_embeddings(spark):

@@ -94,6 +94,15 @@ def test_parse_verdict_edges(spark):
     assert [got[i] for i in range(len(cases))] == [c[1:] for c in cases]
 
 
+def test_long_runs_do_not_exhaust_the_stack(spark):
+    long = ["-" * 100_000, "1) " * 50_000 + "x", "4 " * 300_000, "a@" * 300_000, "1.2." * 200_000, "Dr " * 200_000, "{" * 300_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(long)], "id long, response string")
+    got = [r["v"] for r in df.orderBy("id").select(clean_variants(F.col("response"), 2).alias("v")).collect()]
+    assert got[0] == [] and got[1] == ["x"]
+    assert df.select(pii.scrub(F.col("response")), pii.redact(F.col("response"))).collect()
+    assert parse_scores(df).count() == parse_verdict(df).count() == len(long)
+
+
 def test_clean_variants(spark):
     raw = "1. one\n\n 2) - two \r\n...\n- 3 \n   four\n5"
     df = spark.createDataFrame([(raw,)], "x string")
