@@ -19,10 +19,10 @@ def _turns(*turns: tuple[str, Column]) -> Column:
 
 
 class _JsonFields:
-    """Keys of a raw JSON record, read through its variant form."""
+    """Keys of a JSON record: texts from one parse to a map, presence and kind from its variant."""
 
-    def __init__(self, raw: str, variant: str):
-        self.raw, self.variant = raw, variant
+    def __init__(self, texts: str, variant: str):
+        self.texts, self.variant = texts, variant
 
     def _field(self, key: str) -> Column:
         return F.try_variant_get(F.col(self.variant), f"$.{key}", "variant")
@@ -33,13 +33,13 @@ class _JsonFields:
 
     def text(self, key: str) -> Column:
         """The value as text; JSON null is null, booleans are spelled True/False."""
-        value = F.get_json_object(self.raw, f"$.{key}")
+        value = F.col(self.texts)[key]
         is_bool = F.schema_of_variant(self._field(key)) == "BOOLEAN"
         return F.when(is_bool, F.initcap(value)).otherwise(value)
 
     def truthy(self, key: str) -> Column:
         """Neither missing, null, false, zero nor empty."""
-        value = F.get_json_object(self.raw, f"$.{key}")
+        value = F.col(self.texts)[key]
         kind = F.schema_of_variant(self._field(key))
         number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(kind, F.lit("DECIMAL"))
         return F.coalesce(
@@ -163,8 +163,12 @@ def normalize_json(df: DataFrame, raw: str = "raw", keep: list[str] | None = Non
 
     ``messages`` is null for a record that fits no layout.
     """
-    parsed = df.withColumn("_record", F.try_parse_json(raw))
-    return _finish(parsed, _JsonFields(raw, "_record"), keep or ["_ordinal"])
+    # A map tells keys apart by case, as a struct of them would not.
+    is_object = F.col("_record").isNotNull() & F.startswith(F.ltrim(raw), F.lit("{"))
+    parsed = df.withColumn("_record", F.try_parse_json(raw)).withColumn(
+        "_texts", F.when(is_object, F.from_json(raw, "map<string,string>"))
+    )
+    return _finish(parsed, _JsonFields("_texts", "_record"), keep or ["_ordinal"])
 
 
 def normalize_columns(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
