@@ -123,7 +123,7 @@ def windows(values: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray,
     return rolled(values, starts, starts + k, 0xA3B195354A39B70D), starts
 
 
-def pieces(batch: pa.RecordBatch, text: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, text: str = "text", most: int = (1 << 19) - 1) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about ``most`` bytes of text, at least one row each."""
     if not batch.num_rows:
         return
