@@ -57,8 +57,8 @@ class Workspace:
 
 
 @atexit.register
-def _drop_open() -> None:
-    """Remove what this program left, while its session still runs."""
+def drop_open() -> None:
+    """Remove the tables of every open workspace, while its session still runs."""
     for space in list(_OPEN):
         if space.spark.sparkContext._jsc is not None:
             space.drop()
