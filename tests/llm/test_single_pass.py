@@ -18,7 +18,7 @@ from turnmill.llm.tokens import Encoder, encoding
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def plain_rules(text, min_repeat=12, max_covered=0.15, max_repeat=80):
+def plain_rules(text, min_repeat=20, max_covered=0.15, max_repeat=60):
     text = text or ""
     w = re.findall(WORD, text)
     n = len(w)
@@ -42,7 +42,7 @@ def plain_rules(text, min_repeat=12, max_covered=0.15, max_repeat=80):
 
 def rules_of(texts):
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["doc_id", "text"])
-    return [tuple(list(r.values())[1:]) for r in repetition.measure(batch, 12, 0.15, 80).to_pylist()]
+    return [tuple(list(r.values())[1:]) for r in repetition.measure(batch, 20, 0.15, 60).to_pylist()]
 
 
 def test_repetition_matches_brute_force():
@@ -52,7 +52,7 @@ def test_repetition_matches_brute_force():
         k = rng.choice([1, 2, 4, 30])
         texts.append("".join(rng.choice([f"w{rng.randrange(k)}", "é", "#"]) + rng.choice([" ", "\n", "\t"]) for _ in range(rng.randrange(70))))
     run = [f"v{i}" for i in range(90)]
-    texts += [" ".join(run + [f"u{i}" for i in range(400)] + run[:n]) for n in (11, 12, 40, 80, 81)]
+    texts += [" ".join(run + [f"u{i}" for i in range(400)] + run[:n]) for n in (19, 20, 45, 60, 61)]
     assert rules_of(texts) == [plain_rules(t) for t in texts]
 
 

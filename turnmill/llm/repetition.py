@@ -121,7 +121,7 @@ def measure(batch: pa.RecordBatch, min_repeat: int, max_covered: float, max_repe
 
 
 def repetition_rules(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", min_repeat: int = 12, max_covered: float = 0.15, max_repeat: int = 80
+    docs: DataFrame, key: str = "doc_id", text: str = "text", min_repeat: int = 20, max_covered: float = 0.15, max_repeat: int = 60
 ) -> DataFrame:
     """Counts and verdict for each row of ``docs``.
 
@@ -141,7 +141,7 @@ def repetition_rules(
 
 
 def drop_repetitive(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", min_repeat: int = 12, max_covered: float = 0.15, max_repeat: int = 80
+    docs: DataFrame, key: str = "doc_id", text: str = "text", min_repeat: int = 20, max_covered: float = 0.15, max_repeat: int = 60
 ) -> DataFrame:
     """The rows of ``docs`` that ``repetition_rules`` keeps, unchanged."""
     columns = [docs.columns.index(key), docs.columns.index(text)]
