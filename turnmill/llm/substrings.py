@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from turnmill.llm.text import mix, pieces, rolled, windows, words
+from turnmill.operators.skew import skew_join
 from turnmill.workspace import Workspace
 
 GRAM = 8
@@ -210,7 +211,7 @@ def _group_trees(window: int, most: int = 400_000):
 
 
 def _long_prefixes(window: int):
-    """Map from runs to single windows, each named by all its words."""
+    """Map from runs to windows, each named by all its words; equal ones in a row are one with a length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,9 +220,13 @@ def _long_prefixes(window: int):
                 prefix, at = windows(values, first, window)
                 row = np.searchsorted(first, at, "right") - 1
                 start = batch.column(3).to_numpy()[row] + at - first[row]
+                fresh = np.append(True, (prefix[1:] != prefix[:-1]) | (np.diff(row) != 0))[: len(row)]
+                a = np.flatnonzero(fresh)
+                count = np.diff(np.append(a, len(row)))
+                of = pa.array(row[a])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(prefix.view(np.int64)), batch.column(1).take(pa.array(row)), batch.column(2).take(pa.array(row)), pa.array(start)],
-                    ["prefix", "doc_id", "name", "start"],
+                    [pa.array(prefix[a].view(np.int64)), batch.column(1).take(of), batch.column(2).take(of), pa.array(start[a]), pa.array(count)],
+                    ["prefix", "doc_id", "name", "start", "count"],
                 )
 
     return run
@@ -274,10 +279,11 @@ def repeated_spans(docs: DataFrame, key: str, text: str, window: int, group: int
     few = runs(own.join(marked.filter("NOT long").drop("long"), "doc_id"), window)
     trees = few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_group_trees(window), SPANS)
     many = runs(own.join(marked.filter("long").drop("long"), "doc_id"), window)
-    alone = many.mapInArrow(_long_prefixes(window), "prefix long, doc_id long, name long, start long")
+    alone = many.mapInArrow(_long_prefixes(window), "prefix long, doc_id long, name long, start long, count long")
     alone = space.table(alone, "prefixes")
     least = alone.groupBy("prefix").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi")
-    later = alone.join(least, "prefix").filter("doc_id > lo").select("doc_id", "name", "start", (F.col("start") + window).alias("end"))
+    later = skew_join(alone, least, "prefix", "doc_id", limit=20_000).filter("doc_id > lo")
+    later = later.select("doc_id", "name", "start", (F.col("start") + F.col("count") + (window - 1)).alias("end"))
     return copies.union(trees).union(later)
 
 
