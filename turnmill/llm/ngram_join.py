@@ -235,9 +235,11 @@ def jaccard_components(
     links = _class_links(docs, sets, classes, key, text, k, at, chunk, space)
     linked = components(links.filter("b IS NOT NULL").select("a", "b"), space).withColumnRenamed("vertex", "id")
     degrees = links.filter("degree IS NOT NULL").groupBy(F.col("a").alias("id")).agg(F.sum("degree").alias("degree"))
-    classes = classes.drop("n").join(linked, "id", "left").join(degrees, "id", "left")
-    least = classes.filter("component IS NOT NULL").groupBy("component").agg(F.min("rep").alias("component_id"))
-    classes = classes.join(least, "component", "left")
+    # Only linked classes meet by component; the others would share the null of a left join.
+    members = linked.join(classes.select("id", "rep"), "id")
+    least = members.groupBy("component").agg(F.min("rep").alias("component_id"))
+    members = members.join(least, "component").select("id", "component_id")
+    classes = classes.drop("n").join(members, "id", "left").join(degrees, "id", "left")
     out = sets.drop("prefix").join(classes, ["node", "check"], "left")
     alone = F.col("n") == 0
     named = ["node", "check"] if with_names else []
@@ -342,4 +344,6 @@ def _class_links(
         d = [*[None] * len(links), *degree[some].tolist()]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "degree": pa.array(d, pa.int64())})
 
+    # Dealt by chunk pair: else all of a block's pairs would follow its join into one task.
+    held = held.repartition("block", "low", "high")
     return space.table(held.groupBy("block", "low", "high").applyInArrow(search, "a long, b long, degree long"), "links")
