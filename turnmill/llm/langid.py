@@ -209,12 +209,15 @@ def sample_words(rows: list[tuple[str, str]]) -> tuple[list[str], list[Counter]]
 def training_texts(docs: DataFrame, left_out: Column, per_lang: int, key: str, text: str, lang: str) -> DataFrame:
     """Rows (lang, text): for each language the ``per_lang`` texts of least key hash.
 
-    The rank is limited before the shuffle, so a frequent language does not meet in one task; only
-    the keys, at most ``per_lang`` for each language, are broadcast to the texts.
+    Ranks are limited in each of 64 parts of a language first, so a frequent language does not meet in
+    one task; only the keys, at most ``per_lang`` for each language, are broadcast to the texts.
     """
     usable = docs.filter(docs[lang].isNotNull() & docs[key].isNotNull() & ~left_out).select(docs[key].alias("at"), docs[lang].alias("as_lang"))
-    by_hash = Window.partitionBy("as_lang").orderBy(F.xxhash64(F.col("at").cast("string")), "at")
-    ids = usable.withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= per_lang).select("at", "as_lang").distinct()
+    ids = usable.withColumn("hash", F.xxhash64(F.col("at").cast("string"))).withColumn("part", F.pmod("hash", F.lit(64)))
+    for keys in (["as_lang", "part"], ["as_lang"]):
+        nth = F.row_number().over(Window.partitionBy(*keys).orderBy("hash", "at"))
+        ids = ids.withColumn("nth", nth).filter(F.col("nth") <= per_lang)
+    ids = ids.select("at", "as_lang").distinct()
     rows = docs.select(docs[key].alias("own"), docs[text].alias("text"), docs[lang].alias("own_lang"))
     same = (rows["own"] == ids["at"]) & (rows["own_lang"] == ids["as_lang"])
     return rows.join(F.broadcast(ids), same).filter("text IS NOT NULL").select(F.col("as_lang").alias("lang"), "text")
