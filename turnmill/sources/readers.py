@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from turnmill.functions.json import is_single, wrapped
 from turnmill.functions.text import blank, strip
@@ -28,10 +28,16 @@ def spread(df: DataFrame) -> DataFrame:
     next shuffle. A scan with enough splits is returned unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    splits = df.rdd.getNumPartitions()
     return df if splits >= cores else df.repartition(cores)
 
 
+def format_of(path: Column) -> Column:
+    """The format that a file's suffix names, null for a suffix without a reader."""
+    suffix = F.lower(F.regexp_extract(path, r"[^/](\.[^./]+)$", 1))
+    return F.element_at(F.create_map(*[F.lit(x) for pair in FORMATS.items() for x in pair]), F.nullif(suffix, F.lit("")))
+
+
 def detect_format(path: str) -> str:
     fmt = FORMATS.get(PurePosixPath(path).suffix.lower())
     if fmt is None:

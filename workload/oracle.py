@@ -424,6 +424,14 @@ ORACLE = {
         count(*) FILTER (r = 'schema') / greatest(count(*), 1) > 0.2 AS high_schema_drop
       FROM (SELECT {ROUTE} AS r FROM (
         SELECT length(user_text) + length(coalesce(assistant_text, '')) AS n_chars FROM ({NORMALIZED})))""",
+    "detect_format": """
+      SELECT page_id, ['jsonl', 'json', 'csv', 'text', 'text', NULL, NULL][page_id % 7 + 1] AS format FROM pages""",
+    "write_jsonl": """
+      SELECT '{"doc_id":' || doc_id || ',"lang":' || coalesce('"' || nullif(lang, 'en') || '"', 'null') || ',"n_chars":' || n_chars || '}' AS line
+      FROM documents""",
+    "rubric_prompt": f"""
+      SELECT conv_id, md5('Rate it.' || {NL} || {NL} || 'Judge it as material on law.' || {NL} || {NL} || {REVIEW}) AS prompt_md5
+      FROM conversations GROUP BY conv_id""",
     "row_text": f"SELECT conv_id, {JOINED} AS text FROM conversations GROUP BY conv_id",
     "review_text": f"SELECT conv_id, {REVIEW} AS text FROM conversations GROUP BY conv_id",
     "render_chat": f"""

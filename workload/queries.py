@@ -13,7 +13,7 @@ from turnmill.operators import (
 from turnmill.operators.leaders import leader_clusters, with_cluster_ids
 from turnmill.operators.model_apply import apply_model, redact_with_model
 from turnmill.operators.similarity import DenseIndex, cosine_pairs as dense_pairs
-from turnmill.plans.enrich import EnrichConfig, enrich
+from turnmill.plans.enrich import EnrichConfig, EnrichModels, enrich
 from turnmill.plans.stages import StageStore, source_fingerprint
 from turnmill.sources import readers, sinks
 from turnmill.streaming.refresh import incremental_refresh as start_refresh
@@ -166,6 +166,28 @@ def discover_specs(spark, sf):
     return readers.discover_specs(_spec_listing(spark, sf), "acme", ["configs/extra/global-1.yml"])
 
 
+def detect_format(spark, sf):
+    """Pages as files with suffixes in either case, some without a reader."""
+    suffix = F.element_at(F.array(*[F.lit(x) for x in (".jsonl", ".JSON", ".csv", ".Txt", ".md", ".xml", "")]), (F.col("page_id") % 7 + 1).cast("int"))
+    path = F.concat(F.lit("in.d/page-"), F.col("page_id").cast("string"), suffix)
+    return _t(spark, sf, "pages").select("page_id", readers.format_of(path).alias("format"))
+
+
+def write_jsonl(spark, sf):
+    """Documents written as JSON lines with null fields, read back as plain lines."""
+    path = Workspace(spark).path("lines")
+    lang = F.when(F.col("lang") != "en", F.col("lang"))
+    sinks.write_jsonl(_t(spark, sf, "documents").select("doc_id", lang.alias("lang"), "n_chars"), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+def rubric_prompt(spark, sf):
+    """What a reviewer of each conversation is asked, with a domain."""
+    models = EnrichModels(rubric="Rate it.", domain="law")
+    asked = F.concat(F.lit(quality.rubric_prompt(models.rubric, models.domain) + "\n\n"), chat.review_text(F.col("messages")))
+    return _conversations(spark, sf).select("conv_id", F.md5(asked).alias("prompt_md5"))
+
+
 def route_kept_rejected(spark, sf):
     """Scored documents written to both routes in one job, read back."""
     path = Workspace(spark).path("routed")
@@ -745,7 +767,10 @@ QUERIES = {
     "scan_text_lines": scan_text_lines,
     "scan_text_file": scan_text_file,
     "load_eval_set": load_eval_set,
+    "detect_format": detect_format,
     "discover_specs": discover_specs,
+    "write_jsonl": write_jsonl,
+    "rubric_prompt": rubric_prompt,
     "route_kept_rejected": route_kept_rejected,
     "normalize_schema": normalize_schema,
     "resolve_id": resolve_id,
