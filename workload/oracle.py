@@ -464,8 +464,10 @@ ORACLE = {
     "redact_corpus": f"SELECT doc_id, text AS system_text, {redact('text')} AS user_text FROM documents",
     "embed_text": f"""
       WITH {gram_ctes(DOCS)}
-      SELECT d.doc_id, coalesce(n_grams, 0) AS n_grams, coalesce(n_total, 0) AS n_total, coalesce(n2, 0) AS norm2
-      FROM documents d LEFT JOIN norms n ON n.id = d.doc_id""",
+      SELECT d.doc_id, coalesce(n_grams, 0) AS n_grams, coalesce(n_total, 0) AS n_total, coalesce(n2, 0) AS norm2,
+        coalesce(v, '') AS counts
+      FROM documents d LEFT JOIN norms n ON n.id = d.doc_id
+      LEFT JOIN (SELECT id, string_agg(c::VARCHAR, ',' ORDER BY c) AS v FROM counts GROUP BY id) c ON c.id = d.doc_id""",
     "l2_normalize": """
       SELECT vec_id, round(CASE WHEN label = 0 THEN 0.0 ELSE 1.0 END, 4)::DOUBLE AS length,
         round(CASE WHEN label = 0 THEN 0.0 ELSE embedding[1]::DOUBLE / n END, 4) AS first,

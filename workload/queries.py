@@ -317,6 +317,7 @@ def embed_text(spark, sf):
         F.size("grams").cast("long").alias("n_grams"),
         F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x).alias("n_total"),
         "norm2",
+        F.array_join(F.transform(F.array_sort("counts"), lambda x: x.cast("string")), ",").alias("counts"),
     )
 
 
