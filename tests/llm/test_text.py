@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from turnmill.llm.text import pieces, sums, windows, words
+from turnmill.llm.text import pieces, rolled, sums, windows, words
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -28,6 +28,17 @@ def test_words_and_windows_match_a_plain_scan():
     assert len(starts) == len(spans) and len(set(values.tolist())) == len(set(spans))
 
 
+def test_fingerprints_do_not_depend_on_blocks():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 5, 3000).astype(np.uint8)
+    starts = np.append(np.sort(rng.integers(0, 2900, 400)), 3000)
+    ends = starts + np.append(rng.integers(0, 100, 400), 0)
+    whole = rolled(values, starts, ends, 0xD1342543DE82EF95, np.arange(1, 257, dtype=np.uint64))
+    for block in (1, 7, 500, 2999, 3000):
+        assert (rolled(values, starts, ends, 0xD1342543DE82EF95, np.arange(1, 257, dtype=np.uint64), block) == whole).all()
+    assert not len(rolled(values[:0], starts[:0], ends[:0], 3))
+
+
 def test_lower_case_folds_ascii_only():
     w = words(pa.array(["ABC abc É é"]))
     h = w.fingerprints(lower=True)

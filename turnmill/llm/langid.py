@@ -27,6 +27,7 @@ _BASE = np.uint64(0xD1342543DE82EF95)
 #: Bytes of ASCII letters, and those beyond ASCII.
 LETTER, BEYOND = np.zeros(256, bool), np.arange(256) >= 128
 LETTER[[*range(65, 91), *range(97, 123)]] = True
+_BYTES = np.arange(1, 257, dtype=np.uint64)
 #: Places in a worker's table of words.
 TABLE = 1 << 20
 
@@ -174,7 +175,7 @@ class Scorer:
             ends = np.minimum(starts + MOST, np.repeat(ends, parts))
         first = np.searchsorted(starts, w.offsets)
         lower = LOWER[w.buf]
-        key = rolled(lower.astype(np.uint64) + np.uint64(1), starts, ends, 0xD1342543DE82EF95) | np.uint64(1)
+        key = rolled(lower, starts, ends, 0xD1342543DE82EF95, _BYTES) | np.uint64(1)
         slot = (key >> np.uint64(44)).astype(np.int64)
         fresh = np.flatnonzero(self.keys[slot] != key)
         values = self.values[slot]

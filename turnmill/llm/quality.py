@@ -44,7 +44,7 @@ def hashed_ngrams(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
     first = np.searchsorted(starts, offsets)
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    one = rolled(_TABLE[buf], starts, ends, 0xD1342543DE82EF95)
+    one = rolled(buf, starts, ends, 0xD1342543DE82EF95, _TABLE)
     two = mix(one[:-1] * np.uint64(0xA3B195354A39B70D) + one[1:])
     two[one[:-1] == one[1:]] = np.uint64(1)
     # Interleaved: at 2 i the word i, at 2 i + 1 the bigram that begins with it.

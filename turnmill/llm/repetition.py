@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 
 from turnmill.llm.text import LEAD, SPACE, Words, mix, pieces, rolled, sums, words
 
+_BYTES = np.arange(1, 257, dtype=np.uint64)
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 
@@ -95,7 +96,7 @@ def repeated_lines(w: Words) -> np.ndarray:
     has_word = np.searchsorted(w.starts, ends) > np.searchsorted(w.starts, starts)
     starts, ends = starts[has_word], ends[has_word]
     owner = np.searchsorted(w.offsets, starts, "right") - 1
-    line = rolled(w.buf.astype(np.uint64) + np.uint64(1), starts, ends, 0xD1342543DE82EF95)
+    line = rolled(w.buf, starts, ends, 0xD1342543DE82EF95, _BYTES)
     _, seen = np.unique(mix(line + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
     return np.bincount(owner, minlength=w.texts) - np.bincount(owner[seen], minlength=w.texts)
 

@@ -46,12 +46,27 @@ def powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
-def rolled(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """A fingerprint of values[start:end] for each span, equal for equal contents."""
-    up, down = powers(len(values) + 1, base)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _ODD)
+def rolled(
+    values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int, table: np.ndarray | None = None, block: int = (1 << 20) - 1
+) -> np.ndarray:
+    """A fingerprint of values[start:end] for each span, equal for equal contents.
+
+    ``table`` gives what stands for each value. Starts ascend; long arrays go block by block, so that
+    memory follows the block and the longest span.
+    """
+    out = np.empty(len(starts), np.uint64)
+    for low in range(0, len(values) + 1, block) if len(values) > block else (0,):
+        mine = slice(*np.searchsorted(starts, [low, low + block])) if len(values) > block else slice(None)
+        a, b = starts[mine] - low, ends[mine] - low
+        if not len(a):
+            continue
+        part = values[low : low + int(b.max())] if len(values) > block else values
+        part = part if table is None else table[part]
+        up, down = powers(len(part) + 1, base)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * up[: len(part)], out=sums[1:])
+        out[mine] = mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64) * _ODD)
+    return out
 
 
 @dataclass
@@ -77,8 +92,7 @@ class Words:
         return np.repeat(np.arange(self.texts), self.counts)
 
     def fingerprints(self, lower: bool = False) -> np.ndarray:
-        table = _RANDOM[LOWER] if lower else _RANDOM
-        return rolled(table[self.buf], self.starts, self.ends, 0xD1342543DE82EF95)
+        return rolled(self.buf, self.starts, self.ends, 0xD1342543DE82EF95, _RANDOM[LOWER] if lower else _RANDOM)
 
     def word(self, i: int) -> bytes:
         return self.buf[self.starts[i] : self.ends[i]].tobytes()

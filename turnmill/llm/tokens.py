@@ -112,7 +112,7 @@ class Encoder:
         return self._pieces(buf, starts, ends, offsets)
 
     def _pieces(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key = rolled(_TABLE[buf], starts, ends, 0xD1342543DE82EF95) | np.uint64(1)
+        key = rolled(buf, starts, ends, 0xD1342543DE82EF95, _TABLE) | np.uint64(1)
         slot = (key >> np.uint64(45)).astype(np.int64)
         known = (self.keys[slot] == key) & (ends - starts <= CACHED)
         at, count = self.at[slot], self.count[slot]
