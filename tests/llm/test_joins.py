@@ -209,6 +209,20 @@ def test_hits_are_those_of_plain_alignment():
     assert got == wanted
 
 
+def test_long_and_repetitive_texts(monkeypatch):
+    rng = random.Random(13)
+    items = bench_items(rng) + [(77, "a " * 100)]
+    index = decontaminate.build(items, 128, 64, 0.08, 24)
+    text = " ".join([prose(rng, 3000), items[2][1], prose(rng, 2000), "a " * 3000, items[5][1].upper(), prose(rng, 100)])
+    whole = decontaminate.search(pa.array([None, text, "", text[:5000]]), index)
+    assert {(r, i) for r, i, *_ in whole} >= {(1, items[2][0]), (1, items[5][0]), (1, 77)}
+    monkeypatch.setattr(decontaminate, "SEGMENT", 1000)
+    again = decontaminate.search(pa.array([None, text, "", text[:5000]]), index)
+    # Where a passage fits at many places, the ends of its span may differ by its edits.
+    assert [h for h in again if h[1] != 77] == [h for h in whole if h[1] != 77]
+    assert [h[:2] for h in again] == [h[:2] for h in whole]
+
+
 def test_contaminated_rows(spark, messy, none, frame):
     rng = random.Random(7)
     items = [*bench_items(rng), (90, None), (91, ""), (92, "short"), (None, "x" * 90)]

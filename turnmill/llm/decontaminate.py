@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from turnmill.llm.text import LEAD, LOWER, SPACE, buffers, pieces
 
-Q, BITS = 8, 22
+Q, BITS, SEGMENT = 8, 22, 1 << 21
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 SCHEMA = "doc_id long, item_id long, start long, end long, n_passages long, edits long"
@@ -118,15 +118,9 @@ def candidates(buf: np.ndarray, offsets: np.ndarray, index: Index) -> tuple[np.n
     entry = np.minimum(np.searchsorted(index.codes, code[at]), len(index.codes) - 1)
     true = index.codes[entry] == code[at]
     at, entry = at[true], entry[true]
-    count = index.first[entry + 1] - index.first[entry]
-    nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(index.first[entry], count)
-    passage, diagonal = index.passage[nth], np.repeat(at, count) - index.place[nth]
-    width = 2 * index.edits[passage] + 1
     # Diagonals can lie before the first byte.
     low = index.longest
-    band = (diagonal + low) // width
-    key = passage * (1 << 40) + band
-    keys, shared = np.unique(key, return_counts=True)
+    keys, shared = _banded(at, entry, index, low)
     after = np.searchsorted(keys, keys + 1)
     both = shared + np.where((after < len(keys)) & (keys[np.minimum(after, len(keys) - 1)] == keys + 1), shared[np.minimum(after, len(keys) - 1)], 0)
     passage = keys >> 40
@@ -136,6 +130,24 @@ def candidates(buf: np.ndarray, offsets: np.ndarray, index: Index) -> tuple[np.n
     return passage, band * (2 * index.edits[passage] + 1) - low
 
 
+def _banded(at: np.ndarray, entry: np.ndarray, index: Index, low: int, most: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """Shared q-grams by passage and band of diagonals, key = passage << 40 | band; some hits at a time."""
+    count = index.first[entry + 1] - index.first[entry]
+    upto = np.cumsum(count)
+    found = []
+    for first in range(0, int(upto[-1]) if len(upto) else 0, most):
+        some = slice(*np.searchsorted(upto, [first, first + most], "right"))
+        n, total = count[some], int(count[some].sum())
+        nth = np.arange(total) - np.repeat(np.cumsum(n) - n, n) + np.repeat(index.first[entry[some]], n)
+        passage, diagonal = index.passage[nth], np.repeat(at[some], n) - index.place[nth]
+        band = (diagonal + low) // (2 * index.edits[passage] + 1)
+        found.append(np.unique((passage << 40) | band, return_counts=True))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys, back = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    return keys, np.bincount(back, np.concatenate([c for _, c in found]), len(keys)).astype(np.int64)
+
+
 def align(
     buf: np.ndarray, lo: np.ndarray, hi: np.ndarray, patterns: list[np.ndarray], diagonal: np.ndarray, edits: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,7 +189,13 @@ def search(column: pa.Array, index: Index) -> list[tuple[int, int, int, int, int
     if not len(raw):
         return []
     buf, offsets, origin = normal(raw, raw_offsets)
-    passage, diagonal = candidates(buf, offsets, index)
+    # Long texts go segment by segment; segments overlap by twice what a passage can span.
+    overlap, parts = 2 * (index.longest + int(index.edits.max())) + Q, []
+    for low in range(0, len(buf), SEGMENT):
+        part = buf[low : low + SEGMENT + overlap]
+        passage, diagonal = candidates(part, np.clip(offsets - low, 0, len(part)), index)
+        parts.append((passage, diagonal + low))
+    passage, diagonal = (np.concatenate(x) for x in zip(*parts, strict=True))
     found: dict[tuple[int, int], list[tuple[int, int, int, int]]] = {}
     m, edits = np.array([len(p) for p in index.passages])[passage], index.edits[passage]
     # A band near a border between texts may belong to either side.
