@@ -16,7 +16,6 @@ from turnmill.llm.graph import components, forest
 from turnmill.llm.ngram_join import Threshold, block_links, jaccard_components, one_of_each
 from turnmill.llm.substrings import anchors, remove_repeats
 from turnmill.llm.text import words
-from turnmill.workspace import Workspace
 
 WORD = r"[^\x20\x09-\x0D]+"
 

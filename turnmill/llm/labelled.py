@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def fold(key: Column, folds: int) -> Column:
@@ -11,7 +11,9 @@ def fold(key: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, left_out: Column, per_label: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def training_rows(
+    docs: DataFrame, labels: DataFrame, label: str, left_out: Column, per_label: int, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """Rows (text, label) for fitting: for each label the ``per_label`` keys of least hash.
 
     A sample of fixed size: only its keys, at most 2 * ``per_label``, are broadcast to the texts.

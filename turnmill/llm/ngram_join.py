@@ -98,9 +98,10 @@ def signatures(docs: DataFrame, key: str, text: str, k: int, at: Threshold) -> D
                 node, check = set_names(sets)
                 prefix = [(s[: at.posted(len(s))] >> np.uint64(32)).astype(np.uint32).view(np.int32) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(node), pa.array(check), pa.array(prefix, pa.list_(pa.int32()))],
+                    [piece.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(node), pa.array(check),
+                     pa.array(prefix, pa.list_(pa.int32()))],
                     ["doc_id", "n", "node", "check", "prefix"],
-                )
+                )
 
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
     return rows.mapInArrow(run, SIGNATURE)
@@ -307,7 +308,8 @@ def _class_links(
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
     texts = rows.join(reps.join(likely, "id"), same)
     shingle = Window.partitionBy("shingle")
-    owned = whole_sets(texts, k).select("*", F.count("*").over(shingle).alias("owners"), F.min("id").over(shingle).alias("lo"), F.max("id").over(shingle).alias("hi"))
+    ends = [F.min("id").over(shingle).alias("lo"), F.max("id").over(shingle).alias("hi")]
+    owned = whole_sets(texts, k).select("*", F.count("*").over(shingle).alias("owners"), *ends)
     # Rows that repeat key and text post twice; sets keep each hash once.
     listed = owned.filter("lo < hi").groupBy("id").agg(F.array_sort(F.collect_set(F.struct("owners", "shingle"))).alias("rarest"))
     found = listed.join(classes.select("id", "n", "copies"), "id")
