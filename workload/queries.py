@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnmill.functions import chat, pii, text as tx
+from turnmill.functions import chat, pii
 from turnmill.functions.parsing import clean_variants, parse_scores, parse_verdict
 from turnmill.functions.vectors import l2_normalize, squared_norm, word_grams
 from turnmill.operators import (
