@@ -54,8 +54,8 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts, repeated spans and verdict of each document."""
-    return repetition_rules(documents(spark, sf_dir))
+    """Counts, words in repeated spans and verdict of each document."""
+    return repetition_rules(documents(spark, sf_dir)).drop("longest_repeat")
 
 
 def op7_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

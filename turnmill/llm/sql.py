@@ -83,8 +83,45 @@ SELECT cut.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n,
 FROM cut LEFT JOIN kept USING (doc_id)
 """
 
+
+
+def _repeated(k: int) -> str:
+    """Per document the words in windows of k words that it has twice or more."""
+    return f"""
+  SELECT doc_id, count(DISTINCT i + j) AS n
+  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c
+        FROM (SELECT doc_id, i, array_to_string(w[i:i + {k - 1}], ' ') AS s
+              FROM cut, unnest(range(1, len(w) - {k - 2})) AS t(i))),
+       unnest(range(0, {k})) AS u(j)
+  WHERE c > 1 GROUP BY doc_id"""
+
+
+# Repeats of 20 words or more cover what repeated windows of 20 words cover.
+RULES = rf"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), five AS ({_repeated(5)}
+), twenty AS ({_repeated(20)}
+), longer AS ({_repeated(61)}
+), counted AS (
+  SELECT cut.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         coalesce(five.n, 0) AS n_repeat_words, coalesce(twenty.n, 0) AS n_covered_words, coalesce(longer.n, 0) AS n_longer
+  FROM cut LEFT JOIN five USING (doc_id) LEFT JOIN twenty USING (doc_id) LEFT JOIN longer USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       CAST(n_covered_words AS BIGINT) AS n_covered_words, base_failed,
+       NOT base_failed AND n_covered_words <= 0.15::DOUBLE * n_words AND n_longer = 0 AS kept
+FROM judged
+"""
+
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard": JACCARD,
     "op2_substring_dedup": REPEATS,
     "op5_mix_sources": MIX,
+    "op6_repetition_rules": RULES,
 }
