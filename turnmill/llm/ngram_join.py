@@ -271,13 +271,20 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
     least by text and the other columns that can be ordered, of several sets the one least by name.
     Rows without words are no copies of anything and stay. Columns of any name and type pass through.
     """
+    space = space or Workspace(docs.sparkSession)
     worded = F.coalesce(docs[text].rlike(WORD), F.lit(False))
     rows = docs.filter(worded)
-    groups = jaccard_components(rows, key, text, k, percent, space=space, with_names=True)
+    groups = space.table(jaccard_components(rows, key, text, k, percent, space=space, with_names=True), "groups")
+    own = F.col("doc_id").eqNullSafe(F.col("own_key"))
     first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id")
     kept = first.agg(F.min(F.struct("node", "check")).alias("name")).select(F.col("component_id").alias("own_key"), "name.*")
-    held = rows.select(rows[key].cast("long").alias("doc_id"), rows[text].alias("text"), F.struct(*[rows[c] for c in docs.columns]).alias("row"))
-    mine = held.join(kept, F.col("doc_id").eqNullSafe(F.col("own_key"))).select("doc_id", "text", "node", "check", "row")
+    times = groups.groupBy("doc_id").agg((F.count("*") > 1).alias("repeated"))
+    kept = space.table(kept.join(times, own).drop("doc_id"), "kept")
+    held = rows.select(rows[key].cast("long").alias("doc_id"), F.struct(*[rows[c] for c in docs.columns]).alias("row"))
+    # A key of one row names its row; only among rows that repeat a key the set has to be looked at.
+    alone = held.join(kept.filter("NOT repeated"), own).select("row.*")
+    some = held.join(kept.filter("repeated"), own)
+    some = some.select("doc_id", F.col("row")[text].alias("text"), "node", "check", "row")
 
     def same_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,8 +295,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
 
     plain = [x.name for x in docs.schema.fields if isinstance(x.dataType, AtomicType)]
     order = F.struct("text", *[F.col("row")[c] for c in plain])
-    one = mine.mapInArrow(same_set, mine.schema).groupBy("doc_id").agg(F.min_by("row", order).alias("row"))
-    return one.select("row.*").union(docs.filter(~worded))
+    one = some.mapInArrow(same_set, some.schema).groupBy("doc_id").agg(F.min_by("row", order).alias("row"))
+    return alone.union(one.select("row.*")).union(docs.filter(~worded))
 
 
 def _class_links(
