@@ -65,6 +65,20 @@ def test_jaccard_components_match_brute_force(frame):
         assert got == plain_components(rows)
 
 
+def test_short_documents_with_one_word_more_are_linked(frame):
+    rng = random.Random(21)
+    rows = []
+    for n in range(1, 14):
+        w = [f"d{n}x{j}" for j in range(n)]
+        more = [*w, "end"] if rng.random() < 0.5 else ["begin", *w]
+        rows += [(10 * n, " ".join(w)), (10 * n + 1, " ".join(more))]
+    rows += [(300, prose(rng, 9) + " a"), (200, rows[16][1] + " other")]
+    got = Counter(tuple(r) for r in jaccard_components(frame(rows)).collect())
+    assert got == plain_components(rows)
+    # Sets of 6 shingles in sets of 7: 9 words, and 10.
+    assert (91, 7, 90, 1) in got or (91, 7, 90, 2) in got
+
+
 def test_block_links_of_a_dense_block():
     rng = random.Random(2)
     base = rng.sample(range(10**6), 120)

@@ -80,6 +80,10 @@ class Threshold:
     def needed_whole(self, n: Column) -> Column:
         return F.ceil(n * self.percent / 100)
 
+    def linkable(self, n: Column) -> Column:
+        """Whether a set of n can link to a smaller set, or to a larger one that holds all of it."""
+        return (self.needed_whole(n) < n) | (100 * n >= self.percent * (n + 1))
+
 
 def set_names(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """128 bits that name each set; 0 for empty ones."""
@@ -304,7 +308,7 @@ def _class_links(
 ) -> DataFrame:
     """Rows (a, b, degree): links between the ids of classes, and the copies that each links to."""
     # Sets too small for any difference have no partners but their copies.
-    reps = classes.filter(at.needed_whole(F.col("n")) < F.col("n")).select("id", "rep", "node", "check", "n")
+    reps = classes.filter(at.linkable(F.col("n"))).select("id", "rep", "node", "check", "n")
     same = F.col("doc_id").eqNullSafe(F.col("rep"))
     posted = sets.select("doc_id", "node", "check", "prefix").join(reps, ["node", "check"]).filter(same)
     posted = posted.select("id", "n", F.explode("prefix").alias("hash"))
