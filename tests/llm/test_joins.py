@@ -101,6 +101,19 @@ def test_one_of_each_keeps_one_row_of_a_group(messy, none):
     assert one_of_each(none).count() == 0 == jaccard_components(none).count()
 
 
+def test_one_of_each_keeps_unlinked_rows_that_share_a_key_or_have_none(frame):
+    rng = random.Random(22)
+    texts = [prose(rng, 60) for _ in range(12)]
+    rows = [(None, t) for t in texts[:5]] + [(8, t) for t in texts[5:9]] + [(9, texts[9]), (30, texts[10]), (None, texts[11])]
+    # Copies: of texts without a key, of one with a repeated key, and under a key that other components have as least one too.
+    copies = [(None, texts[0]), (None, texts[1] + " more"), (8, texts[5]), (12, texts[6].upper()), (13, texts[10]), (31, texts[10]), (None, texts[9])]
+    left = one_of_each(frame(rows + copies)).collect()
+    ids = Counter(r["doc_id"] for r in left)
+    assert ids == {None: 6, 8: 4, 9: 1, 13: 1}
+    wanted = {x.removesuffix(" more") for x in texts}
+    assert {r["text"].removesuffix(" more") for r in left} == wanted and len(left) == len(texts)
+
+
 def test_components_in_rounds(spark, ws):
     rng = random.Random(1)
     pairs = [(i, i + 1) for i in range(200) if i % 25 != 24] + [(1000 + rng.randrange(50), 1000 + rng.randrange(50)) for _ in range(60)]

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import AtomicType
+from pyspark.sql.types import AtomicType, LongType, StructType
 
 from turnmill.llm.graph import components
 from turnmill.llm.text import mix, pieces, rolled, windows, words
@@ -33,6 +33,7 @@ from turnmill.workspace import Workspace
 #: Any character of a word.
 WORD = r"[^\x20\x09-\x0D]"
 SIGNATURE = "doc_id long, n long, node long, check long, prefix array<int>"
+NAME = StructType().add("node", LongType()).add("check", LongType())
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -231,7 +232,9 @@ def jaccard_components(
     rows that it links to. Null and empty texts have no shingles and no links. Rows of equal sets are
     linked, also if they repeat a key; a null key links like others but names no component, so that of
     rows without any key is null. Blocks of over ``chunk`` posted hashes are searched in pairs of chunks.
-    ``with_names`` adds the 128-bit name of each set, node and check. Empty input gives no rows.
+    ``with_names`` adds the 128-bit name of each set, node and check, and component: the least id of its
+    linked classes, which tells components apart whatever their keys, null without words. Empty input
+    gives no rows.
     """
     space = space or Workspace(docs.sparkSession)
     at = Threshold(percent)
@@ -243,11 +246,11 @@ def jaccard_components(
     # Only linked classes meet by component; the others would share the null of a left join.
     members = linked.join(classes.select("id", "rep"), "id")
     least = members.groupBy("component").agg(F.min("rep").alias("component_id"))
-    members = members.join(least, "component").select("id", "component_id")
+    members = members.join(least, "component").select("id", "component", "component_id")
     classes = classes.drop("n").join(members, "id", "left").join(degrees, "id", "left")
     out = sets.drop("prefix").join(classes, ["node", "check"], "left")
     alone = F.col("n") == 0
-    named = ["node", "check"] if with_names else []
+    named = ["node", "check", F.coalesce("component", "id").alias("component")] if with_names else []
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -273,33 +276,39 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
 
     The row of the component's least key stays; of several rows with that key and an equal set the one
     least by text and the other columns that can be ordered, of several sets the one least by name.
-    Rows without words are no copies of anything and stay. Columns of any name and type pass through.
+    Components are told apart by what links, not by key: unlinked rows that repeat a key or have none
+    all stay. Rows without words are no copies of anything and stay. Columns of any name and type pass
+    through.
     """
     space = space or Workspace(docs.sparkSession)
     worded = F.coalesce(docs[text].rlike(WORD), F.lit(False))
     rows = docs.filter(worded)
     groups = space.table(jaccard_components(rows, key, text, k, percent, space=space, with_names=True), "groups")
     own = F.col("doc_id").eqNullSafe(F.col("own_key"))
-    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id")
+    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component", "component_id")
     kept = first.agg(F.min(F.struct("node", "check")).alias("name")).select(F.col("component_id").alias("own_key"), "name.*")
     times = groups.groupBy("doc_id").agg((F.count("*") > 1).alias("repeated"))
     kept = space.table(kept.join(times, own).drop("doc_id"), "kept")
+    again = space.table(kept.filter("repeated").drop("repeated"), "again")
     held = rows.select(rows[key].cast("long").alias("doc_id"), F.struct(*[rows[c] for c in docs.columns]).alias("row"))
     # A key of one row names its row; only among rows that repeat a key the set has to be looked at.
     alone = held.join(kept.filter("NOT repeated"), own).select("row.*")
-    some = held.join(kept.filter("repeated"), own)
-    some = some.select("doc_id", F.col("row")[text].alias("text"), "node", "check", "row")
+    some = held.join(again.select("own_key").distinct(), own, "left_semi")
+    some = some.select("doc_id", F.col("row")[text].alias("text"), "row")
 
-    def same_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
                 node, check = set_names(shingle_sets(piece.column(1), k))
-                same = (node == piece.column(2).to_numpy()) & (check == piece.column(3).to_numpy())
-                yield piece.filter(pa.array(same))
+                names = [*piece.schema.names, "node", "check"]
+                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(node), pa.array(check)], names)
 
     plain = [x.name for x in docs.schema.fields if isinstance(x.dataType, AtomicType)]
     order = F.struct("text", *[F.col("row")[c] for c in plain])
-    one = some.mapInArrow(same_set, some.schema).groupBy("doc_id").agg(F.min_by("row", order).alias("row"))
+    named = some.mapInArrow(add_names, StructType([*some.schema.fields, *NAME.fields]))
+    # Joined by key and set: each row meets its own set only, however many share its key.
+    chosen = named.join(again.withColumnsRenamed({"node": "own_node", "check": "own_check"}), own & F.expr("node = own_node AND check = own_check"))
+    one = chosen.groupBy("doc_id", "node", "check").agg(F.min_by("row", order).alias("row"))
     return alone.union(one.select("row.*")).union(docs.filter(~worded))
 
 
