@@ -5,6 +5,9 @@ most k edits shares m - q + 1 - k q of its q-grams with it, all on diagonals at
 filters follow each other: a text region must hold that many q-grams of the benchmark at all; of one
 passage within two neighbouring bands of diagonals; and a banded alignment must need k edits at most.
 
+A part of a longer item is found if it holds a whole passage. With passages of 128 bytes, one every 64,
+that is sure for unedited parts of 191 bytes or more; parts of under 128 bytes are not found.
+
 Benchmark and texts are compared in lower case with white space runs as one space. The benchmark goes
 to the executors in blocks of bounded size, one map over the texts for each block, without a shuffle.
 """
