@@ -18,19 +18,20 @@ COLUMNS = {
     "op8_quality_classifier": {"doc_id", "held_out", "score", "predicted"},
     "op9_decontaminate": {"doc_id", "item_id"},
     "op10_secret_scan": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"},
+    "op12_piece_codec": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "agrees"},
 }
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql_agrees(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "labels"):
+    for table in ("documents", "benchmark", "labels", "embeddings"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     wanted = con.sql(ORACLE[name]).df()
     got = QUERIES[name](spark, DATA).toPandas()
     columns = sorted(wanted.columns)
     assert columns == sorted(got.columns)
-    a, b = (x[columns].sort_values(columns).reset_index(drop=True) for x in (wanted, got))
+    a, b = (x[columns].sort_values(columns).reset_index(drop=True).convert_dtypes() for x in (wanted, got))
     assert a.astype(str).equals(b.astype(str))
 
 

@@ -7,14 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from turnmill.llm.codebooks import books_digest, compress, with_label_error
 from turnmill.llm.decontaminate import contaminated
 from turnmill.llm.labelled import fold
 from turnmill.llm.langid import identify_languages
 from turnmill.llm.mixing import mix_plan
 from turnmill.llm.ngram_join import jaccard_components
 from turnmill.llm.packing import pack_documents
+from turnmill.llm.piece_codec import encode_and_decode
 from turnmill.llm.quality import classify_quality
 from turnmill.llm.repetition import repetition_rules
+from turnmill.llm.resample import resample
 from turnmill.llm.secrets import find_secrets
 from turnmill.llm.substrings import remove_repeats
 from turnmill.llm.toxicity import classify_toxicity
@@ -79,6 +82,32 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(documents(spark, sf_dir), BYTE_VOCABULARY)
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by the likeness of their words to the benchmark's."""
+    drawn = resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the sentencepiece ids of each document and of the text they decode to."""
+    coded = encode_and_decode(documents(spark, sf_dir), PIECE_VOCABULARY)
+    return coded.select(
+        "doc_id",
+        F.floor(F.length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "agrees",
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight-part codes of each vector, their errors, and the digest of the codebooks."""
+    coded, books = compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return with_label_error(coded).select(
+        "vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(books_digest(books)).alias("codebooks_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_substring_dedup": op2_substring_dedup,
@@ -90,4 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_decontaminate": op9_decontaminate,
     "op10_secret_scan": op10_secret_scan,
+    "op11_resample": op11_resample,
+    "op12_piece_codec": op12_piece_codec,
+    "op13_vector_codes": op13_vector_codes,
 }

@@ -119,9 +119,108 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM judged
 """
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _crc_steps() -> list[int]:
+    """What each low half-byte does to a CRC-32 register."""
+    out = []
+    for step in range(16):
+        for _ in range(4):
+            step = step >> 1 ^ (0xEDB88320 if step & 1 else 0)
+        out.append(step)
+    return out
+
+
+RESAMPLED = rf"""
+WITH docs AS (
+  SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents
+), words AS (
+  SELECT doc_id, unnest(w) AS word FROM docs
+), asked AS (
+  SELECT unnest({_PLAIN_WORDS}) AS word FROM benchmark
+), spelled AS (
+  SELECT word, hex(encode(word)) AS digits FROM (SELECT word FROM words UNION SELECT word FROM asked)
+), halves AS (
+  SELECT word, flatten(list_transform(range(1, length(digits) // 2 + 1), lambda i: [
+    strpos('0123456789ABCDEF', substr(digits, 2 * i, 1)) - 1, strpos('0123456789ABCDEF', substr(digits, 2 * i - 1, 1)) - 1])) AS half
+  FROM spelled
+), placed AS (
+  SELECT word, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, half::BIGINT[]),
+    lambda c, x: xor(c >> 4, ({_crc_steps()}::BIGINT[])[(xor(c, x) & 15) + 1]))) % 10000 AS bucket
+  FROM halves
+), source AS (
+  SELECT bucket, count(*) AS s FROM words JOIN placed USING (word) GROUP BY bucket
+), target AS (
+  SELECT bucket, count(*) AS t FROM asked JOIN placed USING (word) GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM source) + 10000) AS DOUBLE)
+         / CAST((s + 1) * ((SELECT coalesce(sum(t), 0) FROM target) + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM source LEFT JOIN target USING (bucket)
+), weighed AS (
+  SELECT doc_id, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+  FROM words JOIN placed USING (word) JOIN gains USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+           (CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM docs d LEFT JOIN weighed g ON g.doc_id = d.doc_id
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= 20
+)
+SELECT s.doc_id, n_features, weight, score,
+       CASE WHEN rank <= 10 * (SELECT count(*) FROM ranked) // 100 THEN rank END AS rank
+FROM scored s LEFT JOIN ranked r ON r.doc_id = s.doc_id
+"""
+
+
+def _codes() -> str:
+    """Six rounds over eight parts and sixteen entries, one after the other."""
+    steps = []
+    for i in range(7):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, p, min(16 * d + e) AS best
+  FROM (SELECT c.vec_id, p, e, CAST(list_sum(list_transform(list_zip(c.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+        FROM cut c JOIN b{i} b USING (p))
+  GROUP BY vec_id, p
+)""")
+        if i < 6:
+            steps.append(f"""m{i} AS (
+  SELECT p, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY j) AS x
+  FROM (SELECT p, best % 16 AS e, j, CAST(sum(x[j]) AS DOUBLE) AS s, count(*) AS n
+        FROM a{i} JOIN cut USING (vec_id, p), unnest(range(1, len(x) + 1)) AS t(j) GROUP BY ALL)
+  GROUP BY p, e
+), b{i + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.x, b.x) AS x FROM b{i} b LEFT JOIN m{i} m USING (p, e)
+)""")
+    return ", ".join(steps)
+
+
+CODES = rf"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS MATERIALIZED (
+  SELECT vec_id, label, p, v[p * len(v) // 8 + 1:(p + 1) * len(v) // 8] AS x FROM kept, unnest(range(0, 8)) AS t(p)
+), b0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x
+  FROM cut WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 16)
+), {_codes()}, coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best % 16), '' ORDER BY p) AS code, CAST(sum(best // 16) AS BIGINT) AS error FROM a6 GROUP BY vec_id
+), summed AS (
+  SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded JOIN kept USING (vec_id) GROUP BY label
+)
+SELECT c.vec_id, code, error, label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM b6) AS codebooks_sha256
+FROM coded c JOIN kept k ON k.vec_id = c.vec_id JOIN summed s ON s.label IS NOT DISTINCT FROM k.label
+"""
+
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard": JACCARD,
     "op2_substring_dedup": REPEATS,
     "op5_mix_sources": MIX,
     "op6_repetition_rules": RULES,
+    "op11_resample": RESAMPLED,
+    "op13_vector_codes": CODES,
 }
