@@ -474,6 +474,16 @@ ORACLE = {
         round(CASE WHEN label = 0 THEN 0.0 ELSE embedding[len(embedding)]::DOUBLE / n END, 4) AS last
       FROM (SELECT *, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings)""",
     "cosine_pairs": f"SELECT i AS a, j AS b, round(sim, 6) AS sim FROM ({DENSE_EDGES})",
+    # Bands may miss pairs; those planted here are so close that the chance is below 1e-9 each.
+    "cosine_pairs_banded": """
+      WITH e AS (SELECT 2 * vec_id AS id, embedding AS v FROM embeddings),
+      moved AS (SELECT id + 1 AS id, list_transform(list_zip(v, list_reverse(v)), lambda z: (z[1]::DOUBLE + z[2]::DOUBLE * 0.2::DOUBLE)::FLOAT) AS v
+        FROM e WHERE id % 4 = 0),
+      lengths AS (SELECT id, v, sqrt(list_dot_product(v::DOUBLE[], v::DOUBLE[])) AS n FROM moved),
+      rows AS (SELECT id, v::DOUBLE[] AS v FROM e UNION ALL
+        SELECT id, list_transform(v, lambda x: (x::DOUBLE / n)::FLOAT)::DOUBLE[] FROM lengths)
+      SELECT a.id AS a, b.id AS b, round(list_dot_product(a.v, b.v), 5) AS sim
+      FROM rows a JOIN rows b ON a.id < b.id WHERE list_dot_product(a.v, b.v) >= 0.92""",
     "leader_clusters": f"""
       WITH RECURSIVE {greedy(DENSE_EDGES)},
       assigned AS (SELECT e.vec_id, coalesce(m.rep, e.vec_id) AS rep_id, m.rep IS NULL AS kept
@@ -558,6 +568,9 @@ ORACLE = {
       SELECT model, q::DOUBLE AS q, n, l[least(floor(n * q), n - 1)::BIGINT + 1] AS value
       FROM (SELECT model, count(total_ms) AS n, list_sort(list(total_ms)) AS l FROM ({REQUESTS}) GROUP BY model)
       CROSS JOIN (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) t(q)""",
+    "latency_sketch": f"""
+      SELECT model, q::DOUBLE AS q, n, true AS "within" FROM (SELECT model, count(total_ms) AS n FROM ({REQUESTS}) GROUP BY model)
+      CROSS JOIN (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) t(q)""",
     "request_summary": summary("model"),
     "batch_throughput": f"""
       SELECT batch, tokens, {rnd('coalesce(tokens / nullif(wall, 0), 0.0)', 1)} AS tok_per_s FROM (

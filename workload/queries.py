@@ -8,7 +8,7 @@ from turnmill.functions import chat, pii
 from turnmill.functions.parsing import clean_variants, parse_scores, parse_verdict
 from turnmill.functions.vectors import l2_normalize, squared_norm, word_grams
 from turnmill.operators import (
-    augment, dedup, judge, normalize, packing, perf, quality, sampling, scoring, semantic,
+    augment, banded, dedup, judge, normalize, packing, perf, quality, sampling, scoring, semantic, sketches,
 )
 from turnmill.operators.leaders import leader_clusters, with_cluster_ids
 from turnmill.operators.model_apply import apply_model, redact_with_model
@@ -345,6 +345,18 @@ def cosine_pairs(spark, sf):
     )
 
 
+def cosine_pairs_banded(spark, sf):
+    """Embeddings and a near copy planted for every second one, paired through bands of hyperplane signs."""
+    e = _embeddings(spark, sf).select((F.col("ord") * 2).alias("ord"), "vec")
+    copy = F.zip_with("vec", F.reverse("vec"), lambda x, y: (x + y * 0.2).cast("float"))
+    near = e.filter("ord % 4 = 0").select((F.col("ord") + 1).alias("ord"), l2_normalize(copy).alias("vec"))
+    ws = Workspace(spark)
+    both = ws.table(e.unionByName(near), "planted")
+    return banded.cosine_pairs_banded(both, semantic.DEFAULT_THRESHOLD, ws).select(
+        F.col("rep").alias("a"), F.col("ord").alias("b"), F.round("sim", 5).alias("sim")
+    )
+
+
 def leader_cluster_ids(spark, sf):
     ws = Workspace(spark)
     e = ws.table(_embeddings(spark, sf), "embeddings")
@@ -640,6 +652,15 @@ def latency_percentiles(spark, sf):
     return perf.latency_percentiles(_request_log(spark, sf), ["model"], "total_ms")
 
 
+def latency_sketch(spark, sf):
+    """Percentiles from sketches stored per kind and day; whether each one's true rank is within the bound."""
+    log = _request_log(spark, sf)
+    stored = Workspace(spark).table(sketches.sketch_log(log, ["model"], ["total_ms"], "started_at"), "sketches")
+    answers = sketches.sketch_percentiles(stored, ["model"], {"total_ms": perf.QUANTILES})
+    checked = sketches.true_ranks(log, answers, ["model"], "total_ms")
+    return checked.select("model", "q", "n", sketches.within_bound().alias("within"))
+
+
 def request_summary(spark, sf):
     return perf.request_summary(_request_log(spark, sf))
 
@@ -793,6 +814,7 @@ QUERIES = {
     "embed_text": embed_text,
     "l2_normalize": l2_norm,
     "cosine_pairs": cosine_pairs,
+    "cosine_pairs_banded": cosine_pairs_banded,
     "leader_clusters": leader_cluster_ids,
     "embedding_dedup": embedding_dedup,
     "exact_dedup": exact_dedup,
@@ -819,6 +841,7 @@ QUERIES = {
     "score_graded": score_graded,
     "benchmark_scores": benchmark_scores,
     "latency_percentiles": latency_percentiles,
+    "latency_sketch": latency_sketch,
     "request_summary": request_summary,
     "batch_throughput": batch_throughput,
     "cost_comparison": cost_comparison,
