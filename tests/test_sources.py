@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,8 @@ from turnmill.operators.normalize import normalize_columns, normalize_json
 from turnmill.plans.enrich import EnrichConfig, EnrichModels, enrich
 from turnmill.plans.stages import StageStore, source_fingerprint
 from turnmill.sources import readers, sinks
-from turnmill.streaming.refresh import incremental_refresh
+from turnmill.streaming.refresh import deduplicate_batch, incremental_refresh
+from turnmill.streaming.store import RepresentativeStore
 from tests.test_similarity import texts
 
 
@@ -171,6 +173,47 @@ def test_refresh_keeps_what_one_run_keeps(spark, ws, tmp_path):
     assert all(name == (f"{min(at // 30, 2)}-{at}", f"d{at}", "7")[at % 3] for at, (name, _) in got.items())
 
 
+def test_a_replay_with_other_splits_names_records_alike(spark, tmp_path):
+    docs = [f"{t} padded to a sensible length for the gate" for t in texts(400, seed=9)]
+    inbox = str(tmp_path / "in")
+    spark.createDataFrame([(d,) for d in docs], "text string").coalesce(2).write.text(inbox)
+    found = []
+    for run, size in enumerate(("128m", "4k", "1k")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1" if run else "4m")
+        stream = spark.readStream.text(inbox).select(F.lit(None).cast("string").alias("id"), F.col("value").alias("text"), "_metadata")
+        out = str(tmp_path / f"out{run}")
+        incremental_refresh(stream, str(tmp_path / f"store{run}"), out, str(tmp_path / f"progress{run}")).awaitTermination()
+        found.append(sorted((r["id"], r["text"]) for r in spark.read.parquet(out).collect()))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(found[0]) > 100 and found[0] == found[1] == found[2]
+
+
+def test_a_batch_opens_only_what_its_grams_touch(spark, ws, tmp_path):
+    def batch(i, words):
+        rng = random.Random(i)
+        return [(1000 * i + k, " ".join(rng.choice(words) for _ in range(12))) for k in range(40)]
+
+    own = [[f"w{i}x{k}" for k in range(30)] for i in range(12)]
+    store = RepresentativeStore(spark, str(tmp_path / "store"), buckets=64)
+    opened, kept = [], set()
+    for i in range(12):
+        rows = batch(i, own[i])
+        if i in (2, 11):
+            # Batches that also repeat texts of the first one.
+            rows += [(1000 * i + 500 + k, text) for k, (_, text) in enumerate(batch(0, own[0])[:5])]
+        store.opened.clear()
+        df = spark.createDataFrame(rows, "ord long, text string")
+        kept |= {r["ord"] for r in deduplicate_batch(df, i, store, ws).collect()}
+        opened.append(sum(f"batch={b}/" in p for p in store.opened for b in range(i)))
+    everything = [r for i in range(12) for r in batch(i, own[i])]
+    assert kept == {o for o, _ in everything}
+    # Foreign batches open next to nothing however many are stored; the last one opens what the third one did.
+    assert opened[0] == 0 and max(opened[3:11]) <= 12
+    assert 0 < opened[2] and opened[11] <= opened[2] + 12
+
+
 def test_whole_run_with_models(spark, ws):
     rows = [(str(i), i, [("user", f"{t} padded to a sensible length for the gate")]) for i, t in enumerate(texts(30, seed=6))]
     df = spark.createDataFrame(rows, "id string, ord long, messages array<struct<role:string,content:string>>")
