@@ -61,12 +61,94 @@ class Codec:
             raise ValueError(f"{path} changes texts before it encodes them")
         apart = not any(MARK in name.lstrip(MARK) for name in self.ids)
         self.cut = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if apart else "(?s:.+)")
+        self._pairs()
         self.known: dict[str, bytes] = {}
 
+    def _pairs(self) -> None:
+        """Every two symbols that join to a piece, as sorted keys; characters known to no piece get negative symbols."""
+        chars = sorted({c for name in self.ids for c in name} - self.ids.keys())
+        n = len(self.bytes)
+        symbol = self.ids | {c: n + i for i, c in enumerate(chars)}
+        self.span = n + len(chars)
+        keys, ranks, joined = [], [], []
+        for name, i in self.ids.items():
+            for at in range(1, len(name)):
+                left, right = symbol.get(name[:at]), symbol.get(name[at:])
+                if left is not None and right is not None:
+                    keys.append(left * self.span + right)
+                    ranks.append(self.rank[name])
+                    joined.append(i)
+        order = np.argsort(np.array(keys, np.int64))
+        self.pair = np.append(np.array(keys, np.int64)[order], np.int64(2**62))
+        self.none = np.int32(len(self.rank))
+        self.pair_rank = np.append(np.array(ranks, np.int32)[order], self.none)
+        self.pair_joined = np.append(np.array(joined, np.int32)[order], np.int32(-1))
+        self.symbol = -1 - np.arange(0x110000, dtype=np.int32)
+        for c, i in symbol.items():
+            if len(c) == 1:
+                self.symbol[ord(c)] = i
+
+    def _meet(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and symbol of what two symbols join to; no rank is ``none``."""
+        key = left.astype(np.int64) * self.span + right
+        at = np.searchsorted(self.pair, key)
+        hit = (self.pair[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(hit, self.pair_rank[at], self.none), self.pair_joined[at]
+
+    def merge_many(self, cuts: list[str]) -> list[bytes]:
+        """Ids of many short cuts. Each row of a matrix is the agenda of one cut, and every round pops all their heads."""
+        out: list[bytes] = [b""] * len(cuts)
+        sizes = np.array([len(c) for c in cuts])
+        for low, high in ((0, 8), (8, 16), (16, LONGEST_HELD)):
+            mine = np.flatnonzero((sizes > low) & (sizes <= high))
+            if not len(mine):
+                continue
+            size = sizes[mine]
+            points = np.frombuffer("".join([cuts[i] for i in mine.tolist()]).encode("utf-32-le"), "<u4")
+            symbols = np.full((len(mine), int(size.max()) + 1), -1, np.int32)
+            inside = np.arange(symbols.shape[1]) < size[:, None]
+            symbols[inside] = self.symbol[points]
+            agenda = np.full((len(mine), symbols.shape[1] - 1), self.none, np.int32)
+            row, col = np.nonzero(inside[:, 1:])
+            agenda[row, col] = self._meet(symbols[row, col], symbols[row, col + 1])[0]
+            left = np.arange(len(mine))
+            while len(left):
+                head = agenda[left].argmin(1)
+                alive = agenda[left, head] < self.none
+                left, head = left[alive], head[alive]
+                if not len(left):
+                    break
+                # The pair at the head becomes one symbol, and all after it move up.
+                own, ranks = symbols[left], agenda[left]
+                width = np.arange(own.shape[1] - 1)
+                own[np.arange(len(left)), head] = self._meet(own[np.arange(len(left)), head], own[np.arange(len(left)), head + 1])[1]
+                moved = width[None] + (width[None] > head[:, None])
+                own[:, :-1] = np.take_along_axis(own, moved, 1)
+                own[:, -1] = -1
+                ranks[:, :-1] = np.take_along_axis(ranks, width[None, :-1] + (width[None, :-1] >= head[:, None]), 1)
+                ranks[:, -1] = self.none
+                size[left] -= 1
+                for at in (head - 1, head):
+                    fits = np.flatnonzero((at >= 0) & (at + 1 < size[left]))
+                    ranks[fits, at[fits]] = self._meet(own[fits, at[fits]], own[fits, at[fits] + 1])[0]
+                edge = np.flatnonzero(head + 1 >= size[left])
+                ranks[edge, np.minimum(head[edge], ranks.shape[1] - 1)] = self.none
+                symbols[left], agenda[left] = own, ranks
+            inside = np.arange(symbols.shape[1]) < size[:, None]
+            if self.of_byte:
+                plain = (symbols < 0) & (symbols >= -128) & inside
+                symbols[plain] = np.array(self.of_byte[:128], np.int32)[-1 - symbols[plain]]
+            body = symbols[inside].astype(ID).tobytes()
+            ends = (np.cumsum(size) * 4).tolist()
+            for i, a, b in zip(mine.tolist(), [0, *ends], ends, strict=False):
+                out[i] = body[a:b]
+            # Other characters that are no pieces become several bytes.
+            for i in mine[(inside & ((symbols < 0) | (symbols >= len(self.bytes)))).any(1)].tolist():
+                out[i] = self._ids(self.merge(cuts[i]))
+        return out
+
     def merge(self, text: str) -> list[str]:
         """The pieces of a text whose spaces are marks."""
-        if len(text) <= LONGEST_HELD:
-            return self._merge_short(text)
         rank, symbols = self.rank, list(text)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -91,36 +173,16 @@ class Codec:
                 heapq.heappush(agenda, (r, leads, left, size + len(symbols[leads])))
         return [s for s in symbols if s]
 
-    def _merge_short(self, text: str) -> list[str]:
-        """The same with an agenda that lies in text order, whose head is looked up: shorter for a word."""
-        get, none = self.rank.get, len(self.rank)
-        symbols = list(text)
-        agenda = [get(a + b, none) for a, b in zip(symbols, symbols[1:], strict=False)]
-        while agenda and (best := min(agenda)) < none:
-            i = agenda.index(best)
-            joined = symbols[i] = symbols[i] + symbols[i + 1]
-            del symbols[i + 1], agenda[i]
-            if i:
-                agenda[i - 1] = get(symbols[i - 1] + joined, none)
-            if i < len(agenda):
-                agenda[i] = get(joined + symbols[i + 1], none)
-        return symbols
-
-    def _fresh(self, part: str) -> bytes:
+    def _ids(self, merged: list[str]) -> bytes:
         ids: list[int] = []
-        for piece in self.merge(part):
+        for piece in merged:
             if (i := self.ids.get(piece)) is not None:
                 ids.append(i)
             elif self.of_byte:
                 ids += [self.of_byte[b] for b in piece.encode()]
             else:
                 ids.append(self.unknown)
-        body = np.array(ids, ID).tobytes()
-        if len(part) <= LONGEST_HELD:
-            if len(self.known) >= HELD:
-                self.known.clear()
-            self.known[part] = body
-        return body
+        return np.array(ids, ID).tobytes()
 
     def spans(self, text: str) -> Iterator[tuple[int, int]]:
         """Parts of about a million characters, each but the first beginning with a space after another character."""
@@ -132,15 +194,38 @@ class Codec:
             yield at, to
             at = to
 
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts between the begin and end ids, as little-endian unsigned 32-bit integers."""
+        begin, end = (np.array([i], ID).tobytes() for i in (self.begin, self.end))
+        out, row = [], []
+        for i, text in enumerate(texts):
+            out.append([begin])
+            for a, b in self.spans(text):
+                part = text[a:b].replace(" ", MARK)
+                row.append((i, self.cut.findall(part if a else MARK + part)))
+                if sum(len(cuts) for _, cuts in row) >= BLOCK // 4:
+                    self._join(row, out)
+        self._join(row, out)
+        return [b"".join([*parts, end]) for parts in out]
+
+    def _join(self, row: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
+        """Encode cut parts of texts: cuts not met before together, then each part from the table."""
+        fresh = set().union(*[cuts for _, cuts in row]).difference(self.known)
+        if len(self.known) + len(fresh) > HELD:
+            self.known.clear()
+            fresh = set().union(*[cuts for _, cuts in row])
+        short = [c for c in fresh if len(c) <= LONGEST_HELD]
+        self.known.update(zip(short, self.merge_many(short), strict=True))
+        long = {c: self._ids(self.merge(c)) for c in fresh if len(c) > LONGEST_HELD}
+        self.known |= long
+        for i, cuts in row:
+            out[i].append(b"".join(map(self.known.__getitem__, cuts)))
+        for cut in long:
+            del self.known[cut]
+        row.clear()
+
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text between the begin and end ids, as little-endian unsigned 32-bit integers."""
-        get, fresh, out = self.known.get, self._fresh, [np.array([self.begin], ID).tobytes()]
-        for a, b in self.spans(text):
-            part = text[a:b].replace(" ", MARK)
-            for cut in self.cut.findall(part if a else MARK + part):
-                out.append(get(cut) or fresh(cut))
-        out.append(np.array([self.end], ID).tobytes())
-        return b"".join(out)
+        return self.encode_many([text])[0]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids. Byte pieces that make no character become one replacement character each."""
@@ -220,7 +305,7 @@ def encode_and_decode(docs: DataFrame, vocabulary: str, *, key: str = "doc_id",
         for batch in batches:
             for piece in pieces(batch, "body"):
                 texts = [x or "" for x in piece.column(1).to_pylist()]
-                ids = [own.encode(x) for x in texts]
+                ids = own.encode_many(texts)
                 decoded = [own.decode(x) for x in ids]
                 same = [own.agrees(*x) for x in zip(texts, ids, decoded, strict=True)]
                 yield pa.RecordBatch.from_arrays(
