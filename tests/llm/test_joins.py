@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -264,3 +265,34 @@ def test_contaminated_rows(spark, messy, none, frame):
     assert contaminated(messy, bench).count() == 0 and drop_contaminated(messy, bench).count() == messy.count()
     assert contaminated(none, bench).count() == 0 and contaminated(docs, bench.limit(0)).count() == 0
     assert drop_contaminated(messy, bench).schema == messy.schema
+
+
+def test_rows_without_a_key_meet_their_own_sets_only(frame):
+    rng = random.Random(31)
+    base = prose(rng, 60).split()
+    texts = []
+    for i in range(5000):
+        copy = list(base)
+        copy[rng.randrange(60)] = f"n{i}"
+        texts.append(" ".join(copy))
+    start = time.monotonic()
+    keyed = jaccard_components(frame(list(enumerate(texts)))).collect()
+    own = time.monotonic() - start
+    for key in (None, 7):
+        start = time.monotonic()
+        rows = jaccard_components(frame([(key, t) for t in texts])).collect()
+        assert time.monotonic() - start < 1.5 * own + 20
+        assert sorted((r["n_shingles"], r["n_links"]) for r in rows) == sorted((r["n_shingles"], r["n_links"]) for r in keyed)
+        assert {r["component_id"] for r in rows} == {key}
+
+
+def test_a_third_of_the_rows_repeat_key_and_text(frame):
+    rng = random.Random(32)
+    texts = [prose(rng, 40) for _ in range(60)]
+    rows = [(None, texts[0])] * 40 + [(5, texts[1])] * 20 + list(enumerate(texts, 10)) + [(200, texts[0] + " more")]
+    got = jaccard_components(frame(rows)).collect()
+    links = Counter((r["doc_id"], r["n_links"], r["component_id"]) for r in got)
+    # Forty copies without a key, one under key 10, and a near copy; twenty of key 5 and one under key 11.
+    assert links[(None, 41, 10)] == 40 and links[(10, 41, 10)] == 1 and links[(200, 41, 10)] == 1
+    assert links[(5, 20, 5)] == 20 and links[(11, 20, 5)] == 1
+    assert sum(n for (_, degree, _), n in links.items() if degree == 0) == 58

@@ -32,7 +32,7 @@ from turnmill.workspace import Workspace
 
 #: Any character of a word.
 WORD = r"[^\x20\x09-\x0D]"
-SIGNATURE = "doc_id long, n long, node long, check long, prefix array<int>"
+SIGNATURE = "doc_id long, mark long, n long, node long, check long, prefix array<int>"
 NAME = StructType().add("node", LongType()).add("check", LongType())
 
 
@@ -94,7 +94,7 @@ def set_names(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, key: str, text: str, k: int, at: Threshold) -> DataFrame:
-    """Size, 128-bit name and posted hashes (32 bits each) of each text's set."""
+    """Size, 128-bit name and posted hashes (32 bits each) of each text's set; ``mark`` tells texts of one key apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,13 +103,16 @@ def signatures(docs: DataFrame, key: str, text: str, k: int, at: Threshold) -> D
                 node, check = set_names(sets)
                 prefix = [(s[: at.posted(len(s))] >> np.uint64(32)).astype(np.uint32).view(np.int32) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(node), pa.array(check),
+                    [piece.column(0), piece.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(node), pa.array(check),
                      pa.array(prefix, pa.list_(pa.int32()))],
-                    ["doc_id", "n", "node", "check", "prefix"],
+                    ["doc_id", "mark", "n", "node", "check", "prefix"],
                 )
 
-    rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
-    return rows.mapInArrow(run, SIGNATURE)
+    return _marked(docs, key, text).mapInArrow(run, SIGNATURE)
+
+
+def _marked(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("mark"))
 
 
 def whole_sets(texts: DataFrame, k: int) -> DataFrame:
@@ -248,7 +251,7 @@ def jaccard_components(
     least = members.groupBy("component").agg(F.min("rep").alias("component_id"))
     members = members.join(least, "component").select("id", "component", "component_id")
     classes = classes.drop("n").join(members, "id", "left").join(degrees, "id", "left")
-    out = sets.drop("prefix").join(classes, ["node", "check"], "left")
+    out = sets.drop("prefix", "mark").join(classes.drop("mark", "prefix"), ["node", "check"], "left")
     alone = F.col("n") == 0
     named = ["node", "check", F.coalesce("component", "id").alias("component")] if with_names else []
     return out.select(
@@ -261,11 +264,16 @@ def jaccard_components(
 
 
 def _classes(sets: DataFrame) -> DataFrame:
-    """One row for each different set: its least key, its number of rows, and an id of its own.
+    """One row for each different set: its least key, its number of rows, its posted hashes, and an id of its own.
 
-    The id is the least key, unless that is null or names another class too; then it is the node.
+    The id is the least key, unless that is null or names another class too; then it is the node. ``mark``
+    is that of a text with the least key, so that key and mark lead back to this set alone.
     """
-    classes = sets.groupBy("node", "check").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"))
+    own_text = F.struct(F.col("doc_id").isNull(), "doc_id", "mark")
+    classes = sets.groupBy("node", "check").agg(
+        F.min("doc_id").alias("rep"), F.min_by("mark", own_text).alias("mark"), F.count("*").alias("copies"),
+        F.first("n").alias("n"), F.first("prefix").alias("prefix"),
+    )
     same_rep = Window.partitionBy("rep", F.when(F.col("rep").isNull(), F.col("node"))).orderBy("node", "check")
     leads = F.col("rep").isNotNull() & (F.row_number().over(same_rep) == 1)
     return classes.withColumn("id", F.when(leads, F.col("rep")).otherwise(F.col("node")))
@@ -317,21 +325,25 @@ def _class_links(
 ) -> DataFrame:
     """Rows (a, b, degree): links between the ids of classes, and the copies that each links to."""
     # Sets too small for any difference have no partners but their copies.
-    reps = classes.filter(at.linkable(F.col("n"))).select("id", "rep", "node", "check", "n")
-    same = F.col("doc_id").eqNullSafe(F.col("rep"))
-    posted = sets.select("doc_id", "node", "check", "prefix").join(reps, ["node", "check"]).filter(same)
-    posted = posted.select("id", "n", F.explode("prefix").alias("hash"))
+    linkable = classes.filter(at.linkable(F.col("n")))
+    posted = linkable.select("id", "n", F.explode("prefix").alias("hash"))
     owned_hash = Window.partitionBy("hash")
     shared = posted.withColumn("lo", F.min("id").over(owned_hash)).withColumn("hi", F.max("id").over(owned_hash)).filter("lo < hi")
     likely = shared.groupBy("id").agg(F.count("*").alias("hits"), F.first("n").alias("n")).filter(F.col("hits") >= at.needed(F.col("n")))
-    likely = space.table(likely.select("id"), "likely")
-    rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
-    texts = rows.join(reps.join(likely, "id"), same)
+    # Rows that repeat key and text would post a set again for each of them.
+    again = sets.groupBy("doc_id", "mark").agg((F.count("*") > 1).alias("again")).filter("again")
+    again = again.select(F.col("doc_id").alias("again_key"), F.col("mark").alias("again_mark"), "again")
+    repeats = F.col("rep").eqNullSafe(F.col("again_key")) & (F.col("own") == F.col("again_mark"))
+    reps = linkable.select("id", "rep", F.col("mark").alias("own"), "node", "check").join(likely.select("id"), "id")
+    reps = space.table(reps.join(again, repeats, "left").drop("again_key", "again_mark"), "likely")
+    # By key and text: a null or repeated key leads each of its rows to no other set than its own.
+    texts = _marked(docs, key, text).join(reps, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("mark") == F.col("own")))
+    if not reps.filter("again").isEmpty():
+        texts = texts.filter("again IS NULL").unionByName(texts.filter("again").dropDuplicates(["id"]))
     shingle = Window.partitionBy("shingle")
     ends = [F.min("id").over(shingle).alias("lo"), F.max("id").over(shingle).alias("hi")]
     owned = whole_sets(texts, k).select("*", F.count("*").over(shingle).alias("owners"), *ends)
-    # Rows that repeat key and text post twice; sets keep each hash once.
-    listed = owned.filter("lo < hi").groupBy("id").agg(F.array_sort(F.collect_set(F.struct("owners", "shingle"))).alias("rarest"))
+    listed = owned.filter("lo < hi").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("owners", "shingle"))).alias("rarest"))
     found = listed.join(classes.select("id", "n", "copies"), "id")
     least = at.needed_whole(F.col("n"))
     found = space.table(
