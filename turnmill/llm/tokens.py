@@ -8,6 +8,7 @@ of fixed size; only new ones are encoded.
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -20,6 +21,9 @@ from turnmill.llm.text import SPACE, buffers, rolled, words
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _TABLE = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)
 PLACES, POOL, CACHED = 1 << 19, 1 << 22, 64
+#: Runs of white space of so many characters or more are encoded by themselves: the pattern would try every end of them.
+LONG_RUN = 10_000
+_SPACES = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
 
 
 @lru_cache(maxsize=2)
@@ -46,6 +50,8 @@ class Encoder:
 
     def __init__(self, path: str):
         self.encoding = encoding(path)
+        #: The same vocabulary, merging over any text as one piece.
+        self.whole = encoding(path, r"(?s:.)+")
         self.type = np.uint16 if self.encoding.n_vocab < 1 << 16 else np.uint32
         self.bytes = np.array([len(self.encoding.decode_single_token_bytes(i)) for i in range(self.encoding.n_vocab)])
         self._clear()
@@ -58,7 +64,19 @@ class Encoder:
         self.used = 0
 
     def _encode(self, body: bytes) -> np.ndarray:
-        return self.encoding.encode_to_numpy(body.decode(), disallowed_special=()).astype(self.type)
+        text = body.decode()
+        if len(text) < LONG_RUN:
+            return self.encoding.encode_to_numpy(text, disallowed_special=()).astype(self.type)
+        parts, at = [], 0
+        for run in re.finditer(f"{_SPACES}{{{LONG_RUN},}}", text):
+            # The last space before a word belongs to what follows; the rest of a run is one piece of the pattern.
+            end = run.end() - (run.end() < len(text))
+            parts += [self._encode_plain(text[at : run.start()]), self.whole.encode_to_numpy(text[run.start() : end], disallowed_special=())]
+            at = end
+        return np.concatenate([*parts, self._encode_plain(text[at:])]).astype(self.type)
+
+    def _encode_plain(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, disallowed_special=())
 
     def _encode_all(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of many pieces; for each the place of its first and how many it has.
