@@ -6,11 +6,13 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import BYTES, prose
 from tests.llm.test_joins import plain_components
 from tests.llm.test_single_pass import plain_rules
+from turnmill.llm import tokens
 from turnmill.llm.mixing import mix_documents, mix_plan
 from turnmill.llm.packing import best_fit, matrix, pack_documents, positions, write_packed
 from turnmill.llm.tokens import encoding
@@ -36,8 +38,9 @@ def plain_targets(sizes, weights=(3, 1, 2)):
     return target
 
 
-def plain_copies(key, rate):
-    digest = hashlib.md5(f"mix:{'' if key is None else key}".encode()).hexdigest()
+def plain_copies(key, text, rate, nth=0):
+    """Copies of a row that is the nth of those with its key, source and text."""
+    digest = hashlib.md5(f"mix:{'' if key is None else key}:{hashlib.md5((text or '').encode()).hexdigest()}:{nth}".encode()).hexdigest()
     return int(rate) + (int(digest[:13], 16) / 2**52 < rate - int(rate))
 
 
@@ -55,7 +58,10 @@ def test_mix_matches_brute_force(spark):
     for r in got:
         assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(targets[r["source"]])
         rate = targets[r["source"]] / sizes[r["source"]] if sizes[r["source"]] else 0
-        assert r["taken"] == r["copies"] * r["size"] <= 2 * r["size"] and r["copies"] == plain_copies(r["doc_id"], round(rate, 12))
+        assert r["taken"] == r["copies"] * r["size"] <= 2 * r["size"] and int(rate) <= r["copies"] <= int(rate) + 1
+    rates = {s: round(targets[s] / n, 12) if n else 0 for s, n in sizes.items()}
+    wanted = sorted((str(i), len(re.findall(WORD, t or "")), plain_copies(i, t, rates[s])) for i, t, s in rows)
+    assert sorted((str(r["doc_id"]), r["size"], r["copies"]) for r in got) == wanted
     copies = Counter(r["doc_id"] for r in mix_documents(docs).collect())
     assert sum(copies.values()) == sum(r["copies"] for r in got)
     assert mix_documents(docs).schema == docs.schema
@@ -153,7 +159,7 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
     for d in left:
         sizes[d[3]] += len(d[1].split())
     targets = plain_targets(sizes)
-    wanted = {d[0]: plain_copies(d[0], round(targets[d[3]] / sizes[d[3]], 12)) for d in left}
+    wanted = {d[0]: plain_copies(d[0], d[1], round(targets[d[3]] / sizes[d[3]], 12)) for d in left}
     rows = corpus_pipeline.run(spark, str(folder)).collect()
     parts, own = unpacked(rows, 2048), encoding(BYTES)
     assert {d: len(p[0]) for d, p in parts.items()} == {d: n for d, n in wanted.items() if n}
@@ -161,3 +167,38 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
     assert all(ids == [*own.encode_ordinary(texts[d]), 50256] for d, p in parts.items() for ids in p[0])
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, spark.read.parquet(str(folder / "documents.parquet")).limit(0), str(folder)).count() == 0
+
+
+def test_rows_without_a_key_draw_apart(spark):
+    rng = random.Random(41)
+    rows = [(None, " ".join(["w"] * rng.randint(1, 40)) + f" u{i}", None, f"s{i % 3}", i) for i in range(3000)]
+    for docs in (rows, [(None, "a b c d", None, f"s{i % 3}", 1) for i in range(3000)]):
+        frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+        got = mix_plan(frame).collect()
+        assert len(got) == 3000
+        taken, target = Counter(), {}
+        for r in got:
+            taken[r["source"]] += r["taken"]
+            target[r["source"]] = r["target"]
+            assert r["taken"] <= 2 * r["size"]
+        assert all(abs(taken[s] - t) <= 0.05 * t for s, t in target.items())
+        assert mix_documents(frame).count() == sum(r["copies"] for r in got)
+        assert sorted(map(str, mix_plan(frame.repartition(7)).collect())) == sorted(map(str, got))
+
+
+@pytest.mark.parametrize("space", [" ", "\n", " \n", "\u3000", "\u2003 "])
+def test_long_white_space_has_the_ids_of_the_whole(space, monkeypatch):
+    encode = tokens.Encoder(BYTES)
+    for n in (49, 50, 51, 52, 400):
+        for text in (space * n, "a" + space * n, space * n + "b", f"a {space * n}b{space * n}\u00a0c {space * 3}d"):
+            monkeypatch.setattr(tokens, "LONG_RUN", 50)
+            ids, _ = encode(pa.array([text]))
+            assert ids.tolist() == encode.encoding.encode_ordinary(text)
+            encode._clear()
+
+
+def test_a_text_of_millions_of_spaces_or_letters():
+    encode = tokens.Encoder(BYTES)
+    for text in (" " * 5_000_000, "\n" * 1_500_000 + "x", "x" * 2_000_000):
+        ids, at = encode(pa.array([text, "end"]))
+        assert "".join(encode.encoding.decode(ids[: at[1]].tolist())) == text

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 MIX = r"""
 WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(coalesce(text, '')) AS digest, row_number() OVER (PARTITION BY doc_id, source, text) - 1 AS nth
   FROM documents
 ), sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -26,7 +27,7 @@ WITH sized AS (
 ), rated AS (
   SELECT s.doc_id, s.size, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate,
-         CAST('0x' || substr(md5('mix:' || coalesce(CAST(s.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u
+         CAST('0x' || substr(md5('mix:' || coalesce(CAST(s.doc_id AS VARCHAR), '') || ':' || digest || ':' || nth), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 ), counted AS (
   SELECT *, CAST(floor(rate) AS BIGINT) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM rated
