@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tests.llm.conftest import PIECES, prose
 from turnmill.llm import langid, quality, toxicity
 from turnmill.llm.labelled import fold, training_rows
-from turnmill.llm.langid import identify_languages
+from turnmill.llm.langid import identify_languages, training_texts
 from turnmill.llm.quality import classify_quality
 from turnmill.llm.toxicity import classify_toxicity
 
@@ -195,3 +195,17 @@ def test_language_of_held_out_texts(spark, messy, none):
     assert identify_languages(messy, PIECES, F.lit(False)).count() == messy.count()
     assert {r["lang_pred"] for r in identify_languages(messy, PIECES, F.lit(True)).collect()} == {"und"}
     assert identify_languages(none, PIECES, F.lit(False)).count() == 0
+
+
+def test_samples_hold_one_text_of_a_key_and_a_budget_of_bytes(spark, frame):
+    rows = [(k, f"text {k} {i}") for k in (1, 2, 3) for i in range(500)]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (3, 0)], "doc_id long, quality int")
+    docs, none = frame(rows), F.lit(False)
+    got = training_rows(docs, labels, "quality", none, 5).collect()
+    # Key 3 has both labels and counts as 0.
+    assert sorted((r["text"].split()[1], r["label"]) for r in got) == [("1", 1), ("2", 0), ("3", 0)]
+    assert [r["text"] for r in training_rows(docs.repartition(5), labels, "quality", none, 5).collect()] == [r["text"] for r in got]
+    assert training_rows(docs, labels, "quality", none, 5, most_bytes=3).collect() == []
+    texts = training_texts(docs, none, 400, "doc_id", "text", "lang").collect()
+    assert sorted(r["text"].split()[1] for r in texts) == ["1", "2", "3"] and {r["lang"] for r in texts} == {"en"}
+    assert training_texts(docs, none, 400, "doc_id", "text", "lang", most_bytes=1).collect() == []

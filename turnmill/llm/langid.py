@@ -20,6 +20,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from turnmill.llm.labelled import within_bytes
 from turnmill.llm.text import LOWER, mix, pieces, rolled, sums, words
 
 MARK, MOST, LONGEST = 1, 48, 8
@@ -207,21 +208,25 @@ def sample_words(rows: list[tuple[str, str]]) -> tuple[list[str], list[Counter]]
     return names, [counts[name] for name in names]
 
 
-def training_texts(docs: DataFrame, left_out: Column, per_lang: int, key: str, text: str, lang: str) -> DataFrame:
-    """Rows (lang, text): for each language the ``per_lang`` texts of least key hash.
+def training_texts(docs: DataFrame, left_out: Column, per_lang: int, key: str, text: str, lang: str, most_bytes: int = 64 << 20) -> DataFrame:
+    """Rows (lang, text): for each language the ``per_lang`` keys of least hash, one text of each.
 
     Ranks are limited in each of 64 parts of a language first, so a frequent language does not meet in
-    one task; only the keys, at most ``per_lang`` for each language, are broadcast to the texts.
+    one task; only the keys, at most ``per_lang`` for each language, are broadcast to the texts. Of several
+    texts of a key in a language the one of least hash counts, and texts are left out once those of a language
+    exceed ``most_bytes``.
     """
     usable = docs.filter(docs[lang].isNotNull() & docs[key].isNotNull() & ~left_out).select(docs[key].alias("at"), docs[lang].alias("as_lang"))
-    ids = usable.withColumn("hash", F.xxhash64(F.col("at").cast("string"))).withColumn("part", F.pmod("hash", F.lit(64)))
+    ids = usable.distinct().withColumn("hash", F.xxhash64(F.col("at").cast("string"))).withColumn("part", F.pmod("hash", F.lit(64)))
     for keys in (["as_lang", "part"], ["as_lang"]):
         nth = F.row_number().over(Window.partitionBy(*keys).orderBy("hash", "at"))
         ids = ids.withColumn("nth", nth).filter(F.col("nth") <= per_lang)
-    ids = ids.select("at", "as_lang").distinct()
-    rows = docs.select(docs[key].alias("own"), docs[text].alias("text"), docs[lang].alias("own_lang"))
+    ids = ids.select("at", "as_lang")
+    rows = docs.select(docs[key].alias("own"), docs[text].alias("text"), docs[lang].alias("own_lang")).filter("text IS NOT NULL")
     same = (rows["own"] == ids["at"]) & (rows["own_lang"] == ids["as_lang"])
-    return rows.join(F.broadcast(ids), same).filter("text IS NOT NULL").select(F.col("as_lang").alias("lang"), "text")
+    texts = rows.join(F.broadcast(ids), same).groupBy("at", F.col("as_lang").alias("lang"))
+    one = texts.agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return within_bytes(one, most_bytes, "lang").select("lang", "text")
 
 
 def identify_languages(
@@ -230,8 +235,8 @@ def identify_languages(
     """The likeliest learned language of each document, and its share of the probability of all.
 
     ``vocabulary`` is the path of a sentencepiece model that every executor can read. ``left_out`` is
-    a condition on the key that keeps rows out of the fit; at most ``per_lang`` texts per language
-    are fitted, on the driver. Texts that are null, empty or without letters are ``und`` with score 0,
+    a condition on the key that keeps rows out of the fit; at most ``per_lang`` texts per language, of 64 MB
+    together, are fitted, on the driver. Texts that are null, empty or without letters are ``und`` with score 0,
     and so is everything if nothing was learned. Each row of ``docs`` gives one row.
     """
     sample = training_texts(docs, left_out, per_lang, key, text, lang).collect()

@@ -97,7 +97,7 @@ def classify_quality(
     """Score of each document: the probability of label 1, and whether it reaches ``threshold``.
 
     ``left_out`` is a condition on the key that keeps labels out of the fit. At most ``per_label``
-    labelled texts per label are fitted, on the driver. Null and empty texts get the score of the
+    labelled texts per label, of 64 MB together, are fitted, on the driver. Null and empty texts get the score of the
     bias; without labels every score is 0.5. Each row of ``docs`` gives one row.
     """
     sample = training_rows(docs, labels, label, left_out, per_label, key, text).toPandas()
