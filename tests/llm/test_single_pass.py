@@ -12,7 +12,7 @@ import pytest
 from tests.llm.conftest import BYTES, messy_rows
 from turnmill.llm import repetition, secrets
 from turnmill.llm.repetition import drop_repetitive, longest_repeats, repetition_rules
-from turnmill.llm.secrets import find_secrets, looks_random
+from turnmill.llm.secrets import find_secrets, looks_random, random_span
 from turnmill.llm.tokens import Encoder, encoding
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -131,3 +131,26 @@ def test_token_ids_equal_whole_text_encoding():
         ids, at = encode(pa.array(texts, pa.string()))
         for i, t in enumerate(texts):
             assert ids[at[i] : at[i + 1]].tolist() == own.encode_ordinary(t or "")
+
+
+@pytest.mark.parametrize("front", ["", "config/production/credentials/", "export_service_configuration_value=", "my_session_key="])
+def test_random_strings_are_found_behind_names_and_paths(front):
+    rng = random.Random(12)
+    tokens = secrets.encoding(BYTES)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    found = 0
+    for _ in range(300):
+        value = "".join(rng.choice(letters) for _ in range(16))
+        span = random_span((front + value).encode(), tokens, 16, 2.3)
+        found += bool(span) and span[1] == len(front + value) and span[0] <= len(front) + 3
+    assert found >= 285
+
+
+def test_names_and_paths_are_no_random_strings():
+    tokens = secrets.encoding(BYTES)
+    for value in (
+        "config/production/credentials/default", "getURLForHTTPRequest", "XMLHttpRequestUpload", "export_service_configuration_value=",
+        "Donaudampfschifffahrtsgesellschaft", "2024-05-17/10_22_31", "application/vnd-openxmlformats-officedocument", "----------------",
+        "AbstractSingletonProxyFactoryBean", "usr/local/share/python3/site-packages",
+    ):
+        assert random_span(value.encode(), tokens, 16, 2.3) is None

@@ -2,7 +2,7 @@
 
 Prose gives a public byte-pair vocabulary several characters a token, a random string about two.
 Unbroken strings that yield few characters a token are reported, unless they are a known digest,
-an identifier of words, a number, an address or a path.
+an identifier of words, a number, an address or a path; so are such parts of longer strings, behind a path or name.
 
 One map over the texts, without a shuffle. All forms are searched as bytes; only texts in which
 something is found have their positions counted in code points.
@@ -37,8 +37,6 @@ BODY = np.zeros(256, bool)
 BODY[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
 HEXES = np.zeros(256, bool)
 HEXES[list(b"0123456789abcdef")] = True
-DIGIT = np.zeros(256, bool)
-DIGIT[list(b"0123456789")] = True
 #: Lengths of hexadecimal digests (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512).
 DIGESTS = {32, 40, 56, 64, 96, 128}
 UUID = re.compile(rb"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}")
@@ -94,6 +92,33 @@ def looks_random(value: bytes, tokens: tiktoken.Encoding, most_ratio: float, blo
     return len(value) < most_ratio * n
 
 
+#: What holds the parts of names and paths together.
+JOINT = re.compile(rb"[+/_=-]")
+
+
+def random_span(value: bytes, tokens: tiktoken.Encoding, least: int, most_ratio: float) -> tuple[int, int] | None:
+    """Where a random string lies in an unbroken string, if it holds one.
+
+    The whole is tested first; then what is left without the words at its front and end, as a name or path before
+    a secret would hide it; then each part between joints, the longest first. Strings of a known kind are none.
+    """
+    if looks_random(value, tokens, most_ratio):
+        return 0, len(value)
+    if known(value):
+        return None
+    bounds = [-1, *[m.start() for m in JOINT.finditer(value)], len(value)]
+    parts = [(a + 1, b) for a, b in zip(bounds, bounds[1:], strict=False) if b > a + 1]
+    odd = [i for i, (a, b) in enumerate(parts) if not WORDS.fullmatch(value[a:b])]
+    if not odd:
+        return None
+    spans = [(parts[odd[0]][0], len(value)), (parts[odd[0]][0], parts[odd[-1]][1])]
+    spans += sorted((parts[i] for i in odd), key=lambda x: (x[0] - x[1], x[0]))
+    for a, b in spans:
+        if least <= b - a < len(value) and looks_random(value[a:b], tokens, most_ratio):
+            return a, b
+    return None
+
+
 def fixed_forms(body: bytes) -> list[tuple[int, int, int]]:
     """Spans (start, kind, end) of the three forms in a text's bytes."""
     out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(body) if m.end(1) - m.start(1) >= LEAST["assign"]]
@@ -124,14 +149,14 @@ def scan(batch: pa.RecordBatch, tokens: tiktoken.Encoding, least: int, most_rati
         if spans := fixed_forms(data[offsets[row] : offsets[row + 1]]):
             found[row] = spans
     base = {row: list(spans) for row, spans in found.items()}
-    digits = np.concatenate(([0], np.cumsum(DIGIT[buf])))
     starts, ends = runs(BODY[buf], offsets, least)
-    likely = np.flatnonzero(digits[ends] > digits[starts])  # a random string of this length holds a digit
-    for start, end in zip(starts[likely].tolist(), ends[likely].tolist(), strict=True):
+    for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
+        if not (span := random_span(data[start:end], tokens, least, most_ratio)):
+            continue
         row = int(np.searchsorted(offsets, start, "right")) - 1
-        a, b = start - int(offsets[row]), end - int(offsets[row])
+        a, b = start + span[0] - int(offsets[row]), start + span[1] - int(offsets[row])
         # A fixed form that overlaps reports the string already.
-        if not any(x < b and a < y for x, _, y in base.get(row, ())) and looks_random(data[start:end], tokens, most_ratio):
+        if not any(x < b and a < y for x, _, y in base.get(row, ())):
             found.setdefault(row, []).append((a, 3, b))
     counts = np.zeros((4, n), np.int64)
     empty = hashlib.sha256(b"").hexdigest()
