@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from turnmill.functions.chat import row_text
 from turnmill.operators import augment, judge, packing, perf, quality, sampling, scoring
 from turnmill.operators.model_apply import apply_model, redact_with_model
-from turnmill.operators.ordering import kth_key, seeded_key
+from turnmill.operators.ordering import kth_key, running_sum, seeded_key
 from turnmill.operators.skew import skew_join
 
 
@@ -46,20 +46,41 @@ def test_sample_by_cut_equals_top_k(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("partitions", ["1", "4", "40"])
-def test_packs(spark, partitions):
+def test_packs(spark, ws, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
-        rows = packing.pack_sequences(ids(spark, 400), max_tokens=64, shards=3).collect()
+        rows = packing.pack_sequences(ids(spark, 400), ws, max_tokens=64).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     packs, tokens = {}, {}
     for r in rows:
-        packs[r["shard"], r["pack"]] = packs.get((r["shard"], r["pack"]), 0) + r["n_tokens"]
+        packs[r["pack"]] = packs.get(r["pack"], 0) + r["n_tokens"]
         tokens[r["id"]] = tokens.get(r["id"], 0) + r["n_tokens"]
-    assert max(packs.values()) == 64
     assert tokens == {i: -(-(i * 37 % 900 + 1) // 4) for i in range(400)}
-    last = {s: max(p for sh, p in packs if sh == s) for s in range(3)}
-    assert all(n == 64 for (s, p), n in packs.items() if p != last[s])
+    assert sorted(packs) == list(range(len(packs))) and all(n == 64 for p, n in packs.items() if p < len(packs) - 1)
+    # A row's fragments follow each other from its first token on.
+    by_row = {}
+    for r in sorted(rows, key=lambda r: r["pack"]):
+        assert r["from_token"] == by_row.get(r["id"], 0)
+        by_row[r["id"]] = r["from_token"] + r["n_tokens"]
+
+
+@pytest.mark.parametrize("partitions", ["1", "5", "64"])
+def test_running_sums_are_those_of_one_scan(spark, ws, partitions):
+    rng = random.Random(3)
+    rows = [(i, rng.randrange(0, 1 << 40), "x") for i in range(500)]
+    rng.shuffle(rows)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = spark.createDataFrame(rows, "k long, w long, _n string").repartition(7)
+        got = {r["k"]: (r["upto"], r["_n"]) for r in running_sum(df, ["k"], "w", "upto", ws).collect()}
+        assert running_sum(df.limit(0), ["k"], "w", "upto", ws).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    total = 0
+    for k, w, _ in sorted(rows):
+        total += w
+        assert got[k] == (total, "x")
 
 
 def reference_percentile(values, q):

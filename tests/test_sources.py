@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnmill.functions.vectors import embed_with_model
+from turnmill.operators.answers import AnswerLog
 from turnmill.operators.normalize import normalize_columns, normalize_json
 from turnmill.plans.enrich import EnrichConfig, EnrichModels, enrich
-from turnmill.plans.stages import StageStore, source_fingerprint
+from turnmill.plans.stages import StageStore, content_fingerprint, source_fingerprint
 from turnmill.sources import readers, sinks
 from turnmill.streaming.refresh import deduplicate_batch, incremental_refresh
 from turnmill.streaming.store import RepresentativeStore
@@ -103,6 +104,84 @@ def test_stage_store_follows_input_and_parameters(spark, ws, tmp_path):
     assert changed != first and run(changed, 5)[:2] == (8, ["s"])
 
 
+def test_content_fingerprints_see_rows_not_files(spark, tmp_path):
+    rows = [(i, None if i % 5 == 0 else f"t{i % 7}", [i, None], {"a": i}) for i in range(50)]
+    schema = "id long, text string, parts array<int>, more map<string,int>"
+    df = spark.createDataFrame(rows, schema)
+    mark = content_fingerprint(df)
+    df.repartition(7).write.parquet(str(tmp_path / "a"))
+    assert content_fingerprint(spark.read.parquet(str(tmp_path / "a"))) == mark
+    others = [rows[:-1], rows + rows[:1], [(0, "t0", [0, None], {"a": 0}), *rows[1:]], [(0, None, [0, 0], {"a": 0}), *rows[1:]]]
+    others += [[(0, None, [0, None], {"a": 9}), *rows[1:]], rows + rows, []]
+    assert len({content_fingerprint(spark.createDataFrame(r, schema)) for r in others} | {mark}) == 8
+    assert content_fingerprint(df.withColumnRenamed("text", "words")) != mark
+
+
+def test_a_resumed_run_calls_no_model(spark, ws, tmp_path):
+    calls = tmp_path / "calls"
+
+    def noted(answer):
+        def fn(value):
+            with open(calls, "a") as f:
+                f.write("x")
+            if "fails" in value:
+                raise ValueError("no answer")
+            return answer if answer else value.upper()
+
+        return fn
+
+    docs = [f"{t} padded to a sensible length for the gate, {i}" for i, t in enumerate(texts(12))] + ["one that fails, long enough for the gate to pass"]
+    df = spark.createDataFrame([(str(i), i, [("user", d)]) for i, d in enumerate(docs)], "id string, ord long, messages array<struct<role:string,content:string>>")
+    models = EnrichModels(redact=noted(None), paraphrase=noted("1. other words"), version="m1")
+    config = EnrichConfig(quality_filter=False, augment=True, eval_ratio=0.2)
+    found = []
+    for version in ("m1", "m1", "m2"):
+        models = EnrichModels(models.embed, models.review, models.redact, models.paraphrase, version=version)
+        store = StageStore(spark, str(tmp_path / "stages"))
+        out = enrich(df, None, ws, config, stages=store, sources={"conversations": "c"}, models=models)
+        found.append((sorted(map(str, out.rows.collect())), [r["id"] for r in out.quarantined.collect()], store.ran, calls.stat().st_size))
+    assert found[0][:2] == found[1][:2] == found[2][:2] and found[0][1] == ["12"]
+    assert found[1][2] == [] and found[1][3] == found[0][3] < found[2][3]
+    assert found[2][2] == ["redact", "split", "augment"]
+    with pytest.raises(ValueError, match="version"):
+        enrich(df, None, ws, config, stages=store, sources={"conversations": "c"}, models=EnrichModels(redact=noted(None)))
+
+
+def test_an_answer_log_sends_each_prompt_once(spark, ws, tmp_path):
+    calls = tmp_path / "calls"
+
+    def model(value):
+        with open(calls, "a") as f:
+            f.write(value + "\n")
+        if value == "p77" and not (tmp_path / "mended").exists():
+            raise SystemExit("cut")
+        if value == "p5":
+            raise ValueError("never")
+        return value.upper()
+
+    def sent():
+        return calls.read_text().split() if calls.exists() else []
+
+    df = spark.createDataFrame([(i, f"p{i % 100}") for i in range(300)], "id long, prompt_text string")
+    log = AnswerLog(spark, str(tmp_path / "log"), "m1")
+    options = {"rows_per_slice": 10, "retries": 0, "batch_size": 4}
+    with pytest.raises(Exception, match="cut|SystemExit|crashed|exited"):
+        log.ask(df, model, "prompt_text", ws, **options)
+    kept = {r["response"].lower() for r in log.answers().collect()}
+    before = len(sent())
+    (tmp_path / "mended").touch()
+    rows = log.ask(df, model, "prompt_text", ws, **options).collect()
+    assert len(rows) == 300 and {r["error"] for r in rows if r["id"] % 100 == 5} == {"never"}
+    assert all(r["response"] == f"P{r['id'] % 100}" for r in rows if r["id"] % 100 != 5)
+    # What the cut run had written is not sent again.
+    assert kept.isdisjoint(sent()[before:]) and len(sent()[before:]) == 100 - len(kept)
+    before = len(sent())
+    assert len(log.ask(df, model, "prompt_text", ws, **options).collect()) == 300 and sent()[before:] == ["p5"]
+    assert len(AnswerLog(spark, str(tmp_path / "log"), "m2").answers().collect()) == 0
+    with pytest.raises(ValueError, match="version"):
+        AnswerLog(spark, str(tmp_path / "log"), "")
+
+
 def test_enrich_reuses_stages(spark, ws, tmp_path):
     rows = [(str(i), i, [("user", f"{t} padded to a sensible length for the gate, {i}")]) for i, t in enumerate(texts(40))]
     df = spark.createDataFrame(rows, "id string, ord long, messages array<struct<role:string,content:string>>")

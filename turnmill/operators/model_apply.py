@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -40,8 +41,8 @@ def apply_model(
     """``key, response, error, attempts`` of ``fn(value)`` for every row.
 
     ``fn`` takes the input value (a string, or a list of message dicts) and returns a
-    string. A task holds one batch at a time with ``concurrency`` calls in flight; a
-    call is retried with doubling pauses and a row that keeps failing carries its
+    string. A task has ``concurrency`` calls in flight out of a window of ``batch_size`` rows,
+    which moves on with each answer; a call is retried with doubling pauses and a row that keeps failing carries its
     error, so each stage can apply its own default.
     """
     key_type = df.schema[key].dataType
@@ -54,20 +55,28 @@ def apply_model(
         ]
     )
 
+    def table(done):
+        keys, answers = zip(*done)
+        response, error, attempts = zip(*answers)
+        attempts = pd.array(attempts, dtype="int32")
+        return pd.DataFrame({key: list(keys), "response": list(response), "error": list(error), "attempts": attempts})
+
     def run(frames):
+        waiting, done = deque(), []
         with ThreadPoolExecutor(concurrency) as pool:
             for frame in frames:
-                for at in range(0, len(frame), batch_size):
-                    part = frame.iloc[at:at + batch_size]
-                    done = list(pool.map(lambda v: _call(fn, v, retries, backoff), part[input_col]))
-                    yield pd.DataFrame(
-                        {
-                            key: part[key].to_numpy(),
-                            "response": [d[0] for d in done],
-                            "error": [d[1] for d in done],
-                            "attempts": pd.array([d[2] for d in done], dtype="int32"),
-                        }
-                    )
+                for name, value in zip(frame[key], frame[input_col]):
+                    waiting.append((name, pool.submit(_call, fn, value, retries, backoff)))
+                    # One slow call holds up the rows behind it, not the calls beside it.
+                    if len(waiting) >= batch_size:
+                        name, call = waiting.popleft()
+                        done.append((name, call.result()))
+                    if len(done) >= batch_size:
+                        yield table(done)
+                        done = []
+            done += [(name, call.result()) for name, call in waiting]
+        if done:
+            yield table(done)
 
     return df.select(key, input_col).mapInPandas(run, schema)
 

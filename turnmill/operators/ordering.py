@@ -6,7 +6,13 @@ small count per block or per key range on the driver.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StructType
 
 from turnmill.workspace import Workspace
 
@@ -98,3 +104,28 @@ def dense_rank_of(ids: DataFrame, key: str, out: str, ws: Workspace) -> DataFram
     )
     ranged = ranged.withColumn("_part", F.shiftright("_seq", 33))
     return block_positions(ranged, ["_part"], {"_seq": out}).drop("_seq", "_part")
+
+
+def running_sum(df: DataFrame, order: list[str], weight: str, out: str, ws: Workspace) -> DataFrame:
+    """Add ``out``, the sum of the non-negative long ``weight`` up to and with each row in the order of all rows.
+
+    A weighted prefix sum in two passes: rows are sorted into ranges and summed up within each range as they are
+    written; then each range gets the sum of all before it, from one row per range. ``order`` should be unique, or
+    equal rows come in any order. Pass narrow rows.
+    """
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, part = 0, TaskContext.get().partitionId()
+        for batch in batches:
+            sums = np.cumsum(batch.column(batch.schema.get_field_index(weight)).to_numpy(zero_copy_only=False)) + total
+            total = int(sums[-1]) if len(sums) else total
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(sums, pa.int64()), pa.array(np.full(len(sums), part, np.int64))], [*batch.schema.names, "_sum", "_range"]
+            )
+
+    schema = StructType([*df.schema.fields]).add("_sum", LongType()).add("_range", LongType())
+    ranged = ws.table(df.orderBy(*order).mapInArrow(within, schema), "range-sums")
+    ranges = ranged.groupBy("_range").agg(F.max("_sum").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return ranged.join(F.broadcast(ranges), "_range").withColumn(out, F.col("_sum") + F.col("_before")).drop("_sum", "_range", "_before")

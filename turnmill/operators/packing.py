@@ -2,51 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from turnmill.functions.text import approx_tokens
-from turnmill.operators.ordering import seeded_key
+from turnmill.operators.ordering import running_sum, seeded_key
+from turnmill.workspace import Workspace
 
 # Fixed value: tokens per packed sequence.
 MAX_TOKENS = 2048
 
-# Shards of a corpus, whatever its size: results do not change with the number of rows.
-SHARDS = 64
-
 
 def pack_sequences(
-    df: DataFrame,
-    key: str = "id",
-    text: str = "text",
-    max_tokens: int = MAX_TOKENS,
-    shards: int = SHARDS,
-    seed: int = 42,
+    df: DataFrame, ws: Workspace, key: str = "id", text: str = "text", max_tokens: int = MAX_TOKENS, seed: int = 42
 ) -> DataFrame:
-    """Fragments ``shard, pack, key, from_token, n_tokens``; no pack exceeds the maximum.
+    """Fragments ``pack, key, from_token, n_tokens``; every pack but the last holds exactly the maximum.
 
-    Rows are laid end to end per shard and cut at pack borders, so a row may span
-    packs. Shards are even by construction (hash of the unique key); ask for more of them
-    for corpora of over some 10^8 rows. The window moves ids and lengths only, never texts.
+    Rows are laid end to end in a seeded order of their unique key and cut at pack borders, so a row may
+    span packs. Their places come from a prefix sum over ranges of that order, in parallel at any size;
+    only ids and lengths move, never texts.
     """
     lengths = df.select(
         key,
-        approx_tokens(F.length(text)).alias("n"),
+        approx_tokens(F.length(text)).cast("long").alias("n"),
         seeded_key(seed, F.col(key)).alias("_order"),
     ).filter(F.col("n") > 0)
-    placed = lengths.withColumn("shard", F.pmod("_order", F.lit(shards)).cast("int"))
-    line = (
-        Window.partitionBy("shard")
-        .orderBy("_order", key)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    spans = placed.withColumn("stop", F.sum("n").over(line)).withColumn(
-        "start", F.col("stop") - F.col("n")
-    )
+    spans = running_sum(lengths, ["_order", key], "n", "stop", ws).withColumn("start", F.col("stop") - F.col("n"))
     first = F.floor(F.col("start") / F.lit(max_tokens))
     last = F.floor((F.col("stop") - 1) / F.lit(max_tokens))
     cut = spans.withColumn("pack", F.explode(F.sequence(first, last)))
     lo = F.greatest(F.col("start"), F.col("pack") * max_tokens)
     hi = F.least(F.col("stop"), (F.col("pack") + 1) * max_tokens)
-    return cut.select(
-        "shard", "pack", key, (lo - F.col("start")).alias("from_token"), (hi - lo).alias("n_tokens")
-    )
+    return cut.select("pack", key, (lo - F.col("start")).alias("from_token"), (hi - lo).alias("n_tokens"))

@@ -97,8 +97,8 @@ def enrich(
     Every step is written once and read by its report and the next step. With
     ``stages`` the tables are kept under their fingerprint, so a repeated run only
     redoes steps whose input or parameters changed; ``sources`` then names the
-    fingerprint of each input table (``conversations``, ``scores``, ``variants``). The
-    split comes after redaction, so evaluation rows are deduplicated and redacted too,
+    fingerprint of each input table (``conversations``, ``scores``, ``variants``), and
+    ``models`` need a version; a repeated run then calls no model. The split comes after redaction, so evaluation rows are deduplicated and redacted too,
     and the text is rendered last, from the final messages. A repeated id fails the run.
     """
     reports = []
@@ -109,6 +109,8 @@ def enrich(
     needed |= {"variants"} if config.augment and variants is not None else set()
     if stages is not None and needed - set(sources or {}):
         raise ValueError(f"stages need a fingerprint of {sorted(needed - set(sources or {}))}")
+    if stages is not None and not models.version and any((models.embed, models.review, models.redact, models.paraphrase)):
+        raise ValueError("stages need the version of the models")
     marks = dict(sources or {})
     mark = marks.get("conversations", "")
 
@@ -172,7 +174,17 @@ def enrich(
 
     quarantined = None
     if config.redact and models.redact:
-        rows, quarantined = redact_with_model(rows, models.redact, ws)
+        readable = rows
+
+        def redacted() -> DataFrame:
+            out, bad = redact_with_model(readable, models.redact, ws)
+            held = readable.join(bad, "id", "left_semi").withColumn("messages", F.lit(None).cast(readable.schema["messages"].dataType))
+            kept = out.withColumn("route", F.lit("kept"))
+            return kept.unionByName(held.withColumn("route", F.lit("quarantined")))
+
+        done = step("redact", {"model": models.version}, redacted)
+        rows = done.filter("route = 'kept'").drop("route")
+        quarantined = done.filter("route = 'quarantined'").select("id")
     elif config.redact:
         rows = rows.withColumn("messages", redact_messages(F.col("messages")))
 
@@ -180,8 +192,7 @@ def enrich(
     rows = step(
         "split",
         {
-            "ratio": config.eval_ratio, "redact": REDACT_RULES if config.redact else None,
-            "model": models.version if config.redact and models.redact else None,
+            "ratio": config.eval_ratio, "redact": REDACT_RULES if config.redact and not models.redact else None,
         },
         lambda: train_eval_split(unsplit, config.eval_ratio),
     )

@@ -26,6 +26,25 @@ def source_fingerprint(df: DataFrame) -> str:
     return hashlib.sha256(str(tuple(row)).encode()).hexdigest()[:16]
 
 
+def content_fingerprint(df: DataFrame) -> str:
+    """Hash of a table's rows as a multiset, and of its columns' names and types.
+
+    Equal rows in other files, another order or another number of partitions give the same; a changed, added or
+    repeated row gives another. One scan that combines to one row; maps and variants are hashed as JSON.
+    """
+    kinds = [(f.name, f.dataType.simpleString()) for f in df.schema]
+    cells = [F.to_json(F.struct(F.col(f"`{n}`"))) if "map<" in k or "variant" in k else F.col(f"`{n}`") for n, k in kinds]
+    # Nulls leave a hash as it was, so each cell also tells whether it is null.
+    cells += [F.isnull(c) for c in cells]
+    hashes = [F.xxhash64(F.lit(seed), *cells) for seed in (1, 2)]
+    row = df.agg(
+        F.count("*").alias("n"),
+        *[F.sum(h.cast("decimal(38,0)")).alias(f"s{i}") for i, h in enumerate(hashes)],
+        *[F.bit_xor(h).alias(f"x{i}") for i, h in enumerate(hashes)],
+    ).first()
+    return hashlib.sha256(json.dumps([kinds, *[str(v) for v in row]]).encode()).hexdigest()[:16]
+
+
 @dataclass
 class StageStore:
     """Runs named stages, each stored as Parquet under its fingerprint."""

@@ -147,6 +147,18 @@ DENSE_EDGES = """
 """
 
 
+PLANTED_PAIRS = """
+  WITH e AS (SELECT 2 * vec_id AS id, embedding AS v FROM embeddings),
+  moved AS (SELECT id + 1 AS id, list_transform(list_zip(v, list_reverse(v)), lambda z: (z[1]::DOUBLE + z[2]::DOUBLE * 0.2::DOUBLE)::FLOAT) AS v
+    FROM e WHERE id % 4 = 0),
+  lengths AS (SELECT id, v, sqrt(list_dot_product(v::DOUBLE[], v::DOUBLE[])) AS n FROM moved),
+  rows AS (SELECT id, v::DOUBLE[] AS v FROM e UNION ALL
+    SELECT id, list_transform(v, lambda x: (x::DOUBLE / n)::FLOAT)::DOUBLE[] FROM lengths)
+  SELECT a.id AS a, b.id AS b, round(list_dot_product(a.v, b.v), 5) AS sim
+  FROM rows a JOIN rows b ON a.id < b.id WHERE list_dot_product(a.v, b.v) >= 0.92
+"""
+
+
 def gram_ctes(source: str) -> str:
     """CTEs ``counts(id, gram, c)`` and ``norms`` of word bigrams of ``source(id, text)``."""
     return f"""
@@ -475,15 +487,8 @@ ORACLE = {
       FROM (SELECT *, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings)""",
     "cosine_pairs": f"SELECT i AS a, j AS b, round(sim, 6) AS sim FROM ({DENSE_EDGES})",
     # Bands may miss pairs; those planted here are so close that the chance is below 1e-9 each.
-    "cosine_pairs_banded": """
-      WITH e AS (SELECT 2 * vec_id AS id, embedding AS v FROM embeddings),
-      moved AS (SELECT id + 1 AS id, list_transform(list_zip(v, list_reverse(v)), lambda z: (z[1]::DOUBLE + z[2]::DOUBLE * 0.2::DOUBLE)::FLOAT) AS v
-        FROM e WHERE id % 4 = 0),
-      lengths AS (SELECT id, v, sqrt(list_dot_product(v::DOUBLE[], v::DOUBLE[])) AS n FROM moved),
-      rows AS (SELECT id, v::DOUBLE[] AS v FROM e UNION ALL
-        SELECT id, list_transform(v, lambda x: (x::DOUBLE / n)::FLOAT)::DOUBLE[] FROM lengths)
-      SELECT a.id AS a, b.id AS b, round(list_dot_product(a.v, b.v), 5) AS sim
-      FROM rows a JOIN rows b ON a.id < b.id WHERE list_dot_product(a.v, b.v) >= 0.92""",
+    "cosine_pairs_banded": PLANTED_PAIRS,
+    "cosine_pairs_balls": PLANTED_PAIRS,
     "leader_clusters": f"""
       WITH RECURSIVE {greedy(DENSE_EDGES)},
       assigned AS (SELECT e.vec_id, coalesce(m.rep, e.vec_id) AS rep_id, m.rep IS NULL AS kept
@@ -545,10 +550,9 @@ ORACLE = {
     "pack_sequences": f"""
       WITH d AS (SELECT doc_id, ceil(length(text) / 4.0)::BIGINT AS n, {sort_key(42, 'doc_id')} AS h
         FROM documents WHERE length(text) BETWEEN 40 AND 32768),
-      s AS (SELECT doc_id, (h % 64)::INT AS shard, n,
-        (sum(n) OVER (PARTITION BY h % 64 ORDER BY h, doc_id ROWS UNBOUNDED PRECEDING))::BIGINT AS stop FROM d),
+      s AS (SELECT doc_id, n, (sum(n) OVER (ORDER BY h, doc_id ROWS UNBOUNDED PRECEDING))::BIGINT AS stop FROM d),
       f AS (SELECT *, stop - n AS start, unnest(range((stop - n) // 2048, (stop - 1) // 2048 + 1)) AS pack FROM s)
-      SELECT shard, pack, doc_id, greatest(start, pack * 2048) - start AS from_token,
+      SELECT pack, doc_id, greatest(start, pack * 2048) - start AS from_token,
         least(stop, (pack + 1) * 2048) - greatest(start, pack * 2048) AS n_tokens FROM f""",
     "pair_outputs": PAIRED,
     "unpaired_rows": f"""

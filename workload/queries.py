@@ -8,7 +8,7 @@ from turnmill.functions import chat, pii
 from turnmill.functions.parsing import clean_variants, parse_scores, parse_verdict
 from turnmill.functions.vectors import l2_normalize, squared_norm, word_grams
 from turnmill.operators import (
-    augment, banded, dedup, judge, normalize, packing, perf, quality, sampling, scoring, semantic, sketches,
+    augment, balls, banded, dedup, judge, normalize, packing, perf, quality, sampling, scoring, semantic, sketches,
 )
 from turnmill.operators.leaders import leader_clusters, with_cluster_ids
 from turnmill.operators.model_apply import apply_model, redact_with_model
@@ -345,16 +345,28 @@ def cosine_pairs(spark, sf):
     )
 
 
-def cosine_pairs_banded(spark, sf):
-    """Embeddings and a near copy planted for every second one, paired through bands of hyperplane signs."""
+def _planted(spark, sf, ws):
+    """Embeddings, and a near copy of every second one."""
     e = _embeddings(spark, sf).select((F.col("ord") * 2).alias("ord"), "vec")
     copy = F.zip_with("vec", F.reverse("vec"), lambda x, y: (x + y * 0.2).cast("float"))
     near = e.filter("ord % 4 = 0").select((F.col("ord") + 1).alias("ord"), l2_normalize(copy).alias("vec"))
+    return ws.table(e.unionByName(near), "planted")
+
+
+def cosine_pairs_banded(spark, sf):
+    """Pairs of embeddings and planted near copies, through bands of hyperplane signs."""
     ws = Workspace(spark)
-    both = ws.table(e.unionByName(near), "planted")
-    return banded.cosine_pairs_banded(both, semantic.DEFAULT_THRESHOLD, ws).select(
-        F.col("rep").alias("a"), F.col("ord").alias("b"), F.round("sim", 5).alias("sim")
-    )
+    pairs = banded.cosine_pairs_banded(_planted(spark, sf, ws), semantic.DEFAULT_THRESHOLD, ws)
+    return pairs.select(F.col("rep").alias("a"), F.col("ord").alias("b"), F.round("sim", 5).alias("sim"))
+
+
+def cosine_pairs_balls(spark, sf):
+    """The same pairs through the index of two levels of balls, exactly."""
+    ws = Workspace(spark)
+    rows = _planted(spark, sf, ws)
+    index = balls.BallIndex.build(rows, semantic.DEFAULT_THRESHOLD, rows.count())
+    pairs = index.earlier_pairs(rows, rows, ws)
+    return pairs.select(F.col("rep").alias("a"), F.col("ord").alias("b"), F.round("sim", 5).alias("sim"))
 
 
 def leader_cluster_ids(spark, sf):
@@ -491,7 +503,7 @@ def head_rows(spark, sf):
 
 def pack_sequences(spark, sf):
     kept = _documents_gated(spark, sf).filter("route = 'kept'")
-    return packing.pack_sequences(kept, "doc_id", "text")
+    return packing.pack_sequences(kept, Workspace(spark), "doc_id", "text")
 
 
 # --- judging ----------------------------------------------------------------------
@@ -815,6 +827,7 @@ QUERIES = {
     "l2_normalize": l2_norm,
     "cosine_pairs": cosine_pairs,
     "cosine_pairs_banded": cosine_pairs_banded,
+    "cosine_pairs_balls": cosine_pairs_balls,
     "leader_clusters": leader_cluster_ids,
     "embedding_dedup": embedding_dedup,
     "exact_dedup": exact_dedup,
