@@ -404,6 +404,8 @@ ORACLE = {
       FROM documents WHERE doc_id % 7 <> 5""",
     "scan_json_array": "SELECT doc_id::VARCHAR AS id, text FROM documents",
     "scan_csv": "SELECT doc_id::VARCHAR AS id, lang, text FROM documents",
+    "scan_json_array_split": "SELECT doc_id::VARCHAR AS id, text FROM documents",
+    "scan_csv_split": "SELECT doc_id::VARCHAR AS id, lang, text FROM documents",
     "scan_text_lines": f"""
       SELECT doc_id, l.k AS line_no, l.t AS text FROM (
         SELECT doc_id, unnest(list_transform(regexp_split_to_array(text, '\\r\\n|[\\r\\n]'),

@@ -15,7 +15,7 @@ from turnmill.operators.model_apply import apply_model, redact_with_model
 from turnmill.operators.similarity import DenseIndex, cosine_pairs as dense_pairs
 from turnmill.plans.enrich import EnrichConfig, EnrichModels, enrich
 from turnmill.plans.stages import StageStore, source_fingerprint
-from turnmill.sources import readers, sinks
+from turnmill.sources import readers, sinks, split
 from turnmill.streaming.refresh import incremental_refresh as start_refresh
 from turnmill.workspace import Workspace
 
@@ -123,6 +123,27 @@ def scan_csv(spark, sf):
     return rows.select("id", "lang", chat.row_text(F.col("messages")).alias("text"))
 
 
+def scan_json_array_split(spark, sf):
+    """Documents written as JSON arrays, each read by several tasks."""
+    path = Workspace(spark).path("docs.json")
+    docs = _t(spark, sf, "documents")
+    block = F.floor(F.col("doc_id") / 5_000)
+    arrays = docs.groupBy(block).agg(F.to_json(F.collect_list(F.struct("doc_id", "text"))).alias("value"))
+    arrays.repartition(arrays.columns[0]).select("value").write.option("maxRecordsPerFile", 1).text(path)
+    rows = normalize.normalize_json(split.read_json_array_split(spark, path, Workspace(spark)))
+    return rows.select("id", chat.row_text(F.col("messages")).alias("text"))
+
+
+def scan_csv_split(spark, sf):
+    """Documents written as quoted CSV with newlines inside cells, each file read by several tasks."""
+    path = Workspace(spark).path("docs.csv")
+    _t(spark, sf, "documents").select("doc_id", "text", "lang").write.csv(
+        path, header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    rows = normalize.normalize_columns(split.read_csv_split(spark, path, Workspace(spark)), keep=["lang"])
+    return rows.select("id", "lang", chat.row_text(F.col("messages")).alias("text"))
+
+
 def scan_text_lines(spark, sf):
     return readers.explode_lines(_t(spark, sf, "documents"), "doc_id", "text")
 
@@ -798,6 +819,8 @@ QUERIES = {
     "scan_jsonl": scan_jsonl,
     "scan_json_array": scan_json_array,
     "scan_csv": scan_csv,
+    "scan_json_array_split": scan_json_array_split,
+    "scan_csv_split": scan_csv_split,
     "scan_text_lines": scan_text_lines,
     "scan_text_file": scan_text_file,
     "load_eval_set": load_eval_set,
