@@ -153,7 +153,7 @@ def sums_over_segmentations(word, vocabulary, chance):
         nonlocal total
         if i == len(body):
             total = total + product
-        for k in range(1, min(langid.LONGEST, len(body) - i) + 1):
+        for k in range(1, min(vocabulary.longest, len(body) - i) + 1):
             p = body[i : i + k]
             piece = ids.get(p, len(vocabulary.pieces) + p[0] if k == 1 else None)
             if piece is not None:
@@ -174,6 +174,26 @@ def test_forward_sums_all_segmentations():
         assert langid.word_scores([w.encode()], vocabulary, chance)[0] == pytest.approx(sums_over_segmentations(w.encode(), vocabulary, chance), rel=1e-4)
 
 
+def test_the_vocabulary_is_used_whole_and_long_words_are_cut_for_free():
+    import sentencepiece
+
+    vocabulary = langid.Vocabulary(PIECES)
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    usual = [i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
+    assert len(vocabulary.pieces) == len({model.id_to_piece(i).lower().replace("▁", chr(langid.MARK)) for i in usual}) and vocabulary.longest > 30
+    chance = np.random.default_rng(1).dirichlet(np.ones(vocabulary.size), 3).T
+    rng = random.Random(2)
+    for word in ("日本語の文章は空白なしで書かれる" * 2, "Straßenbahnhaltestellenverzeichnis" * 2, "=" * 90, "".join(rng.choice("aeint,.") for _ in range(90))):
+        body = bytes([langid.MARK]) + word.encode()
+        letters = langid.as_rows([body])
+        whole = np.log(langid.forward(vocabulary.matches(letters), chance)[0, len(body)])
+        parts = vocabulary.parts(body)
+        assert b"".join(parts) == body and vocabulary.parts(body, block=16) == parts
+        assert langid.word_scores([word.encode()], vocabulary, chance)[0] == pytest.approx(whole, rel=1e-4)
+        assert langid.long_score(body, vocabulary, chance, block=32) == pytest.approx(whole, rel=1e-6)
+    assert len(vocabulary.parts("日本語の文章".encode())) > 2
+
+
 LANGS = {
     "en": "the house and a river with stones under this bridge where children were walking".split(),
     "de": "das haus und ein fluss mit steinen unter dieser brücke auf der kinder gingen".split(),

@@ -6,8 +6,10 @@ probabilities are fitted by expectation maximisation on word counts of a bounded
 language. A text's evidence is the sum over all its words; words met before are looked up.
 
 Words are lower-cased and begin with a mark, as pieces at word starts do. Bytes that no piece covers
-have a small probability of their own, so every word has segmentations. Words of over ``MOST`` bytes
-are cut there. One map over the texts, without a shuffle.
+have a small probability of their own, so every word has segmentations. The vocabulary is used whole,
+whatever the length of its pieces. Words of over ``MOST`` bytes are cut only where no piece lies across the
+cut, which changes no sum; what such cuts leave longer is summed place by place with its sums carried on.
+One map over the texts, without a shuffle.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from turnmill.llm.labelled import within_bytes
 from turnmill.llm.text import LOWER, mix, pieces, rolled, sums, words
 
-MARK, MOST, LONGEST = 1, 48, 8
+MARK, MOST = 1, 48
 _BASE = np.uint64(0xD1342543DE82EF95)
 #: Bytes of ASCII letters, and those beyond ASCII.
 LETTER, BEYOND = np.zeros(256, bool), np.arange(256) >= 128
@@ -43,10 +45,10 @@ class Vocabulary:
         found = set()
         for i in range(model.get_piece_size()):
             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i)):
-                piece = model.id_to_piece(i).lower().replace("▁", chr(MARK)).encode()
-                if len(piece) <= LONGEST:
-                    found.add(piece)
+                found.add(model.id_to_piece(i).lower().replace("▁", chr(MARK)).encode())
         self.pieces = sorted(found)
+        self.lengths = {len(p) for p in found}
+        self.longest = max(self.lengths, default=1)
         hashes = np.array([self._hash(p) for p in self.pieces], np.uint64)
         self.ids = np.argsort(hashes)
         self.hashes = hashes[self.ids]
@@ -61,79 +63,157 @@ class Vocabulary:
             h = (h * int(_BASE) + b + 1) & (1 << 64) - 1
         return int(mix(np.array([h], np.uint64))[0])
 
+    def _known(self, rolling: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of some rolled hashes are pieces, and their ids."""
+        hashed = mix(rolling)
+        at = np.flatnonzero(self.some[hashed >> np.uint64(44)])
+        place = np.minimum(np.searchsorted(self.hashes, hashed[at]), len(self.hashes) - 1)
+        true = self.hashes[place] == hashed[at]
+        return at[true], self.ids[place[true]]
+
     def matches(self, letters: np.ndarray) -> np.ndarray:
-        """For words as rows of bytes, 0 beyond their ends: the piece of each length at each place.
+        """For strings as rows of bytes, 0 beyond their ends: the piece of each length at each place.
 
         The result's [w, i, k] is the id of the piece in letters[w, i:i + k + 1], or -1.
         """
         n, width = letters.shape
-        out = np.full((n, width, LONGEST), -1, np.int32)
+        out = np.full((n, width, min(self.longest, width)), -1, np.int32)
         rolling = np.zeros((n, width), np.uint64)
         value = letters.astype(np.uint64) + np.uint64(1)
-        for k in range(min(LONGEST, width)):
+        for k in range(out.shape[2]):
             upto = width - k
             rolling[:, :upto] = rolling[:, :upto] * _BASE + value[:, k:]
-            at = np.flatnonzero((letters[:, k:] > 0).ravel())
-            hashed = mix(rolling[:, :upto].ravel()[at])
-            likely = self.some[hashed >> np.uint64(44)]
-            at, hashed = at[likely], hashed[likely]
-            place = np.minimum(np.searchsorted(self.hashes, hashed), len(self.hashes) - 1)
-            true = self.hashes[place] == hashed
-            at = at[true]
-            out[at // upto, at % upto, k] = self.ids[place[true]]
+            if k + 1 in self.lengths:
+                at = np.flatnonzero((letters[:, k:] > 0).ravel())
+                true, ids = self._known(rolling[:, :upto].ravel()[at])
+                at = at[true]
+                out[at // upto, at % upto, k] = ids
         alone = (out[:, :, 0] < 0) & (letters > 0)
         out[:, :, 0][alone] = len(self.pieces) + letters[alone].astype(np.int32)
         return out
 
+    def parts(self, body: bytes, block: int = 1 << 20) -> list[bytes]:
+        """A string cut at every place that no piece lies across."""
+        letters = np.frombuffer(body, np.uint8)
+        cuts = [np.zeros(1, np.int64)]
+        for a in range(0, len(letters), block):
+            low = max(0, a - self.longest)
+            value = letters[low : a + block + self.longest].astype(np.uint64) + np.uint64(1)
+            across = np.zeros(len(value) + 1, np.int64)
+            rolling = np.zeros(len(value), np.uint64)
+            for k in range(min(self.longest, len(value))):
+                upto = len(value) - k
+                rolling[:upto] = rolling[:upto] * _BASE + value[k:]
+                if k and k + 1 in self.lengths:
+                    at, _ = self._known(rolling[:upto])
+                    across[at + 1] += 1
+                    across[at + k + 1] -= 1
+            free = np.flatnonzero(np.cumsum(across) == 0) + low
+            cuts.append(free[(free > max(a, 0)) & (free <= min(a + block, len(letters) - 1))])
+        at = np.unique(np.concatenate(cuts)).tolist()
+        return [body[x:y] for x, y in zip(at, [*at[1:], len(body)], strict=True)]
+
 
 def as_rows(found: list[bytes]) -> np.ndarray:
-    """Words as rows of bytes behind their mark."""
-    rows = np.zeros((len(found), max(map(len, found), default=0) + 1), np.uint8)
-    rows[:, 0] = MARK
+    """Strings as rows of bytes."""
+    rows = np.zeros((len(found), max(map(len, found), default=0)), np.uint8)
     for i, w in enumerate(found):
-        rows[i, 1 : len(w) + 1] = np.frombuffer(w, np.uint8)
+        rows[i, : len(w)] = np.frombuffer(w, np.uint8)
     return rows
 
 
 def forward(matches: np.ndarray, chance: np.ndarray) -> np.ndarray:
-    """Sums over the segmentations of each word's beginnings: [word, length, language]."""
+    """Sums over the segmentations of each string's beginnings: [string, length, language]."""
     n, width, _ = matches.shape
     alpha = np.zeros((n, width + 1, chance.shape[1]))
     alpha[:, 0] = 1
+    some = (matches >= 0).any(0)
     for i in range(width):
-        for k in range(min(LONGEST, width - i)):
+        for k in np.flatnonzero(some[i]).tolist():
             ids = matches[:, i, k]
             at = np.flatnonzero(ids >= 0)
-            if len(at):
-                alpha[at, i + k + 1] += alpha[at, i] * chance[ids[at]]
+            alpha[at, i + k + 1] += alpha[at, i] * chance[ids[at]]
     return alpha
 
 
-def word_scores(found: list[bytes], vocabulary: Vocabulary, chance: np.ndarray, block: int = 4096) -> np.ndarray:
-    """Logarithm of each word's probability in each language."""
-    out = np.empty((len(found), chance.shape[1]), np.float32)
+def long_score(body: bytes, vocabulary: Vocabulary, chance: np.ndarray, block: int = 2048) -> np.ndarray:
+    """Logarithm of a long string's sum in each language, place by place; sums are scaled as they shrink."""
+    letters = np.frombuffer(body, np.uint8)
+    longest, scale = vocabulary.longest, np.zeros(chance.shape[1])
+    alpha = np.zeros((block + longest + 1, chance.shape[1]))
+    alpha[0] = 1
+    for a in range(0, len(letters), block):
+        part = letters[a : a + block + longest]
+        here = min(block, len(letters) - a)
+        found = vocabulary.matches(part[None])[0]
+        for i in range(here):
+            if i % 16 == 0:
+                top = np.maximum(alpha[i : i + longest + 1].max(0), 1e-300)
+                alpha[i : i + longest + 1] /= top
+                scale += np.log(top)
+            ks = np.flatnonzero(found[i] >= 0)
+            alpha[i + 1 + ks] += alpha[i] * chance[found[i, ks]]
+        rest = alpha[here : here + longest + 1].copy()
+        alpha[:] = 0
+        alpha[: len(rest)] = rest
+    return np.log(np.maximum(alpha[0], 1e-300)) + scale
+
+
+def blocks(found: list[bytes], cells: int = 1 << 22) -> Iterator[list[int]]:
+    """Places of strings of about one length, so many that their match tables stay small."""
     order = sorted(range(len(found)), key=lambda i: len(found[i]))
-    for a in range(0, len(found), block):
-        some = order[a : a + block]
-        letters = as_rows([found[i] for i in some])
+    a = 0
+    while a < len(order):
+        n = 1
+        while a + n < len(order) and n < 4096 and (n + 1) * len(found[order[a + n]]) ** 2 <= cells:
+            n += 1
+        yield order[a : a + n]
+        a += n
+
+
+def word_scores(found: list[bytes], vocabulary: Vocabulary, chance: np.ndarray) -> np.ndarray:
+    """Logarithm of each word's probability in each language."""
+    out = np.zeros((len(found), chance.shape[1]))
+    bodies, owner = [], []
+    for i, word in enumerate(found):
+        body = bytes([MARK]) + word
+        for part in [body] if len(word) <= MOST else vocabulary.parts(body):
+            if len(part) <= MOST + 1:
+                bodies.append(part)
+                owner.append(i)
+            else:
+                out[i] += long_score(part, vocabulary, chance)
+    owner = np.array(owner, np.int64)
+    for some in blocks(bodies):
+        letters = as_rows([bodies[i] for i in some])
         alpha = forward(vocabulary.matches(letters), chance)
         length = (letters > 0).sum(1)
-        out[some] = np.log(np.maximum(alpha[np.arange(len(some)), length], 1e-300))
-    return out
+        np.add.at(out, owner[some], np.log(np.maximum(alpha[np.arange(len(some)), length], 1e-300)))
+    return out.astype(np.float32)
 
 
 def learn(counts: list[Counter], vocabulary: Vocabulary, rounds: int = 4, smooth: float = 0.05) -> np.ndarray:
-    """Piece probabilities of each language from its words' counts: [piece, language]."""
-    found = sorted(set().union(*counts))
-    often = np.array([[c[w] for c in counts] for w in found], np.float64).reshape(len(found), len(counts))
+    """Piece probabilities of each language from its words' counts: [piece, language].
+
+    Words are cut like those to be scored; for the fit alone, parts of over ``MOST`` bytes are cut there.
+    """
+    split: list[Counter] = []
+    for c in counts:
+        bodies: Counter = Counter()
+        for w, n in c.items():
+            body = bytes([MARK]) + w
+            for part in [body] if len(w) <= MOST else vocabulary.parts(body):
+                for i in range(0, len(part), MOST + 1):
+                    bodies[part[i : i + MOST + 1]] += n
+        split.append(bodies)
+    found = sorted(set().union(*split))
+    often = np.array([[c[w] for c in split] for w in found], np.float64).reshape(len(found), len(split))
     base = np.full(vocabulary.size, 1.0 / vocabulary.size)
     base[len(vocabulary.pieces) :] = 1e-6
-    chance = np.repeat(base[:, None], len(counts), 1)
-    order = sorted(range(len(found)), key=lambda i: len(found[i]))
+    chance = np.repeat(base[:, None], len(split), 1)
     for _ in range(rounds):
         expected = np.zeros_like(chance)
-        for a in range(0, len(found), 4096):
-            some = order[a : a + 4096]
+        for some in blocks(found):
             letters = as_rows([found[i] for i in some])
             matches = vocabulary.matches(letters)
             alpha = forward(matches, chance)
@@ -143,14 +223,14 @@ def learn(counts: list[Counter], vocabulary: Vocabulary, rounds: int = 4, smooth
             beta = np.zeros_like(alpha)
             beta[np.arange(n), length] = 1
             weight = often[some] / whole
+            any_ = (matches >= 0).any(0)
             for i in range(width - 1, -1, -1):
-                for k in range(min(LONGEST, width - i)):
+                for k in np.flatnonzero(any_[i]).tolist():
                     ids = matches[:, i, k]
                     at = np.flatnonzero(ids >= 0)
-                    if len(at):
-                        after = beta[at, i + k + 1] * chance[ids[at]]
-                        beta[at, i] += after
-                        np.add.at(expected, ids[at], alpha[at, i] * after * weight[at])
+                    after = beta[at, i + k + 1] * chance[ids[at]]
+                    beta[at, i] += after
+                    np.add.at(expected, ids[at], alpha[at, i] * after * weight[at])
         pooled = (expected.sum(1) + 1) / (expected.sum() + len(expected))
         smoothed = expected + smooth * expected.sum(0) * pooled[:, None] + 1e-3
         chance = smoothed / smoothed.sum(0)
@@ -168,13 +248,7 @@ class Scorer:
     def evidence(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Log probability of each text in each language, and whether it has a letter."""
         w = words(column)
-        starts, ends = w.starts, w.ends
-        if len(starts) and int((ends - starts).max()) > MOST:
-            parts = -(-(ends - starts) // MOST)
-            nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-            starts = np.repeat(starts, parts) + nth * MOST
-            ends = np.minimum(starts + MOST, np.repeat(ends, parts))
-        first = np.searchsorted(starts, w.offsets)
+        starts, ends, first = w.starts, w.ends, w.first
         lower = LOWER[w.buf]
         key = rolled(lower, starts, ends, 0xD1342543DE82EF95, _BYTES) | np.uint64(1)
         slot = (key >> np.uint64(44)).astype(np.int64)
@@ -204,7 +278,7 @@ def sample_words(rows: list[tuple[str, str]]) -> tuple[list[str], list[Counter]]
     counts = {name: Counter() for name in names}
     for lang, text in rows:
         for w in text.encode().lower().split():
-            counts[lang].update(w[i : i + MOST] for i in range(0, len(w), MOST))
+            counts[lang][w] += 1
     return names, [counts[name] for name in names]
 
 
