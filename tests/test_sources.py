@@ -104,6 +104,38 @@ def test_stage_store_follows_input_and_parameters(spark, ws, tmp_path):
     assert changed != first and run(changed, 5)[:2] == (8, ["s"])
 
 
+def test_the_report_needs_no_scan_beyond_the_writes(spark, ws, tmp_path):
+    rows = [(str(i), i, [("user", f"{t} padded to a sensible length for the gate, {i}")]) for i, t in enumerate(texts(30))]
+    df = spark.createDataFrame(rows, "id string, ord long, messages array<struct<role:string,content:string>>")
+    answers = spark.createDataFrame([(str(i), f'{{"overall": {i % 7}}}') for i in range(30)], "id string, response string")
+    said = spark.createDataFrame([(str(i), "one\ntwo") for i in range(30)], "id string, response string")
+    config, marks = EnrichConfig(augment=True), {"conversations": "c", "scores": "s", "variants": "v"}
+    context, found = spark.sparkContext, []
+    for stages in (None, StageStore(spark, str(tmp_path / "s")), StageStore(spark, str(tmp_path / "s"))):
+        out = enrich(df, answers, ws, config, said, stages=stages, sources=marks if stages else None)
+        context.setJobGroup(f"report{len(found)}", "the report alone")
+        found.append({(r["stage"], r["metric"]): r["value"] for r in out.report.collect()})
+        assert len(context.statusTracker().getJobIdsForGroup(f"report{len(found) - 1}")) <= 1
+        context.setJobGroup("other", "")
+        n = out.rows.count()
+        assert found[-1]["final", "rows"] == n
+    assert found[0] == found[1] == found[2]
+    got = found[0]
+    assert got["gate", "total"] == 30 == got["dedup", "total"] and got["quality", "total"] == got["dedup", "kept"]
+    assert got["quality", "kept"] + got["quality", "rejected"] == got["quality", "total"] == sum(got["quality", f"score_{i}"] for i in range(1, 6))
+    none = enrich(df.limit(0), answers, ws, config, said).report.collect()
+    assert {(r["stage"], r["metric"]): r["value"] for r in none}["final", "rows"] == 0
+
+
+def test_specs_are_found_once_under_their_resolved_path(spark):
+    listing = [("conf/global-a.yml",), ("conf/x/../global-a.yml",), ("conf//./client-me-1.yml",), ("conf/EXAMPLE.yml",), ("conf/global-b.txt",)]
+    given = ["z.yml", "conf/y/../client-me-1.yml", "../up.yml", "/a/../../b.yml"]
+    got = readers.discover_specs(spark.createDataFrame(listing, "path string"), "me", given).collect()
+    assert {(r["path"], r["priority"], r["position"]) for r in got} == {
+        ("z.yml", 0, 0), ("conf/client-me-1.yml", 0, 1), ("../up.yml", 0, 2), ("/b.yml", 0, 3), ("conf/global-a.yml", 1, None)
+    }
+
+
 def test_content_fingerprints_see_rows_not_files(spark, tmp_path):
     rows = [(i, None if i % 5 == 0 else f"t{i % 7}", [i, None], {"a": i}) for i in range(50)]
     schema = "id long, text string, parts array<int>, more map<string,int>"

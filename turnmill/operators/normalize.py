@@ -204,11 +204,28 @@ def gate_turns(
 
     Sums are combined before the shuffle, so a conversation of any length costs a few rows.
     """
-    totals = turns.groupBy(conv).agg(
-        F.count("*").alias("n_turns"),
-        F.coalesce(F.sum(F.length(text).cast("long")), F.lit(0)).alias("n_chars"),
+    length = F.length(text).cast("long")
+    totals = turns.filter(F.col(conv).isNotNull()).groupBy(conv).agg(
+        F.count("*").alias("n_turns"), F.coalesce(F.sum(length), F.lit(0)).alias("n_chars")
     )
-    return totals.withColumn("route", _route(F.col("n_chars"), min_chars, max_chars))
+    # A turn without a conversation id is one of its own.
+    alone = turns.filter(F.col(conv).isNull()).select(
+        conv, F.lit(1).cast("long").alias("n_turns"), F.coalesce(length, F.lit(0)).alias("n_chars")
+    )
+    return totals.unionByName(alone).withColumn("route", _route(F.col("n_chars"), min_chars, max_chars))
+
+
+def funnel_columns() -> list[Column]:
+    """The aggregates of a funnel, for one row of counts or for metrics observed on a write."""
+    total, dropped = F.count("*"), F.count_if(F.col("route") == "schema")
+    return [
+        total.alias("total"),
+        F.count_if(F.col("route") == "kept").alias("kept"),
+        dropped.alias("dropped_schema"),
+        F.count_if(F.col("route") == "short").alias("dropped_short"),
+        F.count_if(F.col("route") == "long").alias("dropped_long"),
+        (dropped / F.greatest(total, F.lit(1)) > 0.2).alias("high_schema_drop"),
+    ]
 
 
 def funnel_counts(routed: DataFrame, strict: bool = False) -> DataFrame:
@@ -216,19 +233,7 @@ def funnel_counts(routed: DataFrame, strict: bool = False) -> DataFrame:
 
     ``strict`` makes the query fail when nothing was kept.
     """
-    total = F.count("*")
-    dropped = F.count_if(F.col("route") == "schema")
-    kept = F.count_if(F.col("route") == "kept")
-    out = routed.agg(
-        total.alias("total"),
-        kept.alias("kept"),
-        dropped.alias("dropped_schema"),
-        F.count_if(F.col("route") == "short").alias("dropped_short"),
-        F.count_if(F.col("route") == "long").alias("dropped_long"),
-    ).withColumn(
-        "high_schema_drop",
-        F.col("dropped_schema") / F.greatest(F.col("total"), F.lit(1)) > 0.2,
-    )
+    out = routed.agg(*funnel_columns())
     if strict:
         out = out.withColumn(
             "kept",
@@ -248,7 +253,7 @@ def fold_turns(
 ) -> DataFrame:
     """A turn table to one conversation per row, turns in order, whatever their number.
 
-    Where only conversations that pass the length gate are wanted, use ``fold_gated``:
+    A turn without a conversation id belongs to no other turn: it is a conversation of its own, without id. Where only conversations that pass the length gate are wanted, use ``fold_gated``:
     it never collects the others.
     """
     one = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content"))
@@ -256,10 +261,12 @@ def fold_turns(
         "_turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))
     )
     totals = [F.count("*").alias("n_turns"), F.sum(F.length(text).cast("long")).alias("n_chars")]
-    return (
-        turns.groupBy(conv)
-        .agg(*totals, F.array_sort(F.collect_list(one)).alias("_turns"))
-        .select(F.col(conv).cast("string").alias("id"), conv, messages.alias("messages"), "n_turns", "n_chars")
+    known = turns.filter(F.col(conv).isNotNull()).groupBy(conv).agg(*totals, F.array_sort(F.collect_list(one)).alias("_turns"))
+    alone = turns.filter(F.col(conv).isNull()).select(
+        conv, F.lit(1).cast("long").alias("n_turns"), F.length(text).cast("long").alias("n_chars"), F.array(one).alias("_turns")
+    )
+    return known.unionByName(alone).select(
+        F.col(conv).cast("string").alias("id"), conv, messages.alias("messages"), "n_turns", "n_chars"
     )
 
 
@@ -274,12 +281,15 @@ def fold_gated(
 ) -> DataFrame:
     """Every conversation with its ``route``; only kept ones are folded and have messages.
 
-    Turns without a conversation id form one conversation too, as in ``fold_turns``.
+    Each turn without a conversation id is one too, as in ``fold_turns``.
     """
     gate = gate_turns(turns, conv, text, min_chars, max_chars)
-    kept = gate.filter("route = 'kept'").select(F.col(conv).alias("_kept"))
-    short_enough = turns.join(kept, F.col(conv).eqNullSafe(F.col("_kept")), "left_semi")
-    folded = fold_turns(short_enough, conv, turn, role, text).withColumn("route", F.lit("kept"))
+    named = gate.filter(F.col(conv).isNotNull())
+    kept = named.filter("route = 'kept'").select(F.col(conv).alias("_kept"))
+    short_enough = turns.join(kept, F.col(conv) == F.col("_kept"), "left_semi")
+    alone = turns.filter(F.col(conv).isNull())
+    fits = F.coalesce(F.length(text), F.lit(0)).between(min_chars, max_chars)
+    folded = fold_turns(short_enough.unionByName(alone.filter(fits)), conv, turn, role, text).withColumn("route", F.lit("kept"))
     rest = gate.filter("route <> 'kept'").select(
         F.col(conv).cast("string").alias("id"), conv, F.lit(None).cast(MESSAGES).alias("messages"),
         "n_turns", "n_chars", "route",

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from turnmill.functions.chat import CHATML, ChatTemplate, first_content, render_chat, review_text, row_text
 from turnmill.functions.pii import REDACT_RULES, redact_messages
 from turnmill.functions.vectors import embed_with_model
-from turnmill.operators.augment import augment_rows, augment_stats
+from turnmill.operators.augment import augment_rows
 from turnmill.operators.judge import assert_unique
 from turnmill.operators.model_apply import apply_model, redact_with_model
-from turnmill.operators.normalize import funnel_counts, length_gate
-from turnmill.operators.quality import attach_scores, quality_filter, rubric_prompt, score_histogram
+from turnmill.operators.normalize import funnel_columns, length_gate
+from turnmill.operators.quality import attach_scores, quality_filter, rubric_prompt
 from turnmill.operators.sampling import EVAL_RATIO, train_eval_split
-from turnmill.operators.semantic import DEFAULT_THRESHOLD, dedup_stats, embedding_dedup, semantic_dedup
+from turnmill.operators.semantic import DEFAULT_THRESHOLD, dedup_columns, embedding_dedup, semantic_dedup
 from turnmill.plans.stages import StageStore
 from turnmill.schema import MAX_CHARS, MIN_CHARS
 from turnmill.workspace import Workspace
@@ -94,7 +94,7 @@ def enrich(
 ) -> EnrichResult:
     """Run the configured steps over ``id, ord, messages`` (``ord`` long; both unique).
 
-    Every step is written once and read by its report and the next step. With
+    Every step is written once, its report is observed on that write, and the next step reads it. With
     ``stages`` the tables are kept under their fingerprint, so a repeated run only
     redoes steps whose input or parameters changed; ``sources`` then names the
     fingerprint of each input table (``conversations``, ``scores``, ``variants``), and
@@ -114,16 +114,21 @@ def enrich(
     marks = dict(sources or {})
     mark = marks.get("conversations", "")
 
-    def step(name: str, params: dict, build) -> DataFrame:
+    def step(name: str, params: dict, build, metrics: Sequence[Column] = ()) -> DataFrame:
+        """A stage's table; its metrics are observed as it is written, and go to the report."""
         nonlocal mark
-        if stages is None:
-            return ws.table(build(), name)
-        table, mark = stages.run(name, mark, params, build)
+        if stages is not None:
+            table, mark = stages.run(name, mark, params, build, metrics)
+            values = stages.metrics.get(name, {})
+        elif metrics:
+            table, values = ws.observed(build(), name, metrics)
+        else:
+            table, values = ws.table(build(), name), {}
+        reports.extend((name, k, float(v)) for k, v in values.items())
         return table
 
     gate = {"min_chars": MIN_CHARS, "max_chars": MAX_CHARS}
-    gated = step("gate", gate, lambda: length_gate(assert_unique(conversations, "id")))
-    reports.append(long_report("gate", funnel_counts(gated)))
+    gated = step("gate", gate, lambda: length_gate(assert_unique(conversations, "id")), funnel_columns())
     rows = gated.filter("route = 'kept'").select("id", "ord", "messages")
     duplicates = rejects = None
 
@@ -133,8 +138,8 @@ def enrich(
             "dedup",
             {"threshold": config.dedup_threshold, "embed": models.version if models.embed else None},
             lambda: _deduplicated(before, ws, config.dedup_threshold, models),
+            dedup_columns(config.dedup_threshold),
         )
-        reports.append(long_report("dedup", dedup_stats(clusters, config.dedup_threshold)))
         duplicates = before.join(clusters.filter("state <> 'kept'"), "ord")
         rows = rows.join(clusters.filter("state = 'kept'").select("ord"), "ord", "left_semi")
 
@@ -150,24 +155,7 @@ def enrich(
                 attach_scores(unscored, _reviewed(unscored, ws, models) if models.review else scores),
                 config.quality_min_overall,
             ),
-        )
-        reports.append(
-            long_report(
-                "quality",
-                scored.agg(
-                    F.count("*").alias("total"),
-                    F.count_if(F.col("route") == "kept").alias("kept"),
-                    F.count_if(F.col("route") == "rejected").alias("rejected"),
-                ),
-            )
-        )
-        bins = score_histogram(scored)
-        reports.append(
-            bins.select(
-                F.lit("quality").alias("stage"),
-                F.concat(F.lit("score_"), F.col("score")).alias("metric"),
-                F.col("rows").cast("double").alias("value"),
-            )
+            _quality_columns(),
         )
         rejects = scored.filter("route = 'rejected'").drop("route")
         rows = scored.filter("route = 'kept'").drop("route")
@@ -195,6 +183,7 @@ def enrich(
             "ratio": config.eval_ratio, "redact": REDACT_RULES if config.redact and not models.redact else None,
         },
         lambda: train_eval_split(unsplit, config.eval_ratio),
+        [F.count("*").alias("rows")],
     )
     if config.augment and (variants is not None or models.paraphrase):
         unaugmented = rows
@@ -212,25 +201,32 @@ def enrich(
                 "model": models.version if models.paraphrase else None,
             },
             augmented,
-        )
-        more = rows.filter("split = 'train'")
-        reports.append(
-            long_report("augment", augment_stats(more, config.augment_variants_per_row).drop("variants_per_row"))
+            [
+                F.count_if((F.col("split") == "train") & F.col("_aug_source").isNull()).alias("input_rows"),
+                F.count_if(F.col("split") == "train").alias("output_rows"),
+                F.count("*").alias("rows"),
+            ],
         )
     rows = rows.withColumn("text", render_chat(F.col("messages"), template))
-    reports.append(long_report("final", rows.agg(F.count("*").alias("rows"))))
-    settings = [
-        (f"{name}", float(value)) for name, value in asdict(config).items()
-    ]
-    spark = rows.sparkSession
-    report = spark.createDataFrame(settings, "metric string, value double").select(
-        F.lit("config").alias("stage"), "metric", "value"
-    )
-    for part in reports:
-        report = report.unionByName(part)
+    # The last stage's rows are the final ones; counts of rows by stage are not part of the report.
+    final = [value for _, metric, value in reports if metric == "rows"][-1]
+    reports = [r for r in reports if r[1] != "rows"] + [("final", "rows", final)]
+    reports += [("config", name, float(value)) for name, value in asdict(config).items()]
+    report = rows.sparkSession.createDataFrame(reports, "stage string, metric string, value double")
     return EnrichResult(rows, report, duplicates, rejects, quarantined)
 
 
+def _quality_columns() -> list[Column]:
+    """Counts of the quality filter, and of rows per overall score, held within 1 to 5."""
+    overall = F.greatest(F.lit(1), F.least(F.lit(5), F.col("_quality.overall")))
+    return [
+        F.count("*").alias("total"),
+        F.count_if(F.col("route") == "kept").alias("kept"),
+        F.count_if(F.col("route") == "rejected").alias("rejected"),
+        *[F.count_if(overall == i).alias(f"score_{i}") for i in range(1, 6)],
+    ]
+
+
 def _deduplicated(rows: DataFrame, ws: Workspace, threshold: float, models: EnrichModels) -> DataFrame:
     texts = rows.select("ord", row_text(F.col("messages")).alias("text"))
     if models.embed is None:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from turnmill.workspace import checkpoint_root
+from turnmill.workspace import checkpoint_root, write_observed
 
 
 def source_fingerprint(df: DataFrame) -> str:
@@ -54,6 +54,7 @@ class StageStore:
     force: bool = False
     ran: list[str] = field(default_factory=list)
     reused: list[str] = field(default_factory=list)
+    metrics: dict[str, dict] = field(default_factory=dict)
 
     def __post_init__(self):
         self.root = (self.root or f"{checkpoint_root(self.spark)}/turnmill-stages").rstrip("/")
@@ -65,19 +66,31 @@ class StageStore:
         return fs.exists(done)
 
     def run(
-        self, name: str, upstream: str, params: dict, build: Callable[[], DataFrame]
+        self, name: str, upstream: str, params: dict, build: Callable[[], DataFrame], metrics: Sequence[Column] = ()
     ) -> tuple[DataFrame, str]:
         """The stage's table and its fingerprint; ``build`` runs only when needed.
 
         ``upstream`` is the fingerprint of what the stage reads, so a changed input
-        reaches every later stage.
+        reaches every later stage. ``metrics`` are aggregates observed as the table is written and kept
+        beside it; ``self.metrics[name]`` has their values.
         """
         body = json.dumps([name, upstream, params], sort_keys=True, default=str)
         mark = hashlib.sha256(body.encode()).hexdigest()[:16]
         path = f"{self.root}/{name}-{mark}"
+        values: dict = {}
         if self.force or not self._exists(path):
-            build().write.mode("overwrite").parquet(path)
+            if metrics:
+                values = write_observed(build(), path, metrics)
+                kept = self.spark.createDataFrame([(json.dumps(values),)], "value string").coalesce(1)
+                kept.write.mode("overwrite").text(f"{path}-metrics")
+            else:
+                build().write.mode("overwrite").parquet(path)
             self.ran.append(name)
         else:
             self.reused.append(name)
-        return self.spark.read.parquet(path), mark
+            if metrics and self._exists(f"{path}-metrics"):
+                values = json.loads(self.spark.read.text(f"{path}-metrics").first()["value"])
+        table = self.spark.read.parquet(path)
+        if metrics:
+            self.metrics[name] = values or table.agg(*metrics).first().asDict()
+        return table, mark

@@ -182,10 +182,11 @@ def load_eval_set(spark: SparkSession, dataset: str | list[dict]) -> DataFrame:
 def discover_specs(
     listing: DataFrame, slug: str, explicit: Sequence[str] = (), path: str = "path"
 ) -> DataFrame:
-    """Which spec files apply to a client: explicit, then ``global-*``, then its own.
+    """Which spec files apply to a client, ``path, priority, position``: explicit, then ``global-*``, then its own.
 
-    ``listing`` has one row per file. A file is returned once, under the first rule
-    that selects it; names starting with EXAMPLE are skipped.
+    ``listing`` has one row per file. A file is returned once, under the first rule that selects it; paths are
+    compared without ``.``, ``..`` and doubled slashes. Names starting with EXAMPLE are skipped unless they are
+    explicit. ``position`` is the place in ``explicit``, null for other files.
     """
     name = F.regexp_extract(path, r"([^/]+)$", 1)
     usable = ~F.startswith(F.upper(name), F.lit("EXAMPLE")) & name.endswith(".yml")
@@ -194,16 +195,30 @@ def discover_specs(
         F.when(usable & F.startswith(name, F.lit("global-")), F.lit(1))
         .when(usable & F.startswith(name, own), F.lit(2))
     )
-    found = listing.select(F.col(path).alias("path"), rule.alias("priority"))
+    found = listing.select(F.col(path).alias("path"), rule.alias("priority"), F.lit(None).cast("int").alias("position"))
     if explicit:
         spark = listing.sparkSession
-        given = spark.createDataFrame([(p,) for p in explicit], "path string")
-        found = found.unionByName(given.withColumn("priority", F.lit(0)))
-    clean = F.regexp_replace("path", r"/(?:\./)+", "/")
+        given = spark.createDataFrame([(p, 0, i) for i, p in enumerate(explicit)], "path string, priority int, position int")
+        found = found.unionByName(given)
     return (
         found.filter(F.col("priority").isNotNull())
-        .groupBy(clean.alias("path"))
-        .agg(F.min("priority").alias("priority"))
+        .groupBy(resolved(F.col("path")).alias("path"))
+        .agg(F.min("priority").alias("priority"), F.min("position").alias("position"))
     )
 
 
+def resolved(path: Column) -> Column:
+    """A path without ``.``, ``..`` and doubled slashes; ``..`` above the start stays, and is dropped at a root."""
+    rooted = F.startswith(path, F.lit("/"))
+
+    def step(kept: Column, part: Column) -> Column:
+        last = F.when(F.size(kept) > 0, F.element_at(kept, -1))
+        up = F.when(F.coalesce(last != "..", F.lit(False)), F.slice(kept, F.lit(1), F.size(kept) - 1)).when(rooted, kept)
+        return (
+            F.when(part.isin("", "."), kept)
+            .when(part == "..", F.coalesce(up, F.concat(kept, F.array(part))))
+            .otherwise(F.concat(kept, F.array(part)))
+        )
+
+    parts = F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step)
+    return F.concat(F.when(rooted, F.lit("/")).otherwise(F.lit("")), F.array_join(parts, "/"))

@@ -9,8 +9,9 @@ from __future__ import annotations
 import atexit
 import uuid
 import weakref
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -22,6 +23,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/turnmill-scratch").rstrip("/")
 
 
+def write_observed(df: DataFrame, path: str, metrics: Sequence[Column]) -> dict:
+    """Write ``df`` and return the aggregates ``metrics`` of what was written, without another scan.
+
+    Empty where the plan was reduced to nothing and no row passed the metrics.
+    """
+    seen = Observation()
+    df.observe(seen, *metrics).write.mode("overwrite").parquet(path)
+    return dict(seen.get)
+
+
 _OPEN: "weakref.WeakSet[Workspace]" = weakref.WeakSet()
 
 
@@ -47,6 +58,13 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def observed(self, df: DataFrame, name: str, metrics: Sequence[Column]) -> tuple[DataFrame, dict]:
+        """Write ``df`` once, as ``table`` does, and return the metrics that were taken on the way."""
+        path = self.path(name)
+        values = write_observed(df, path, metrics)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        return table, values or table.agg(*metrics).first().asDict()
+
     def drop(self) -> None:
         """Delete every table written here; call when no result reads them any more."""
         _OPEN.discard(self)

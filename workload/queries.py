@@ -184,7 +184,8 @@ def _spec_listing(spark, sf):
 
 
 def discover_specs(spark, sf):
-    return readers.discover_specs(_spec_listing(spark, sf), "acme", ["configs/extra/global-1.yml"])
+    found = readers.discover_specs(_spec_listing(spark, sf), "acme", ["configs/extra/global-1.yml"])
+    return found.select("path", "priority")
 
 
 def detect_format(spark, sf):
