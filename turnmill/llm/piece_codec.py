@@ -29,7 +29,7 @@ from turnmill.llm.text import pieces
 MARK = "▁"
 #: What an unknown piece is decoded to.
 UNKNOWN = " ⁇ "
-HELD, LONGEST_HELD, BLOCK = 1 << 19, 64, 1 << 20
+HELD, LONGEST_HELD, BLOCK = 1 << 20, 64, 1 << 20
 ID = np.dtype("<u4")
 
 
@@ -60,7 +60,9 @@ class Codec:
         if sp.normalize("A  b\téﬁ ") != f"{MARK}A{MARK}{MARK}b\téﬁ{MARK}":
             raise ValueError(f"{path} changes texts before it encodes them")
         apart = not any(MARK in name.lstrip(MARK) for name in self.ids)
-        self.cut = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if apart else "(?s:.+)")
+        #: A cut without the mark that it begins with.
+        self.cut = re.compile(f"{MARK}({MARK}*[^{MARK}]+|{MARK}*)" if apart else f"{MARK}((?s:.*))")
+        self.apart = apart
         self._pairs()
         self.known: dict[str, bytes] = {}
 
@@ -201,22 +203,27 @@ class Codec:
         for i, text in enumerate(texts):
             out.append([begin])
             for a, b in self.spans(text):
-                part = text[a:b].replace(" ", MARK)
-                row.append((i, self.cut.findall(part if a else MARK + part)))
+                row.append((i, self._cuts(text[a:b] if a else " " + text[a:b])))
                 if sum(len(cuts) for _, cuts in row) >= BLOCK // 4:
                     self._join(row, out)
         self._join(row, out)
         return [b"".join([*parts, end]) for parts in out]
 
+    def _cuts(self, part: str) -> list[str]:
+        """The cuts of a text that begins with a space or mark, each without its first mark."""
+        if self.apart and "  " not in part and MARK not in part:
+            return part[1:].split(" ")
+        return self.cut.findall(part.replace(" ", MARK))
+
     def _join(self, row: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
         """Encode cut parts of texts: cuts not met before together, then each part from the table."""
         fresh = set().union(*[cuts for _, cuts in row]).difference(self.known)
         if len(self.known) + len(fresh) > HELD:
             self.known.clear()
             fresh = set().union(*[cuts for _, cuts in row])
-        short = [c for c in fresh if len(c) <= LONGEST_HELD]
-        self.known.update(zip(short, self.merge_many(short), strict=True))
-        long = {c: self._ids(self.merge(c)) for c in fresh if len(c) > LONGEST_HELD}
+        short = [c for c in fresh if len(c) < LONGEST_HELD]
+        self.known.update(zip(short, self.merge_many([MARK + c for c in short]), strict=True))
+        long = {c: self._ids(self.merge(MARK + c)) for c in fresh if len(c) >= LONGEST_HELD}
         self.known |= long
         for i, cuts in row:
             out[i].append(b"".join(map(self.known.__getitem__, cuts)))
