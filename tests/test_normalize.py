@@ -65,12 +65,3 @@ def test_large_conversations_keep_their_turns(spark):
     assert gated[1]["messages"] is None and len(gated[2]["messages"]) == 2
     firsts = {r["conv_id"]: (r["u"], r["s"]) for r in first_by_role(df, {"user": "u", "system": "s"}).collect()}
     assert firsts == {1: ("y" * 200, None), 2: ("b", "a"), None: ("z" * 60, None)}
-
-
-def test_turns_without_a_conversation_id_stay_apart(spark):
-    rows = [(None, 1, "user", "x" * 50), (None, 1, "user", "y" * 50), (None, 2, "user", "short"), (1, 2, "b", "z" * 30), (1, 1, "a", "w" * 30)]
-    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    folded = sorted(("" if r["id"] is None else r["id"], r["n_turns"], r["n_chars"], [m["content"][:1] for m in r["messages"]]) for r in fold_turns(turns).collect())
-    assert folded == [("", 1, 5, ["s"]), ("", 1, 50, ["x"]), ("", 1, 50, ["y"]), ("1", 2, 60, ["w", "z"])]
-    gated = [(r["id"], r["route"], r["n_chars"], r["messages"] is None) for r in fold_gated(turns).collect()]
-    assert sorted(map(str, gated)) == sorted(map(str, [(None, "kept", 50, False)] * 2 + [(None, "short", 5, True), ("1", "kept", 60, False)]))
