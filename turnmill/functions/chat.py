@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, functions as F
@@ -72,9 +72,15 @@ LLAMA3 = ChatTemplate(
 
 
 def render_chat(
-    messages: Column, template: ChatTemplate = CHATML, generation_prompt: bool = False
+    messages: Column, template: ChatTemplate | Callable[..., Column] = CHATML, generation_prompt: bool = False
 ) -> Column:
-    """Apply a chat template to every message of the conversation."""
+    """Apply a chat template to every message of the conversation.
+
+    ``template`` is a frame, or a template compiled by :func:`turnmill.functions.template.compile_template`
+    (its variables bound with ``functools.partial``).
+    """
+    if not isinstance(template, ChatTemplate):
+        return template(messages, generation_prompt)
     if template.default_system is not None:
         system = F.struct(
             F.lit("system").alias("role"), F.lit(template.default_system).alias("content")
@@ -92,7 +98,7 @@ def render_chat(
     return F.concat(*parts)
 
 
-def render_prompt(messages: Column, template: ChatTemplate = CHATML) -> Column:
+def render_prompt(messages: Column, template: ChatTemplate | Callable[..., Column] = CHATML) -> Column:
     """Template over the non-assistant turns, ending where the model should answer."""
     asked = F.filter(messages, lambda m: m["role"] != "assistant")
     return render_chat(asked, template, generation_prompt=True)

@@ -87,7 +87,7 @@ def enrich(
     ws: Workspace,
     config: EnrichConfig = EnrichConfig(),
     variants: DataFrame | None = None,
-    template: ChatTemplate = CHATML,
+    template: ChatTemplate | Callable[..., Column] = CHATML,
     stages: StageStore | None = None,
     sources: Mapping[str, str] | None = None,
     models: EnrichModels = EnrichModels(),

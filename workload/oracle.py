@@ -450,6 +450,17 @@ ORACLE = {
     "review_text": f"SELECT conv_id, {REVIEW} AS text FROM conversations GROUP BY conv_id",
     "render_chat": f"""
       SELECT conv_id, {rendered(CHATML)} AS chatml, {rendered(LLAMA3)} AS llama3 FROM conversations GROUP BY conv_id""",
+    "chat_template": f"""
+      WITH placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n, count(*) OVER (PARTITION BY conv_id) AS turns,
+          first_value(role) OVER (PARTITION BY conv_id ORDER BY turn) = 'system' AS led,
+          first_value(text) OVER (PARTITION BY conv_id ORDER BY turn) AS system FROM conversations),
+      rest AS (SELECT *, CASE WHEN led THEN n - 1 ELSE n END AS i, CASE WHEN led THEN turns - 1 ELSE turns END AS length FROM placed)
+      SELECT conv_id, '<s>' || coalesce(string_agg(CASE WHEN role = 'user'
+          THEN '[INST] ' || CASE WHEN i = 1 AND led AND system <> '' THEN '<<SYS>>' || {strip('system')} || '<</SYS>>' || {NL} ELSE '' END
+            || {strip('text')} || ' [/INST]'
+          ELSE ' ' || i || '/' || length || ' ' || upper(role) || ': ' || text || '</s>' END, '' ORDER BY turn) FILTER (i > 0), '') AS text
+      FROM rest GROUP BY conv_id""",
     "render_prompt": f"""
       SELECT conv_id, {rendered(CHATML, "FILTER (role <> 'assistant')")} || {lit(PROMPT_TAIL)} AS prompt
       FROM conversations GROUP BY conv_id""",

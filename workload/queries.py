@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from turnmill.functions import chat, pii
 from turnmill.functions.parsing import clean_variants, parse_scores, parse_verdict
+from turnmill.functions.template import compile_template
 from turnmill.functions.vectors import l2_normalize, squared_norm, word_grams
 from turnmill.operators import (
     augment, balls, banded, dedup, judge, normalize, packing, perf, quality, sampling, scoring, semantic, sketches,
@@ -268,6 +269,23 @@ def render_chat(spark, sf):
     )
 
 
+#: A published kind of template: the system turn joins the first question, answers end with a mark.
+INSTRUCT = (
+    "{%- if messages[0]['role'] == 'system' -%}{%- set rest = messages[1:] -%}{%- set system = messages[0]['content'] -%}"
+    "{%- else -%}{%- set rest = messages -%}{%- set system = false -%}{%- endif -%}{{ bos_token }}"
+    "{%- for m in rest -%}{%- if m.role == 'user' -%}"
+    "{{ '[INST] ' }}{%- if loop.first and system -%}{{ '<<SYS>>' ~ system | trim ~ '<</SYS>>\n' }}{%- endif -%}{{ m.content.strip() + ' [/INST]' }}"
+    "{%- else -%}{{ ' ' ~ loop.index ~ '/' ~ loop.length ~ ' ' ~ m.role | upper ~ ': ' ~ m.content ~ eos_token }}{%- endif -%}{%- endfor -%}"
+)
+
+
+def chat_template(spark, sf):
+    render = compile_template(INSTRUCT)
+    return _conversations(spark, sf).select(
+        "conv_id", render(F.col("messages"), bos_token="<s>", eos_token="</s>").alias("text")
+    )
+
+
 def render_prompt(spark, sf):
     return _conversations(spark, sf).select(
         "conv_id", chat.render_prompt(F.col("messages"), chat.CHATML).alias("prompt")
@@ -838,6 +856,7 @@ QUERIES = {
     "row_text": row_text,
     "review_text": review_text,
     "render_chat": render_chat,
+    "chat_template": chat_template,
     "render_prompt": render_prompt,
     "first_turns": first_turns,
     "render_template": render_template,
