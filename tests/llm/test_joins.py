@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import prose
-from turnmill.llm import decontaminate
+from turnmill.llm import decontaminate, ngram_join
 from turnmill.llm.decontaminate import contaminated, drop_contaminated
 from turnmill.llm.graph import components, forest
 from turnmill.llm.ngram_join import Threshold, block_links, jaccard_components, one_of_each
@@ -296,3 +296,15 @@ def test_a_third_of_the_rows_repeat_key_and_text(frame):
     assert links[(None, 41, 10)] == 40 and links[(10, 41, 10)] == 1 and links[(200, 41, 10)] == 1
     assert links[(5, 20, 5)] == 20 and links[(11, 20, 5)] == 1
     assert sum(n for (_, degree, _), n in links.items() if degree == 0) == 58
+
+
+@pytest.mark.parametrize("limit", [500_000, 5])
+def test_postings_of_frequent_hashes_are_split_and_whole(spark, ws, limit):
+    rows = [(i, h) for i in range(60) for h in (7, 1000 + i, 2000 + i // 2, *([8] if i % 3 else []))]
+    posted = ws.table(spark.createDataFrame(rows, "id long, hash long"), "posted")
+    owners = Counter(h for _, h in rows)
+    got = ngram_join._shared(posted, "hash", ws, limit)
+    want = sorted((i, h, owners[h]) for i, h in rows if owners[h] > 1)
+    assert sorted(tuple(r) for r in got.select("id", "hash", "owners").collect()) == want
+    none = ngram_join._shared(posted.filter("hash > 10000"), "hash", ws, limit)
+    assert none.collect() == []

@@ -320,30 +320,45 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
     return alone.union(one.select("row.*")).union(docs.filter(~worded))
 
 
+def _shared(posted: DataFrame, hash_: str, space: Workspace, limit: int = 500_000) -> DataFrame:
+    """The postings (id, hash) of hashes with a second owner, and their owners.
+
+    Owners are counted before they are shuffled, and a hash of over ``limit`` owners is split over several
+    salts, so no task holds all postings of a phrase that many texts share. ``posted`` is read twice.
+    """
+    owned = posted.groupBy(hash_).agg(F.count("*").alias("owners")).filter("owners > 1")
+    owned = space.table(owned, "owners")
+    hot = owned.filter(F.col("owners") > limit).select(hash_, F.ceil(F.col("owners") / limit).cast("int").alias("salts"))
+    if hot.isEmpty():
+        return posted.join(owned, hash_)
+    # At most postings / limit hashes are that frequent, which bounds the broadcast table.
+    own_salt, every_salt = F.pmod(F.xxhash64("id"), F.coalesce("salts", F.lit(1))), F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
+    left = posted.join(F.broadcast(hot), hash_, "left").withColumn("salt", own_salt.cast("int")).drop("salts")
+    right = owned.join(F.broadcast(hot), hash_, "left").withColumn("salt", F.explode(every_salt)).drop("salts")
+    return left.join(right, [hash_, "salt"]).drop("salt")
+
+
 def _class_links(
     docs: DataFrame, sets: DataFrame, classes: DataFrame, key: str, text: str, k: int, at: Threshold, chunk: int, space: Workspace
 ) -> DataFrame:
     """Rows (a, b, degree): links between the ids of classes, and the copies that each links to."""
     # Sets too small for any difference have no partners but their copies.
     linkable = classes.filter(at.linkable(F.col("n")))
-    posted = linkable.select("id", "n", F.explode("prefix").alias("hash"))
-    owned_hash = Window.partitionBy("hash")
-    shared = posted.withColumn("lo", F.min("id").over(owned_hash)).withColumn("hi", F.max("id").over(owned_hash)).filter("lo < hi")
-    likely = shared.groupBy("id").agg(F.count("*").alias("hits"), F.first("n").alias("n")).filter(F.col("hits") >= at.needed(F.col("n")))
+    posted = linkable.select("id", F.explode("prefix").alias("hash"))
+    hits = _shared(posted, "hash", space).groupBy("id").agg(F.count("*").alias("hits"))
+    likely = linkable.join(hits, "id").filter(F.col("hits") >= at.needed(F.col("n")))
     # Rows that repeat key and text would post a set again for each of them.
     again = sets.groupBy("doc_id", "mark").agg((F.count("*") > 1).alias("again")).filter("again")
     again = again.select(F.col("doc_id").alias("again_key"), F.col("mark").alias("again_mark"), "again")
     repeats = F.col("rep").eqNullSafe(F.col("again_key")) & (F.col("own") == F.col("again_mark"))
-    reps = linkable.select("id", "rep", F.col("mark").alias("own"), "node", "check").join(likely.select("id"), "id")
+    reps = likely.select("id", "rep", F.col("mark").alias("own"), "node", "check")
     reps = space.table(reps.join(again, repeats, "left").drop("again_key", "again_mark"), "likely")
     # By key and text: a null or repeated key leads each of its rows to no other set than its own.
     texts = _marked(docs, key, text).join(reps, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("mark") == F.col("own")))
     if not reps.filter("again").isEmpty():
         texts = texts.filter("again IS NULL").unionByName(texts.filter("again").dropDuplicates(["id"]))
-    shingle = Window.partitionBy("shingle")
-    ends = [F.min("id").over(shingle).alias("lo"), F.max("id").over(shingle).alias("hi")]
-    owned = whole_sets(texts, k).select("*", F.count("*").over(shingle).alias("owners"), *ends)
-    listed = owned.filter("lo < hi").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("owners", "shingle"))).alias("rarest"))
+    owned = _shared(space.table(whole_sets(texts, k), "shingles"), "shingle", space)
+    listed = owned.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("owners", "shingle"))).alias("rarest"))
     found = listed.join(classes.select("id", "n", "copies"), "id")
     least = at.needed_whole(F.col("n"))
     found = space.table(
