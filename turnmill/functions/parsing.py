@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from turnmill.functions.json import is_single, single, wrapped
 from turnmill.functions.text import strip
 
+# The keys of a score answer.
 _SCORES = ("clarity", "completeness", "naturalness", "correctness", "domain_fit")
 _GREEDY_OBJECT = r"(?s)\{.*\}"
 _SHORTEST_OBJECT = r"(?s)\{.*?\}"
