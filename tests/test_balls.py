@@ -74,3 +74,14 @@ def test_no_and_few_vectors(spark, ws):
     assert BallIndex.build(empty, 0.9, 0).earlier_pairs(empty, empty, ws).count() == 0
     one = frame(spark, np.ones((1, 4), np.float32) / 2)
     assert BallIndex.build(one, 0.9, 1).earlier_pairs(one, one, ws).count() == 0
+
+
+def test_a_block_travels_to_sheaves_not_to_blocks(spark, ws):
+    """Without structure every block meets every other; what is shuffled grows with the rows all the same."""
+    for n in (640, 2560):
+        rng = np.random.default_rng(2)
+        rows = ws.table(frame(spark, unit(rng.normal(size=(n, 8)))), "rows")
+        index = BallIndex.build(rows, 0.2, n, 8)
+        sims = brute(np.array([r["vec"] for r in rows.orderBy("ord").collect()], np.float32), 0.2)
+        assert index.earlier_pairs(rows, rows, ws).count() == len(sims)
+        assert index.met["blocks"] > 16 * 3 * n // 8 >= index.met["sent"]

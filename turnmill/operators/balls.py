@@ -6,9 +6,11 @@ the cell's rest, so that a stray vector makes no ball wide. Strays are sampled f
 ball keeps its radius, the largest angle to its centre, and each cell that of its balls. Angles obey the triangle inequality, so two balls whose centres are further
 apart than both radii and the threshold's angle hold no pair, and neither do two such cells.
 
-Rows carry ids and ball numbers until they are packed, once, into blocks: one row with all ids and one matrix. A pair of
-blocks is then a join of two such rows and a few matrix products. With groups of a fixed size the blocks that a block
-meets do not grow in number with the corpus, so what is shuffled grows in proportion to the rows.
+Rows carry ids and ball numbers until they are packed, once, into blocks: one row with all ids and one matrix. Blocks lie
+in a few sheaves by ball, and a block travels once to each pair of sheaves in which it has a partner; there a pair of blocks
+is a few matrix products. With groups of a fixed size the blocks that a block meets do not grow in number with the corpus.
+Where vectors have no structure all blocks meet, which is quadratic work, but a block still travels to as many places
+as there are sheaves: 16 up to 2 million rows, then one for each 131,072 rows.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from turnmill.workspace import Workspace
 
 #: Rounding of angles between unit vectors of single precision.
 _SLACK = 2e-3
+#: Sheaves of blocks: so many at least, and rows in one at most (a few blocks more where balls are large).
+SHEAVES, SHEAF_ROWS = 16, 131_072
 BLOCK = "block long, ball int, ords binary, untils binary, vecs binary"
 
 
@@ -193,26 +197,57 @@ class BallIndex:
         pairs = left.join(theirs.select(F.col("ball").alias("near"), F.col("block").alias("other")), "near").select("block", "other")
         pairs = ws.table(pairs, "block-pairs")
         self.met["blocks"] = pairs.count()
-        # The wide side of each join has one row per block; pairs carry numbers only until then.
-        other = theirs.select(F.col("block").alias("other"), F.col("ords").alias("other_ords"), F.col("vecs").alias("other_vecs"))
-        both = pairs.join(mine.drop("ball"), "block").join(other, "other")
+        # By ball, the sheaf of its blocks: near balls have near numbers. A ball with many blocks goes to several.
+        pairs = pairs.join(_sheaves(spark, mine_balls[0], "block", self.block_rows), "block").join(_sheaves(spark, their_balls[0], "other", self.block_rows), "other")
+        place = (F.col("block_sheaf").cast("long") * (1 << 31) + F.col("other_sheaf")).alias("place")
+        partners = pairs.groupBy(place, "block").agg(F.collect_list("other").alias("others"))
+        partners = ws.table(partners, "partners")
+        self.met["sent"] = partners.count()
+        left = partners.join(mine.drop("ball"), "block").select("place", F.lit(0).alias("side"), "block", "others", "ords", "untils", "vecs")
+        none = F.lit(None)
+        right = pairs.select(place, F.col("other").alias("block")).distinct().join(theirs.drop("ball"), "block").select(
+            "place", F.lit(1).alias("side"), "block", none.cast("array<long>").alias("others"), "ords", none.cast("binary").alias("untils"), "vecs"
+        )
+        both = left.unionByName(right).repartition("place")
+        both = both.sortWithinPartitions("place", "side", "block")
         t = self.threshold
 
         def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            place, wanted = None, {}
             for batch in batches:
                 for i in range(batch.num_rows):
+                    if (at := batch.column("place")[i].as_py()) != place:
+                        place, wanted = at, {}
                     get = lambda c: batch.column(c)[i].as_buffer()  # noqa: B023, E731
-                    a, until, b = (np.frombuffer(get(c), np.int64) for c in ("ords", "untils", "other_ords"))
-                    x, y = (np.frombuffer(get(c), np.float32).reshape(len(o), -1).astype(np.float64) for c, o in (("vecs", a), ("other_vecs", b)))
-                    for at in range(0, len(x), 512):
-                        sims = x[at : at + 512] @ y.T
-                        r, c = np.nonzero((sims >= t) & (b[None] < until[at : at + 512, None]) & (b[None] != a[at : at + 512, None]))
-                        if len(r):
-                            yield pa.RecordBatch.from_arrays([pa.array(a[at + r]), pa.array(b[c]), pa.array(sims[r, c])], ["ord", "rep", "sim"])
+                    if not batch.column("side")[i].as_py():
+                        # Copies: a view would keep its whole batch.
+                        held = [np.frombuffer(get(c), k).copy() for c, k in (("ords", np.int64), ("untils", np.int64), ("vecs", np.float32))]
+                        for other in batch.column("others")[i].as_py():
+                            wanted.setdefault(other, []).append(held)
+                        continue
+                    b = np.frombuffer(get("ords"), np.int64)
+                    y = np.frombuffer(get("vecs"), np.float32).reshape(len(b), -1).astype(np.float64)
+                    for a, until, vecs in wanted.get(batch.column("block")[i].as_py(), ()):
+                        x = vecs.reshape(len(a), -1)
+                        for at in range(0, len(x), 512):
+                            sims = x[at : at + 512].astype(np.float64) @ y.T
+                            r, c = np.nonzero((sims >= t) & (b[None] < until[at : at + 512, None]) & (b[None] != a[at : at + 512, None]))
+                            if len(r):
+                                yield pa.RecordBatch.from_arrays([pa.array(a[at + r]), pa.array(b[c]), pa.array(sims[r, c])], ["ord", "rep", "sim"])
 
         return both.mapInArrow(products, PAIRS)
 
 
+def _sheaves(spark, blocks_of: np.ndarray, name: str, block_rows: int = 4096) -> DataFrame:
+    """``<name>, <name>_sheaf`` of all blocks, given their number by ball: about equal runs of blocks in order of balls."""
+    total = int(blocks_of.sum())
+    sheaves = max(SHEAVES, -(-total * block_rows // SHEAF_ROWS))
+    ball = np.repeat(np.arange(len(blocks_of)), blocks_of)
+    part = np.arange(total) - np.repeat(np.cumsum(blocks_of) - blocks_of, blocks_of)
+    table = pa.table({name: ball.astype(np.int64) * (1 << 31) + part, f"{name}_sheaf": (np.arange(total) * sheaves // max(1, total)).astype(np.int32)})
+    return F.broadcast(spark.createDataFrame(table))
+
+
 def _rows(column: pa.ListArray) -> np.ndarray:
     flat, lengths = flat_list(column)
     return flat.astype(np.float64).reshape(len(lengths), -1)
