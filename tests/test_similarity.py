@@ -12,6 +12,7 @@ from turnmill.functions.vectors import l2_normalize, word_grams
 from turnmill.operators.leaders import leader_clusters, with_cluster_ids
 from turnmill.operators.semantic import dedup_stats, semantic_dedup
 from turnmill.operators.similarity import DenseIndex, GramIndex
+from turnmill.operators.skew import held_by
 from turnmill.plans.enrich import long_report
 
 
@@ -177,3 +178,35 @@ def test_l2_normalize_keeps_zero(spark):
     df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "v array<float>")
     got = [list(r[0]) for r in df.select(l2_normalize(F.col("v"))).collect()]
     assert got == [[pytest.approx(0.6), pytest.approx(0.8)], [0.0, 0.0]]
+
+
+def test_rows_that_share_little_are_not_compared(spark, ws):
+    """Rare grams in common do not make long rows candidates, nor do rows of other sizes meet."""
+    rng = random.Random(4)
+    docs = [" ".join(f"u{rng.randrange(10**6)}" for _ in range(300)) for _ in range(30)]
+    docs = [d + " one rare passage here" for d in docs]
+    docs.append(docs[0] + " now")
+    df = spark.createDataFrame(list(enumerate(docs)), "ord long, text string")
+    vectors = ws.table(word_grams(df, "ord", "text"), "v")
+    alone = vectors.select(F.explode("grams").alias("g")).groupBy("g").count().filter("count = 1").collect()
+    # The shared grams come first.
+    index = GramIndex(0.92, vectors, np.array([r["g"] for r in alone], np.int64))
+    rows = ws.table(index.rows(), "rows")
+    assert index.meetings(rows, index.entries(rows), ws).count() == 1
+    assert {(r["ord"], r["rep"]) for r in index.earlier_pairs(rows, rows, ws).collect()} == {(30, 0)}
+
+
+def test_only_paired_rows_are_joined(spark):
+    rows = spark.range(50_000)
+    ids = spark.createDataFrame([(i,) for i in (3, 17, 49_999)], "rep long")
+    left = {r["id"] for r in held_by(rows, "id", ids, 3).collect()}
+    assert {3, 17, 49_999} <= left and len(left) < 50
+
+
+def test_struck_rows_find_the_nearest_of_later_heads(spark, ws):
+    """A row struck out by the first head may be nearer to a row that a later head keeps."""
+    angle = np.radians([0, 5, 30, 22])
+    x = np.stack((np.cos(angle), np.sin(angle)), 1).astype(np.float32)
+    df = ws.table(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "ord long, vec array<float>"), "x")
+    out = leader_clusters(df, DenseIndex.build(df, 0.9, 4), ws, min_work=0, work_per_row=0).collect()
+    assert {r["ord"]: r["rep"] for r in out} == {0: 0, 1: 0, 2: 2, 3: 2}
