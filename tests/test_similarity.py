@@ -203,6 +203,14 @@ def test_only_paired_rows_are_joined(spark):
     assert {3, 17, 49_999} <= left and len(left) < 50
 
 
+def test_a_block_passes_in_small_batches(spark, ws, monkeypatch):
+    monkeypatch.setattr("turnmill.operators.similarity._PAIRS_AT_ONCE", 100)
+    x = np.ones((90, 4), np.float32) / 2
+    df = ws.table(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "ord long, vec array<float>"), "x")
+    pairs = DenseIndex.build(df, 0.9, 90).earlier_pairs(df, df, ws)
+    assert pairs.count() == 90 * 89 // 2
+
+
 def test_struck_rows_find_the_nearest_of_later_heads(spark, ws):
     """A row struck out by the first head may be nearer to a row that a later head keeps."""
     angle = np.radians([0, 5, 30, 22])
