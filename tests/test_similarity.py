@@ -14,6 +14,7 @@ from turnmill.operators.semantic import dedup_stats, semantic_dedup
 from turnmill.operators.similarity import DenseIndex, GramIndex
 from turnmill.operators.skew import held_by
 from turnmill.plans.enrich import long_report
+from turnmill.streaming.store import RepresentativeStore
 
 
 def texts(n=150, seed=3, hot=0.34):
@@ -218,3 +219,13 @@ def test_struck_rows_find_the_nearest_of_later_heads(spark, ws):
     df = ws.table(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "ord long, vec array<float>"), "x")
     out = leader_clusters(df, DenseIndex.build(df, 0.9, 4), ws, min_work=0, work_per_row=0).collect()
     assert {r["ord"]: r["rep"] for r in out} == {0: 0, 1: 0, 2: 2, 3: 2}
+
+
+def test_a_store_of_the_earlier_layout_is_refused(spark, ws):
+    df = spark.createDataFrame([(0, "a b c")], "ord long, text string")
+    vectors = ws.table(word_grams(df, "ord", "text"), "v")
+    store = RepresentativeStore(spark, f"{ws.root}/store")
+    assert store.index(vectors, 0.92, ws).n_rows == store.index(vectors, 0.92, ws).n_rows == 1
+    spark.range(1).write.parquet(f"{store.path}/order")
+    with pytest.raises(ValueError, match="earlier layout"):
+        store.index(vectors, 0.92, ws)
