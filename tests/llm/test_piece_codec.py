@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -65,6 +66,43 @@ def test_parts_of_long_texts_give_the_ids_of_the_whole(own, monkeypatch):
         assert own.encode(text) == ids and own.agrees(text, ids, decoded)
 
 
+def test_many_cuts_get_the_ids_of_one(own, monkeypatch):
+    rng = random.Random(10)
+    cuts = ["▁" + "".join(rng.choice("theingaéß日😀\n.▁") for _ in range(rng.randint(0, 63))) for _ in range(2000)]
+    ids = [own._ids(own.merge(c)) for c in cuts]
+    assert own.merge_many(cuts) == ids
+    monkeypatch.setattr(piece_codec, "BLOCK", 200)
+    assert own.merge_many(cuts) == ids and own.merge_many([]) == []
+
+
+def test_many_ids_are_decoded_apart(own):
+    rng = random.Random(11)
+    many = [[rng.choice([rng.randrange(32_000), rng.randrange(300), 0, 1, 2]) for _ in range(rng.randint(0, 7))] for _ in range(3000)]
+    assert own.decode_many([np.array(x, ID).tobytes() for x in many]) == [own.library.decode(x) for x in many]
+    assert own.decode_many([]) == []
+
+
+def test_work_beside_the_library(own):
+    """CPU time, as a share of the library's, on words that were not met before."""
+
+    def seconds(work):
+        spent = []
+        for _ in range(5):
+            own.known.clear()
+            start = time.process_time()
+            work()
+            spent.append(time.process_time() - start)
+        return min(spent)
+
+    rng = random.Random(12)
+    text = " ".join("".join(rng.choice(["the", "in", "er", "ou", "an", "de", "s", "y", ","]) for _ in range(rng.randint(2, 6))) for _ in range(40_000))
+    ids = own.encode(text)
+    theirs = own.library.encode(text)
+    encoded = seconds(lambda: own.encode(text)) / seconds(lambda: own.library.encode(text))
+    decoded = seconds(lambda: own.decode(ids)) / seconds(lambda: own.library.decode(theirs))
+    assert encoded < 0.8 and decoded < 0.6, (encoded, decoded)
+
+
 def test_rows(spark, messy, none, own):
     got = encode_and_decode(messy, PIECES).collect()
     rows = messy.select("doc_id", "text").collect()

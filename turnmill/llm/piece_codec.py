@@ -17,6 +17,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,10 @@ MARK = "▁"
 #: What an unknown piece is decoded to.
 UNKNOWN = " ⁇ "
 HELD, LONGEST_HELD, BLOCK = 1 << 20, 64, 1 << 20
+#: Symbol of a place whose character another symbol has taken, and rank and place of what joins to no piece.
+TAKEN, NEVER = np.int32(-(1 << 31)), np.int32((1 << 31) - 1)
 ID = np.dtype("<u4")
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Codec:
@@ -55,6 +59,7 @@ class Codec:
             b"" if sp.is_control(i) else UNKNOWN.encode() if sp.is_unknown(i) else bytes([int(names[i][3:5], 16)]) if sp.is_byte(i)
             else names[i].replace(MARK, " ").encode() for i in range(n)
         ]
+        self.texts = pa.array(self.bytes, pa.large_binary())
         self.is_byte = np.array([sp.is_byte(i) for i in range(n)])
         self.is_control = np.array([sp.is_control(i) for i in range(n)])
         if sp.normalize("A  b\téﬁ ") != f"{MARK}A{MARK}{MARK}b\téﬁ{MARK}":
@@ -67,7 +72,7 @@ class Codec:
         self.known: dict[str, bytes] = {}
 
     def _pairs(self) -> None:
-        """Every two symbols that join to a piece, as sorted keys; characters known to no piece get negative symbols."""
+        """Every two symbols that join to a piece, in a table with open addresses; characters known to no piece get negative symbols."""
         chars = sorted({c for name in self.ids for c in name} - self.ids.keys())
         n = len(self.bytes)
         symbol = self.ids | {c: n + i for i, c in enumerate(chars)}
@@ -80,73 +85,98 @@ class Codec:
                     keys.append(left * self.span + right)
                     ranks.append(self.rank[name])
                     joined.append(i)
-        order = np.argsort(np.array(keys, np.int64))
-        self.pair = np.append(np.array(keys, np.int64)[order], np.int64(2**62))
-        self.none = np.int32(len(self.rank))
-        self.pair_rank = np.append(np.array(ranks, np.int32)[order], self.none)
-        self.pair_joined = np.append(np.array(joined, np.int32)[order], np.int32(-1))
+        # A key lies in the first free place after its own. At most a quarter of the places are in use; free ones hold -1.
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.pair = np.full(1 << bits, -1, np.int64)
+        self.pair_rank, self.pair_joined = np.full((2, 1 << bits), -1, np.int32)
+        key, rank, join = np.array(keys, np.int64), np.array(ranks, np.int32), np.array(joined, np.int32)
+        left, at = np.arange(len(key)), self._place(key)
+        while len(left):
+            free = np.flatnonzero(self.pair[at[left]] < 0)
+            put = left[free[np.unique(at[left[free]], return_index=True)[1]]]
+            self.pair[at[put]], self.pair_rank[at[put]], self.pair_joined[at[put]] = key[put], rank[put], join[put]
+            left = left[self.pair[at[left]] != key[left]]
+            at[left] = (at[left] + 1) & self.last
         self.symbol = -1 - np.arange(0x110000, dtype=np.int32)
         for c, i in symbol.items():
             if len(c) == 1:
                 self.symbol[ord(c)] = i
 
-    def _meet(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and symbol of what two symbols join to; no rank is ``none``."""
+    def _place(self, key: np.ndarray) -> np.ndarray:
+        """Where the table is searched for a key first."""
+        return ((key.view(np.uint64) * ODD) >> self.shift).view(np.int64)
+
+    def _meet(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether two symbols join to a piece, its rank and its symbol."""
         key = left.astype(np.int64) * self.span + right
-        at = np.searchsorted(self.pair, key)
-        hit = (self.pair[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.pair_rank[at], self.none), self.pair_joined[at]
+        key[(left < 0) | (right < 0)] = -2
+        at = self._place(key)
+        have = self.pair[at]
+        other = np.flatnonzero((have != key) & (have >= 0))
+        while len(other):
+            at[other] = (at[other] + 1) & self.last
+            have[other] = found = self.pair[at[other]]
+            other = other[(found != key[other]) & (found >= 0)]
+        return have == key, self.pair_rank[at], self.pair_joined[at]
 
     def merge_many(self, cuts: list[str]) -> list[bytes]:
-        """Ids of many short cuts. Each row of a matrix is the agenda of one cut, and every round pops all their heads."""
+        """Ids of many short cuts, those of like length together."""
         out: list[bytes] = [b""] * len(cuts)
         sizes = np.array([len(c) for c in cuts])
         for low, high in ((0, 8), (8, 16), (16, LONGEST_HELD)):
-            mine = np.flatnonzero((sizes > low) & (sizes <= high))
-            if not len(mine):
-                continue
-            size = sizes[mine]
-            points = np.frombuffer("".join([cuts[i] for i in mine.tolist()]).encode("utf-32-le"), "<u4")
-            symbols = np.full((len(mine), int(size.max()) + 1), -1, np.int32)
-            inside = np.arange(symbols.shape[1]) < size[:, None]
-            symbols[inside] = self.symbol[points]
-            agenda = np.full((len(mine), symbols.shape[1] - 1), self.none, np.int32)
-            row, col = np.nonzero(inside[:, 1:])
-            agenda[row, col] = self._meet(symbols[row, col], symbols[row, col + 1])[0]
-            left = np.arange(len(mine))
-            while len(left):
-                head = agenda[left].argmin(1)
-                alive = agenda[left, head] < self.none
-                left, head = left[alive], head[alive]
-                if not len(left):
-                    break
-                # The pair at the head becomes one symbol, and all after it move up.
-                own, ranks = symbols[left], agenda[left]
-                width = np.arange(own.shape[1] - 1)
-                own[np.arange(len(left)), head] = self._meet(own[np.arange(len(left)), head], own[np.arange(len(left)), head + 1])[1]
-                moved = width[None] + (width[None] > head[:, None])
-                own[:, :-1] = np.take_along_axis(own, moved, 1)
-                own[:, -1] = -1
-                ranks[:, :-1] = np.take_along_axis(ranks, width[None, :-1] + (width[None, :-1] >= head[:, None]), 1)
-                ranks[:, -1] = self.none
-                size[left] -= 1
-                for at in (head - 1, head):
-                    fits = np.flatnonzero((at >= 0) & (at + 1 < size[left]))
-                    ranks[fits, at[fits]] = self._meet(own[fits, at[fits]], own[fits, at[fits] + 1])[0]
-                edge = np.flatnonzero(head + 1 >= size[left])
-                ranks[edge, np.minimum(head[edge], ranks.shape[1] - 1)] = self.none
-                symbols[left], agenda[left] = own, ranks
-            inside = np.arange(symbols.shape[1]) < size[:, None]
-            if self.of_byte:
-                plain = (symbols < 0) & (symbols >= -128) & inside
-                symbols[plain] = np.array(self.of_byte[:128], np.int32)[-1 - symbols[plain]]
-            body = symbols[inside].astype(ID).tobytes()
-            ends = (np.cumsum(size) * 4).tolist()
-            for i, a, b in zip(mine.tolist(), [0, *ends], ends, strict=False):
-                out[i] = body[a:b]
-            # Other characters that are no pieces become several bytes.
-            for i in mine[(inside & ((symbols < 0) | (symbols >= len(self.bytes)))).any(1)].tolist():
-                out[i] = self._ids(self.merge(cuts[i]))
+            alike = np.flatnonzero((sizes > low) & (sizes <= high)).tolist()
+            most = max(1, BLOCK // high)
+            for row in range(0, len(alike), most):
+                mine = alike[row : row + most]
+                for i, ids in zip(mine, self._merge_alike([cuts[i] for i in mine], sizes[mine]), strict=True):
+                    out[i] = ids
+        return out
+
+    def _merge_alike(self, cuts: list[str], sizes: np.ndarray) -> list[bytes]:
+        """Ids of cuts. Each column of a matrix is the agenda of one cut, and every round pops all their heads."""
+        n, width = len(cuts), int(sizes.max())
+        rows = np.full((n, width), TAKEN, np.int32)
+        rows[np.arange(width) < sizes[:, None]] = self.symbol[np.frombuffer("".join(cuts).encode("utf-32-le"), "<u4")]
+        # Place p of cut c is p * n + c; the place after all others stands before the first and after the last of each cut.
+        none = width * n
+        symbols = np.append(rows.T, TAKEN)
+        place = np.arange(none + 1, dtype=np.int32)
+        before, after = place - n, np.minimum(place + n, none)
+        before[:n] = none
+        # An agenda entry is the rank of a place's pair, then the place in the cut.
+        agenda, joined = np.full(none + 1, NEVER), np.full(none + 1, -1, np.int32)
+
+        def enter(at: np.ndarray, then: np.ndarray) -> None:
+            hit, rank, join = self._meet(symbols[at], symbols[then])
+            agenda[at] = np.where(hit, rank * LONGEST_HELD + at // n, NEVER)
+            joined[at] = join
+
+        enter(place[: none - n], place[n:none])
+        heads = agenda[:none].reshape(width, n)
+        while True:
+            head = heads.min(0)
+            left = np.flatnonzero(head < NEVER)
+            if not len(left):
+                break
+            at = head[left] % LONGEST_HELD * n + left
+            gone = after[at]
+            # The pair at the head becomes one symbol, and its neighbours enter the agenda.
+            symbols[at], symbols[gone], agenda[gone] = joined[at], TAKEN, NEVER
+            leads, follows = before[at], after[gone]
+            after[at], before[follows] = follows, at
+            enter(np.concatenate([leads, at]), np.concatenate([at, follows]))
+        rows = np.ascontiguousarray(symbols[:none].reshape(width, n).T)
+        inside = rows != TAKEN
+        if self.of_byte:
+            plain = (rows < 0) & (rows >= -128)
+            rows[plain] = np.array(self.of_byte[:128], np.int32)[-1 - rows[plain]]
+        body = rows[inside].astype(ID).tobytes()
+        ends = (np.cumsum(inside.sum(1)) * 4).tolist()
+        out = [body[a:b] for a, b in pairwise([0, *ends])]
+        # Other characters that are no pieces become several bytes.
+        for i in np.flatnonzero((inside & ((rows < 0) | (rows >= len(self.bytes)))).any(1)).tolist():
+            out[i] = self._ids(self.merge(cuts[i]))
         return out
 
     def merge(self, text: str) -> list[str]:
@@ -199,13 +229,15 @@ class Codec:
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts between the begin and end ids, as little-endian unsigned 32-bit integers."""
         begin, end = (np.array([i], ID).tobytes() for i in (self.begin, self.end))
-        out, row = [], []
+        out, row, size = [], [], 0
         for i, text in enumerate(texts):
             out.append([begin])
             for a, b in self.spans(text):
                 row.append((i, self._cuts(text[a:b] if a else " " + text[a:b])))
-                if sum(len(cuts) for _, cuts in row) >= BLOCK // 4:
+                size += len(row[-1][1])
+                if size >= BLOCK // 4:
                     self._join(row, out)
+                    size = 0
         self._join(row, out)
         return [b"".join([*parts, end]) for parts in out]
 
@@ -217,36 +249,53 @@ class Codec:
 
     def _join(self, row: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
         """Encode cut parts of texts: cuts not met before together, then each part from the table."""
-        fresh = set().union(*[cuts for _, cuts in row]).difference(self.known)
-        if len(self.known) + len(fresh) > HELD:
-            self.known.clear()
-            fresh = set().union(*[cuts for _, cuts in row])
+        every = list(chain.from_iterable([cuts for _, cuts in row]))
+        found = list(map(self.known.get, every))
+        missing = [at for at, ids in enumerate(found) if ids is None]
+        fresh = {every[at] for at in missing}
         short = [c for c in fresh if len(c) < LONGEST_HELD]
-        self.known.update(zip(short, self.merge_many([MARK + c for c in short]), strict=True))
-        long = {c: self._ids(self.merge(MARK + c)) for c in fresh if len(c) >= LONGEST_HELD}
-        self.known |= long
+        made = dict(zip(short, self.merge_many([MARK + c for c in short]), strict=True))
+        if len(self.known) + len(made) > HELD:
+            self.known.clear()
+        self.known |= made
+        made |= {c: self._ids(self.merge(MARK + c)) for c in fresh if len(c) >= LONGEST_HELD}
+        for at in missing:
+            found[at] = made[every[at]]
+        at = 0
         for i, cuts in row:
-            out[i].append(b"".join(map(self.known.__getitem__, cuts)))
-        for cut in long:
-            del self.known[cut]
+            out[i].append(b"".join(found[at : at + len(cuts)]))
+            at += len(cuts)
         row.clear()
 
     def encode(self, text: str) -> bytes:
         return self.encode_many([text])[0]
 
     def decode(self, ids: bytes) -> str:
-        """The text of ids. Byte pieces that make no character become one replacement character each."""
-        at = np.frombuffer(ids, ID)
-        body = b"".join(map(self.bytes.__getitem__, at.tolist()))
-        try:
-            # A control piece parts the byte pieces beside it.
-            text = self._decode_bytes(at) if self.is_control[at[1:-1]].any() else body.decode()
-        except UnicodeDecodeError:
-            text = self._decode_bytes(at)
-        # The first space mark stands for the start of the text, unless a byte or unknown piece comes first.
-        first = at[~self.is_control[at]][:1]
-        starts = len(first) and not self.is_byte[first[0]] and int(first[0]) != self.unknown
-        return text[1:] if starts and text.startswith(" ") else text
+        return self.decode_many([ids])[0]
+
+    def decode_many(self, ids: list[bytes]) -> list[str]:
+        """The texts of ids. Byte pieces that make no character become one replacement character each."""
+        every = np.frombuffer(b"".join(ids), ID)
+        first = np.cumsum([0, *[len(x) // 4 for x in ids]])
+        taken = self.texts.take(pa.array(every))
+        _, offsets, data = taken.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(every) + 1)[first].tolist()
+        body = memoryview(data or b"")
+        # A control piece parts the byte pieces beside it.
+        control = np.flatnonzero(self.is_control[every])
+        owner = np.searchsorted(first, control, "right") - 1
+        parted = set(owner[(control > first[owner]) & (control < first[owner + 1] - 1)].tolist())
+        out = []
+        for i, (a, b) in enumerate(pairwise(first.tolist())):
+            try:
+                text = self._decode_bytes(every[a:b]) if i in parted else str(body[ends[i] : ends[i + 1]], "utf-8")
+            except UnicodeDecodeError:
+                text = self._decode_bytes(every[a:b])
+            # The first space mark stands for the start of the text, unless a byte or unknown piece comes first.
+            head = next((x for x in every[a:b] if not self.is_control[x]), None)
+            starts = head is not None and not self.is_byte[head] and int(head) != self.unknown
+            out.append(text[1:] if starts and text.startswith(" ") else text)
+        return out
 
     def _decode_bytes(self, at: np.ndarray) -> str:
         out, row = [], 0
@@ -265,8 +314,8 @@ class Codec:
         sp = self.library
         parts = list(self.spans(text))
         # A later part's leading space is what the library puts before any text.
-        own = [sp.encode(text[a + bool(a) : b]) for a, b in parts]
-        theirs = np.concatenate([np.array([self.begin], ID), *(np.array(x, ID) for x in own), np.array([self.end], ID)])
+        own = [sp.encode(text[a + bool(a) : b], out_type="numpy") for a, b in parts]
+        theirs = np.concatenate([np.array([self.begin], ID), *(x.view(ID) for x in own), np.array([self.end], ID)])
         said = " ".join(sp.decode(x) for x in own)
         return theirs.tobytes() == ids and said == decoded
 
@@ -313,7 +362,7 @@ def encode_and_decode(docs: DataFrame, vocabulary: str, *, key: str = "doc_id",
             for piece in pieces(batch, "body"):
                 texts = [x or "" for x in piece.column(1).to_pylist()]
                 ids = own.encode_many(texts)
-                decoded = [own.decode(x) for x in ids]
+                decoded = own.decode_many(ids)
                 same = [own.agrees(*x) for x in zip(texts, ids, decoded, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array(ids, pa.binary()), pa.array(decoded, pa.string()), pa.array(same)], ["key", "ids", "decoded", "agrees"]
