@@ -5,14 +5,15 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from turnmill.functions.vectors import l2_normalize, word_grams
+from turnmill.functions.vectors import _by_row, l2_normalize, word_grams
 from turnmill.operators.leaders import leader_clusters, with_cluster_ids
 from turnmill.operators.semantic import dedup_stats, semantic_dedup
-from turnmill.operators.similarity import DenseIndex, GramIndex
-from turnmill.operators.skew import held_by
+from turnmill.operators.similarity import DenseIndex, GramIndex, _descending, _finder, _row_order, _shared_entries
+from turnmill.operators.skew import held_by, without
 from turnmill.plans.enrich import long_report
 from turnmill.streaming.store import RepresentativeStore
 
@@ -229,3 +230,71 @@ def test_a_store_of_the_earlier_layout_is_refused(spark, ws):
     spark.range(1).write.parquet(f"{store.path}/order")
     with pytest.raises(ValueError, match="earlier layout"):
         store.index(vectors, 0.92, ws)
+
+
+@pytest.mark.parametrize("known", [0, 5, 1000])
+def test_narrowed_rows_meet_alike(spark, ws, known):
+    """Entries that no other row has leave, and all pairs stay."""
+    rng = random.Random(8)
+    docs = [f"{d} {' '.join(f'own{rng.randrange(10**9)}' for _ in range(3))}" for d in texts()]
+    df = spark.createDataFrame(list(enumerate(docs)), "ord long, text string")
+    vectors = ws.table(word_grams(df.repartition(3), "ord", "text"), "v")
+    index = GramIndex.build(vectors, 0.7, len(docs), keep=known) if known else GramIndex(0.7, vectors)
+    rows = ws.table(index.rows(), "rows")
+    narrow, met = index.narrowed(rows, ws)
+    assert met.count() == rows.count() and "grams" not in met.columns
+    assert 4 * narrow.entries(met).count() < 3 * index.entries(rows).count()
+    got = {(r["ord"], r["rep"]) for r in narrow.earlier_pairs(met, met, ws).collect()}
+    assert got == expected_pairs([grams(d) for d in docs], 0.7)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_shared_entries_over_batches(size):
+    rng = np.random.default_rng(size)
+    gram = np.sort(rng.integers(0, 25, 60))
+    s2 = rng.random(60).astype(np.float32)
+    order = np.lexsort((-s2, gram))
+    gram, s2 = gram[order], s2[order]
+    whole = pa.RecordBatch.from_arrays([pa.array(gram), pa.array(np.arange(60)), pa.array(s2), pa.array(s2)], ["gram", "ord", "s2", "w"])
+    batches = [whole.slice(i, size) for i in range(0, 60, size)] + [whole.slice(60)]
+    got = [o for b in _shared_entries(0.6)(batches) for o in b.column("ord").to_pylist()]
+    assert got == [i for i, g in enumerate(gram) if (gram == g).sum() > 1 and s2[gram == g].max() >= np.float32(0.6)]
+
+
+def test_orders_are_those_of_the_plain_sorts():
+    rng = np.random.default_rng(1)
+    row = np.sort(rng.integers(0, 9, 500))
+    gram = rng.integers(-(2**63), 2**63 - 1, 500)
+    starts = np.searchsorted(row, np.arange(9))
+    # Grams of one row that differ in their lowest bit, and equal ones.
+    gram[starts[3] : starts[3] + 4] = [6, 7, 6, -7]
+    order = _by_row(row, gram)
+    assert (order == np.lexsort((gram, row))).all()
+    for at in (order, rng.permutation(500)):
+        some, rank = gram[at], rng.integers(0, 4, 500).astype(np.int32)
+        assert (_row_order(starts, row, rank, some) == np.lexsort((some, rank, row))).all()
+    for most in (1, 50, 2**61):
+        value = rng.integers(0, most, 500)
+        assert (_descending(row, value) == value[np.lexsort((-value, row))]).all()
+    known = np.unique(np.concatenate([gram[::3], np.arange(-40, 40)]))
+    place = np.searchsorted(known, gram)
+    want = np.where(known[np.minimum(place, len(known) - 1)] == gram, place + 1, 0)
+    assert (_finder(known, np.arange(1, len(known) + 1, dtype=np.int32))(gram) == want).all()
+    assert not _finder(known[:0], np.zeros(0, np.int32))(gram).any()
+
+
+def test_only_what_may_be_gone_is_shuffled(spark, ws):
+    rows = ws.table(spark.range(50_000).withColumn("text", F.concat(F.lit("t"), "id")), "rows")
+    ids = ws.table(spark.createDataFrame([(i,) for i in (3, 17, 49_999, 70_000)], "ord long"), "ids")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = without(rows, "id", ids, 4)
+        assert {r["id"] for r in left.collect()} == set(range(50_000)) - {3, 17, 49_999}
+        sent = left._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The anti join stays above the filter by the bitmap.
+    final = sent.split("== Initial Plan ==")[0]
+    assert final.index("LeftAnti") < final.index("BroadcastHashJoin", final.index("LeftAnti"))
+    assert without(rows, "id", ids, 0) is rows
+    assert without(rows, "text", spark.createDataFrame([("t5",)], "x string"), 1).count() == 49_999

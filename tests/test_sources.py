@@ -1,6 +1,8 @@
 import json
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from turnmill.plans.enrich import EnrichConfig, EnrichModels, enrich
 from turnmill.plans.stages import StageStore, content_fingerprint, source_fingerprint
 from turnmill.sources import readers, sinks
 from turnmill.streaming.refresh import deduplicate_batch, incremental_refresh
+from turnmill.streaming import store as stores
 from turnmill.streaming.store import RepresentativeStore
 from tests.test_similarity import texts
 
@@ -325,6 +328,44 @@ def test_a_batch_opens_only_what_its_grams_touch(spark, ws, tmp_path):
     assert 0 < opened[2] and opened[11] <= opened[2] + 12
 
 
+def test_filters_hold_their_grams(spark, ws, tmp_path):
+    """Bitmaps made by batches are those of the aggregate over all probes."""
+    rng = np.random.default_rng(3)
+    rows = [(int(g) >> 48 & 3, int(g)) for g in rng.integers(-(2**63), 2**63 - 1, 20_000)]
+    entries = ws.table(spark.createDataFrame(rows, "bucket int, gram long").repartition(3), "e")
+    store = RepresentativeStore(spark, str(tmp_path / "s"), buckets=4)
+    n = 40_000
+    segments = n * stores.GRAM_BITS // (4 * 32_768) + 1
+    gram = F.col("gram")
+    segment = F.pmod(F.shiftrightunsigned(gram, 40).bitwiseAND((1 << 24) - 1), F.lit(segments)).cast("int")
+    probes = F.array(*[F.shiftrightunsigned(gram, s).bitwiseAND(32_767) for s in stores.SHIFTS])
+    want = entries.select("bucket", segment.alias("segment"), F.explode(probes).alias("bit")).groupBy("bucket", "segment")
+    want = want.agg(F.bitmap_construct_agg("bit").alias("bits")).select("bucket", "segment", F.lit(segments).alias("segments"), "bits")
+    got = store._filters(entries, n)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    batches = [b for b in entries.filter("bucket = 0").select("bucket", "gram").toArrow().to_batches()]
+    cut = [r for b in stores._bitmaps(segments, most=1)(batches) for r in b.to_pylist()]
+    assert len(cut) > segments // 2 and {r["bucket"] for r in cut} == {0}
+
+
+def test_filters_are_tested_with_their_own_grams(monkeypatch):
+    """A batch's bucket is done with the first hit, and a segment meets only the grams that may be in it."""
+    rng = np.random.default_rng(5)
+    grams = rng.integers(-(2**63), 2**63 - 1, 4_000)
+    segments = 40
+    rows = [(0, int(g), None, None, None, None) for g in grams]
+    full, empty = b"\xff" * 4096, b"\x00" * 4096
+    rows += [(0, None, batch, s, segments, full if batch != 1 else empty) for batch in range(3) for s in range(segments)]
+    kinds = [("bucket", pa.int32()), ("gram", pa.int64()), ("batch", pa.int64()), ("segment", pa.int32()), ("segments", pa.int32()), ("bits", pa.binary())]
+    whole = pa.RecordBatch.from_pydict({k: pa.array(c, t) for (k, t), c in zip(kinds, zip(*rows))})
+    tested = []
+    plain = stores._probes
+    monkeypatch.setattr(stores, "_probes", lambda near: (tested.append(len(near)), plain(near))[1])
+    got = [(b, k) for out in stores._matches(iter([whole.slice(i, 1_000) for i in range(0, len(rows), 1_000)])) for b, k in zip(*out.to_pydict().values())]
+    assert got == [(0, 0), (2, 0)]
+    assert len(tested) <= segments + 2 and sum(tested) < 2 * len(grams)
+
+
 def test_whole_run_with_models(spark, ws):
     rows = [(str(i), i, [("user", f"{t} padded to a sensible length for the gate")]) for i, t in enumerate(texts(30, seed=6))]
     df = spark.createDataFrame(rows, "id string, ord long, messages array<struct<role:string,content:string>>")
