@@ -17,6 +17,7 @@ from turnmill.operators.normalize import funnel_columns, length_gate
 from turnmill.operators.quality import attach_scores, quality_filter, rubric_prompt
 from turnmill.operators.sampling import EVAL_RATIO, train_eval_split
 from turnmill.operators.semantic import DEFAULT_THRESHOLD, dedup_columns, embedding_dedup, semantic_dedup
+from turnmill.operators.skew import without
 from turnmill.plans.stages import StageStore
 from turnmill.schema import MAX_CHARS, MIN_CHARS
 from turnmill.workspace import Workspace
@@ -140,8 +141,9 @@ def enrich(
             lambda: _deduplicated(before, ws, config.dedup_threshold, models),
             dedup_columns(config.dedup_threshold),
         )
-        duplicates = before.join(clusters.filter("state <> 'kept'"), "ord")
-        rows = rows.join(clusters.filter("state = 'kept'").select("ord"), "ord", "left_semi")
+        covered = clusters.filter("state <> 'kept'")
+        duplicates = before.join(covered, "ord")
+        rows = without(rows, "ord", covered.select("ord"), covered.count())
 
     if config.quality_filter:
         unscored = rows
