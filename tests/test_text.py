@@ -135,3 +135,17 @@ def test_field_template_is_single_pass(spark):
     df = spark.createDataFrame([("{b}", None, 3)], "a string, b string, n int")
     cols = {c: F.col(c) for c in df.columns}
     assert df.select(chat.field_template("{a}|{b}|{n}|{zz}{ a }", cols)).first()[0] == "{b}||3|{ a }"
+
+
+def test_rules_that_need_a_digit_wait_for_one(spark):
+    texts = [
+        "no digits, Mr Foo Bar at http://x.example and a@b.example", "MRN: A1234 born on 1/2/1990 Account No. 12345",
+        "4111 1111 1111 1111 or 123-45-6789", "12 Oak Street at 10.0.0.1 or 555-123-4567", "٣٣٣٣ ٤٤٤٤ ٥٥٥٥ ٦٦٦٦", "", None,
+    ]
+    numbered = [p for _, p in pii.REDACT_RULES[pii._NUMBERED]]
+    assert len(numbered) == 8 and all(r"\d" in p for p in numbered)
+    rules = [(p, f"[{tag}]") for tag, p in pii.REDACT_RULES]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(pii.redact(F.col("t")).alias("a"), pii._replace_all(F.col("t"), rules, pii._REDACT_NEEDS).alias("b")).collect()
+    assert [r["a"] for r in got] == [r["b"] for r in got]
+    assert got[0]["a"] == "no digits, [NAME] at [URL] and [EMAIL]"
