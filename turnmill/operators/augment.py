@@ -25,24 +25,25 @@ def augment_rows(
         key, F.posexplode(clean_variants(F.col("response"), variants_per_row)).alias("_j", "_variant")
     )
     target = F.array_position(F.transform("messages", lambda m: m["role"]), F.lit(target_role))
+
+    def with_content(content):
+        """The messages with ``content`` as that of the target turn."""
+        return F.transform(
+            "messages",
+            lambda m, i: F.struct(
+                m["role"].alias("role"), F.when(i + 1 == F.col("_at"), content).otherwise(m["content"]).alias("content")
+            ),
+        )
+
     made = (
         rows.withColumn("_at", F.coalesce(target, F.lit(0)))
         .filter(F.col("_at") > 0)
+        # The content that a variant replaces is not shuffled.
+        .withColumn("messages", with_content(F.lit(None).cast("string")))
         .join(variants, key)
         .withColumn("_aug_source", F.col(key))
         .withColumn(key, F.concat(F.col(key), F.lit("_aug"), F.col("_j").cast("string")))
-        .withColumn(
-            "messages",
-            F.transform(
-                "messages",
-                lambda m, i: F.struct(
-                    m["role"].alias("role"),
-                    F.when(i + 1 == F.col("_at"), F.col("_variant"))
-                    .otherwise(m["content"])
-                    .alias("content"),
-                ),
-            ),
-        )
+        .withColumn("messages", with_content(F.col("_variant")))
         .drop("_at", "_j", "_variant")
     )
     if "text" in rows.columns:
