@@ -210,3 +210,16 @@ def test_model_errors_and_quarantine(spark, ws):
     assert [r["id"] for r in bad.collect()] == ["b"]
     calls = apply_model(spark.createDataFrame([("x", "fail")], "id string, t string"), model, "t", backoff=0.0).first()
     assert (calls["response"], calls["error"], calls["attempts"]) == (None, "down", 3)
+
+
+def test_replaced_content_is_not_joined(spark, monkeypatch):
+    turns = [("system", "be brief"), ("user", "a long question"), ("user", "more")]
+    rows = spark.createDataFrame([("1", turns)], "id string, messages array<struct<role:string,content:string>>")
+    said = spark.createDataFrame([("1", "1. other\n2. third")], "id string, response string")
+    joined, plain = [], type(rows).join
+    monkeypatch.setattr(type(rows), "join", lambda self, *a, **k: (joined.append(self), plain(self, *a, **k))[1])
+    out = {r["id"]: [m["content"] for m in r["messages"]] for r in augment.augment_rows(rows, said).collect()}
+    assert out == {
+        "1": ["be brief", "a long question", "more"], "1_aug0": ["be brief", "other", "more"], "1_aug1": ["be brief", "third", "more"],
+    }
+    assert [m["content"] for m in joined[0].first()["messages"]] == ["be brief", None, "more"]
